@@ -31,6 +31,7 @@ from nearspan.plans.kernels import Scorer, Side, TopK, Within, match
 from nearspan.session import attach, cut_lineage
 
 MAX_PARTITIONS = 50_000
+PARTITION_BYTES = 256 << 20
 MAX_BROADCAST_GROUPS = 500_000
 
 HITS = "query_id long, vec_id long, distance double"
@@ -258,8 +259,9 @@ def _co_grouped(b: DataFrame, q: DataFrame, ask: Ask, n_base: int, n_query: int,
     both = left.select(*keys, "grp", "vec_id", F.col("v").alias("base_v")).unionByName(
         right.select(*keys, "grp", "query_id", F.col("v").alias("query_v")), allowMissingColumns=True
     )
-    if n_cells > int(b.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-        both = both.repartition(min(n_cells, MAX_PARTITIONS), *keys)
+    parts = min(n_cells * limits.cell_bytes // PARTITION_BYTES, MAX_PARTITIONS)
+    if parts > int(b.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        both = both.repartition(parts, *keys)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell = pa.Table.from_batches(list(batches))
