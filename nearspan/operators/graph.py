@@ -108,21 +108,29 @@ def search(graph: Graph, queries: DataFrame, k: int, *, ef: int = 50) -> DataFra
     asked = queries.select("query_id", F.col(column).alias("query_vector"))
 
     starts = ivf.probe(queries, graph.coarse, ENTRY_LISTS).join(graph.entries, "list_id")
-    fresh = starts.select("query_id", "vec_id").distinct()
-    seen = None
+    fresh, beam = starts.select("query_id", "vec_id").distinct(), None
     for hop in range(MAX_HOPS):
         scored = (fresh.join(graph.nodes, "vec_id").join(asked, "query_id")
                   .select("query_id", "vec_id", score(F.col(column), F.col("query_vector")).alias("distance"),
                           "neighbours", F.lit(hop).alias("hop")))
-        seen = cut_lineage(scored if seen is None else seen.unionByName(scored))
-        beam = top_k(seen, ef)
-        opened = beam.where(F.col("hop") == hop).select("query_id", F.explode("neighbours").alias("vec_id"))
-        fresh = cut_lineage(opened.distinct().join(seen.select("query_id", "vec_id"), ["query_id", "vec_id"],
-                                                   "left_anti"))
-        if fresh.isEmpty():
+        pool = scored if beam is None else beam.unionByName(scored)
+        beam = cut_lineage(top_k(pool, ef).drop("rank"), "beam")
+        if beam.where(F.col("hop") == hop).isEmpty():
             break
-    hits = top_k(seen, k).select("query_id", "vec_id", "distance")
-    return _with_copies(graph, hits, k)
+        fresh = _unopened(beam, hop)
+    return _with_copies(graph, top_k(beam, k).select("query_id", "vec_id", "distance"), k)
+
+
+def _unopened(beam: DataFrame, hop: int) -> DataFrame:
+    """Neighbours of the nodes that entered the beam in this hop and are not in it themselves.
+
+    A node that was scored and left behind earlier may come up again; it cannot re-enter, since a beam
+    only gets better, so only the beam has to be remembered (ef rows per query).
+    """
+    new = F.when(F.col("hop") == hop, F.col("neighbours"))
+    return (beam.groupBy("query_id")
+            .agg(F.collect_list("vec_id").alias("have"), F.flatten(F.collect_list(new)).alias("next"))
+            .select("query_id", F.explode(F.array_except("next", "have")).alias("vec_id")))
 
 
 def _with_copies(graph: Graph, hits: DataFrame, k: int) -> DataFrame:
