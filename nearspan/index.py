@@ -220,8 +220,9 @@ class VectorIndex:
         row = self.stats().withColumn("settings", F.to_json(F.create_map(
             *[F.lit(str(x)) for pair in sorted(settings.items()) for x in pair])))
         if "coarse" in self.models:
-            for name, value in maintain.list_skew(self._filled()).first().asDict().items():
-                row = row.withColumn(name, F.lit(value))
+            skew = maintain.list_skew(self._filled())
+            values = skew.first()
+            row = row.select("*", *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in skew.schema])
         hints = maintain.hints(row.sparkSession, kind=self.config.kind, metric=self.config.work_metric)
         texts = [r.hint for r in hints.collect()]
         return row.withColumn("hints", F.lit(texts) if texts else F.array().cast("array<string>"))

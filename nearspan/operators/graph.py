@@ -21,7 +21,7 @@ from nearspan.operators import ivf
 from nearspan.operators.exact import ranked
 from nearspan.plans.kernels import Scorer, matrix, packed
 from nearspan.plans.search import Limits, check_k, top_k
-from nearspan.session import attach, cut_lineage
+from nearspan.session import attach, cut_bucketed, cut_lineage
 
 BUILD_PROBES = 3
 BUILD_ROUNDS = 3
@@ -71,7 +71,7 @@ def build(base: DataFrame, *, dims: int, metric: str = "l2", degree: int = 16, p
              .agg(F.collect_set(F.col("vec_id")).alias("neighbours")))
     nodes = points.join(edges, "vec_id", "left").withColumn(
         "neighbours", F.coalesce("neighbours", F.array().cast("array<bigint>")))
-    return Graph(cut_lineage(nodes), _entries(assigned, coarse), copies, coarse)
+    return Graph(cut_bucketed(nodes, "vec_id"), _entries(assigned, coarse), copies, coarse)
 
 
 def _entries(assigned: DataFrame, coarse: ivf.CoarseModel) -> DataFrame:

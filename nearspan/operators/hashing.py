@@ -44,8 +44,7 @@ def search(base: DataFrame, queries: DataFrame, k: int, *, dims: int, hash_bits:
     check_k(k)
     _check(dims, hash_bits, nflip, tables)
     masks = flip_masks(hash_bits, nflip)
-    flips = F.transform(F.array_repeat(F.lit(0), 1), lambda _: F.lit(0).cast("bigint")) if len(masks) == 1 \
-        else F.array(*[F.lit(m).cast("bigint") for m in masks])
+    flips = F.lit(masks).cast("array<bigint>")
 
     def buckets(t: int):
         key = leading_bits(F.col("code"), t * hash_bits, hash_bits)
@@ -59,6 +58,6 @@ def search(base: DataFrame, queries: DataFrame, k: int, *, dims: int, hash_bits:
     b = base.select("vec_id", "code", F.explode(F.array(*[buckets(t) for t in range(tables)])).alias("bucket"))
     q = queries.select("query_id", "code",
                        F.explode(F.flatten(F.array(*[probes(t) for t in range(tables)]))).alias("bucket"))
-    hits = match_tables(b, q, Ask(Scorer("hamming"), k=k), group="bucket", base_vector="code",
+    hits = match_tables(b, q, Ask(Scorer("hamming"), k=k, repeats=tables > 1), group="bucket", base_vector="code",
                         query_vector="code", width=dims // 8, limits=limits)
     return ranked(hits, "hamming").withColumn("distance", F.col("distance").cast("int"))

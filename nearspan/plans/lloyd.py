@@ -49,8 +49,8 @@ def seeds(df: DataFrame, column: str, k: int) -> np.ndarray:
 
     A top-k by hash needs no global sort or numbering of the table.
     """
-    order = [F.md5(F.col("vec_id").cast("string")), F.col("vec_id")]
-    rows = matrix(df.orderBy(*order).limit(SEED_OVERSAMPLING * k).select(column).toArrow().column(0))
+    wanted, n = SEED_OVERSAMPLING * k, df.count()
+    rows = _first_by_hash(df, column, wanted, n)
     if len(rows) < k:
         raise ConfigError(f"training needs at least {k} vectors, got {len(rows)}")
     if not np.isfinite(rows).all():
@@ -60,6 +60,18 @@ def seeds(df: DataFrame, column: str, k: int) -> np.ndarray:
     return rows[np.r_[np.sort(first), copies][:k]]
 
 
+def _first_by_hash(df: DataFrame, column: str, wanted: int, n: int) -> np.ndarray:
+    """The ``wanted`` first vectors by md5(vec_id). A filter on the hash leaves about twice as many rows,
+    so tasks do not each send their own ``wanted`` first rows."""
+    digest = F.md5(F.col("vec_id").cast("string"))
+    share = (2 * wanted + 64) / max(n, 1)
+    some = df if share >= 1 else df.where(digest < f"{int(share * (1 << 128)):032x}")
+    rows = matrix(some.orderBy(digest, "vec_id").limit(wanted).select(column).toArrow().column(0))
+    if share < 1 and len(rows) < min(wanted, n):
+        rows = matrix(df.orderBy(digest, "vec_id").limit(wanted).select(column).toArrow().column(0))
+    return rows
+
+
 def lloyd(df: DataFrame, column: str, *, k: int, rounds: int, segments: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Centres (segments, k, width) after ``rounds`` passes, and the sizes seen in the last pass.
     A centre that attracts no row stays where it was."""

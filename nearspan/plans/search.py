@@ -33,6 +33,7 @@ from nearspan.session import attach, cut_lineage
 MAX_PARTITIONS = 50_000
 PARTITION_BYTES = 256 << 20
 MAX_BROADCAST_GROUPS = 500_000
+MAX_LISTED_GROUPS = 2_000
 
 HITS = "query_id long, vec_id long, distance double"
 HIT_SCHEMA = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("distance", pa.float64())])
@@ -61,6 +62,7 @@ class Ask:
     k: int | None = None
     radius: float | None = None
     counting: bool = False
+    repeats: bool = False  # a pair may be met in more than one group
 
     def sink(self, slots: int, limit: np.ndarray | None = None):
         if self.k is not None:
@@ -95,12 +97,15 @@ def match_tables(
         return found.groupBy("query_id").agg(F.sum("n").alias("n"))
     if ask.k is None or "rank" in found.columns:
         return found
-    return top_k(found, ask.k)
+    return top_k(found, ask.k, repeats=ask.repeats)
 
 
-def top_k(hits: DataFrame, k: int) -> DataFrame:
-    """Merge partial hits: rank 1..k per query, ties by ``vec_id``, repeated hits once."""
+def top_k(hits: DataFrame, k: int, *, repeats: bool = False) -> DataFrame:
+    """Rank 1..k per query, ties by ``vec_id``. Each task cuts to k before the shuffle. With ``repeats``
+    equal hits count once."""
     w = Window.partitionBy("query_id").orderBy("distance", "vec_id")
+    if not repeats:
+        return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     ranked = hits.withColumn("rank", F.dense_rank().over(w)).where(F.col("rank") <= k)
     return ranked.dropDuplicates(["query_id", "rank"])
 
@@ -203,6 +208,10 @@ def _stream_base(b: DataFrame, q: DataFrame, ask: Ask, bound: dict | None) -> Da
     if bound is not None:
         limit = np.array([bound.get(int(i), np.inf) for i in names])
     held = b.sparkSession.sparkContext.broadcast((side, names, limit))
+    if side.groups is not None:
+        probed = np.unique(side.groups)
+        if len(probed) <= MAX_LISTED_GROUPS:  # reaches the scan as a partition filter
+            b = b.where(F.col("grp").isin(probed.tolist()))
 
     def scan(batches):
         queries, query_ids, start = held.value
@@ -228,7 +237,8 @@ def _sampled_bound(b: DataFrame, q: DataFrame, ask: Ask, base_bytes: int, limits
         return None
     slots = b.sparkSession.sparkContext.defaultParallelism
     part = b.sample(False, limits.sample_share, 17).repartition(slots)
-    kth = (top_k(_stream_base(part, q, ask, None), ask.k).where(F.col("rank") == ask.k)
+    found = top_k(_stream_base(part, q, ask, None), ask.k, repeats=ask.repeats)
+    kth = (found.where(F.col("rank") == ask.k)
            .select("query_id", "distance"))
     table = kth.toArrow()
     return dict(zip(table.column(0).to_pylist(), table.column(1).to_pylist()))
@@ -249,6 +259,7 @@ def _co_grouped(b: DataFrame, q: DataFrame, ask: Ask, n_base: int, n_query: int,
         cut_b, cut_q = math.ceil(n_base / cell_rows) or 1, math.ceil(n_query / query_rows) or 1
         hot = None
     else:
+        b = _probed_only(b, q)
         hot = _hot_groups(b, q, cell_rows, query_rows)
         cut_b = cut_q = None
 
@@ -281,6 +292,14 @@ def _co_grouped(b: DataFrame, q: DataFrame, ask: Ask, n_base: int, n_query: int,
     return both.groupBy(*keys).applyInArrow(score, COUNTS if ask.counting else HITS)
 
 
+def _probed_only(b: DataFrame, q: DataFrame) -> DataFrame:
+    """Drop base rows of groups that no query asks for, before they are shuffled."""
+    asked = cut_lineage(q.select("grp").distinct())
+    if asked.count() > MAX_BROADCAST_GROUPS:
+        return b
+    return b.join(F.broadcast(asked), "grp", "left_semi")
+
+
 def _hot_groups(b: DataFrame, q: DataFrame, cell_rows: int, query_rows: int) -> DataFrame:
     """Groups too large for one cell, with the number of cuts of each side.
 

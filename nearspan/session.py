@@ -58,6 +58,17 @@ def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_bucketed(df: DataFrame, key: str) -> DataFrame:
+    """Like :func:`cut_lineage`, stored in hash buckets of ``key``: later joins on the key shuffle only
+    their other side. The table is known to the session catalogue under a name of its own."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"nearspan_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+     .option("path", scratch_path(spark, "buckets")).saveAsTable(name))
+    return spark.table(name)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/nearspan/{name}-{uuid.uuid4().hex}"

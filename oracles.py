@@ -144,10 +144,10 @@ def build() -> dict[str, str]:
     b, bb = with_(BASE), with_(BASE, BITS)
 
     # sources and sinks
-    sql["vector_scan"] = b + "SELECT vec_id, len(v) AS dims, round(list_sum(v), 6) AS total FROM e"
-    sql["float32_records"] = b + "SELECT row_number() OVER (ORDER BY vec_id) - 1 AS vec_id, len(v) AS dims, round(list_sum(v), 6) AS total FROM e"
+    sql["vector_scan"] = b + "SELECT vec_id, CAST(len(v) AS INTEGER) AS dims, round(list_sum(v), 6) AS total FROM e"
+    sql["float32_records"] = b + "SELECT row_number() OVER (ORDER BY vec_id) - 1 AS vec_id, CAST(len(v) AS INTEGER) AS dims, round(list_sum(v), 6) AS total FROM e"
     sql["bit_records"] = bb + "SELECT row_number() OVER (ORDER BY vec_id) - 1 AS vec_id, CAST(list_sum(b) AS BIGINT) AS ones FROM bits"
-    sql["saved_table"] = b + "SELECT 'FLAT_L2' AS kind, count(*) AS ntotal, max(len(v)) AS dims, round(sum(list_sum(v)), 6) AS total FROM e"
+    sql["saved_table"] = b + "SELECT 'FLAT_L2' AS kind, count(*) AS ntotal, CAST(max(len(v)) AS INTEGER) AS dims, round(sum(list_sum(v)), 6) AS total FROM e"
     sql["json_results"] = b + out(top(pairs(l2("q.v", "b.v")), 3))
     sql["synthetic_vectors"] = "SELECT vec_id, 32 AS dims, CAST(1 AS DOUBLE) AS norm FROM embeddings"
     sql["text_embedding"] = """WITH w AS (
