@@ -31,11 +31,12 @@ def finite_norm(v: Column) -> Column:
 
 
 def normalize(v: Column) -> Column:
-    """Divide by the L2 norm; a zero vector stays zero."""
-    n = norm(v)
-    return F.transform(
-        v, lambda x: F.when(n == 0.0, F.lit(0.0)).otherwise(x.cast("double") / n)
-    )
+    """Divide by the L2 norm; a zero vector stays zero. The norm is bound once per row (inside the
+    lambda of the components it would be computed for each of them)."""
+    def divided(n: Column) -> Column:
+        return F.transform(v, lambda x: F.when(n == 0.0, F.lit(0.0)).otherwise(x.cast("double") / n))
+
+    return F.get(F.transform(F.array(norm(v)), divided), 0)
 
 
 def scale(v: Column, factor: Column) -> Column:

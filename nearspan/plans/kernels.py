@@ -13,30 +13,40 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BASE_BLOCK = 2048
 QUERY_BLOCK = 1024
 PAIR_BLOCK = 1 << 16
-UNIT_ROUNDOFF = 1.2e-16
+# Matrix products may run in single precision where squares neither overflow nor vanish.
+SINGLE_RANGE = (1e-9, 1e15)
+ROUNDOFF = {np.float32: 6e-8, np.float64: 1.2e-16}
 
 
 def matrix(column: pa.Array) -> np.ndarray:
-    """ARRAY<number> or BINARY Arrow column as a dense matrix (floats become float64)."""
+    """ARRAY<number> or BINARY Arrow column as a dense matrix (floats become float64).
+
+    Null, ragged or non-finite vectors are an error: they would spoil the other rows of their block.
+    ``prep.split_valid`` takes them out beforehand.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     n = len(column)
-    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    lengths = pc.binary_length(column) if binary else pc.list_value_length(column)
+    bounds = pc.min_max(lengths)
+    width = bounds["max"].as_py() or 0
+    if column.null_count or bounds["min"].as_py() != bounds["max"].as_py():
+        raise ValueError("vectors of one table must not be null and must all have the same width")
+    if binary:
         offset_type = np.int32 if pa.types.is_binary(column.type) else np.int64
         _, offsets, data = column.buffers()
-        ends = np.frombuffer(offsets, offset_type)[column.offset: column.offset + n + 1]
-        flat = np.frombuffer(data or b"", np.uint8)[ends[0]:ends[-1]]
-    else:
-        flat = column.flatten().to_numpy(zero_copy_only=False)
-        if flat.dtype != np.uint8:
-            flat = flat.astype(np.float64, copy=False)
-    if n and len(flat) % n:
-        raise ValueError("vectors of one table must all have the same width and no nulls")
-    return flat.reshape(n, len(flat) // n if n else 0)
+        first = np.frombuffer(offsets, offset_type)[column.offset] if n else 0
+        return np.frombuffer(data or b"", np.uint8)[first:first + n * width].reshape(n, width)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    if not np.isfinite(flat).all():
+        raise ValueError("vectors contain null, NaN or infinite values")
+    return flat.reshape(n, width)
 
 
 def list_column(rows: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -66,22 +76,26 @@ class Scorer:
         rows = matrix(column)
         return packed(rows) if self.metric == "hamming" else rows
 
-    def block(self, q: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray | float]:
-        """Keys of all pairs of two small blocks, and how far they may be off per query."""
+    def block(self, q: "Rows", x: "Rows") -> tuple[np.ndarray, np.ndarray | int, np.ndarray | int]:
+        """Keys of all pairs of two small blocks up to a constant per query, that constant, and how far
+        a key may be off.
+
+        Float metrics are one matrix product: for l2 the squared norm of x rides along as an extra
+        column, and the squared norm of q is the constant.
+        """
         if self.metric == "hamming":
-            keys = np.zeros((len(q), len(x)), np.int64)
-            for w in range(q.shape[1]):
-                keys += np.bitwise_count(q[:, w, None] ^ x[None, :, w])
-            return keys, 0
+            keys = np.zeros((len(q.data), len(x.data)), np.int32)
+            for w in range(q.data.shape[1]):
+                keys += np.bitwise_count(q.data[:, w, None] ^ x.data[None, :, w])
+            return keys, 0, 0
         if self.metric in ("adc", "adc_ip"):
-            return self._table_lookup(q, x.astype(np.intp, copy=False)), 0.0
-        dot = q @ x.T
-        q2, x2 = np.einsum("ij,ij->i", q, q), np.einsum("ij,ij->i", x, x)
-        reach = np.sqrt(q2) + np.sqrt(x2.max(initial=0.0))
-        slack = 8 * (q.shape[1] + 4) * UNIT_ROUNDOFF * reach * reach
+            return self._table_lookup(q.data, x.data.astype(np.intp, copy=False)), 0, 0
+        reach = np.sqrt(q.squares) + np.sqrt(x.squares.max(initial=0.0))
+        kind = np.float32 if SINGLE_RANGE[0] < reach.min() and reach.max() < SINGLE_RANGE[1] else np.float64
+        slack = 2 * (q.data.shape[1] + 4) * ROUNDOFF[kind] * reach * reach
         if self.metric == "ip":
-            return -dot, slack
-        return q2[:, None] + x2[None, :] - 2.0 * dot, slack
+            return -(q.plain(kind) @ x.plain(kind).T), 0, slack
+        return q.doubled(kind) @ x.with_squares(kind).T, q.squares, slack
 
     def _table_lookup(self, q: np.ndarray, codes: np.ndarray) -> np.ndarray:
         segments, _, width = self.codebooks.shape
@@ -100,7 +114,7 @@ class Scorer:
                 keys: np.ndarray) -> np.ndarray:
         """Keys of chosen pairs from the definition."""
         if self.metric in ("hamming", "adc", "adc_ip"):
-            return keys[qi, xi]
+            return keys[qi, xi].astype(np.float64)
         out = np.empty(len(qi))
         for s in range(0, len(qi), PAIR_BLOCK):
             a, b = q[qi[s:s + PAIR_BLOCK]], x[xi[s:s + PAIR_BLOCK]]
@@ -111,6 +125,33 @@ class Scorer:
         return out
 
 
+class Rows:
+    """A block of vectors with the forms a matrix product wants, each made once."""
+
+    def __init__(self, data: np.ndarray):
+        self.data = data
+        self._forms: dict = {}
+
+    def _form(self, key, make) -> np.ndarray:
+        if key not in self._forms:
+            self._forms[key] = make()
+        return self._forms[key]
+
+    @property
+    def squares(self) -> np.ndarray:
+        return self._form("squares", lambda: np.einsum("ij,ij->i", self.data, self.data))
+
+    def plain(self, kind) -> np.ndarray:
+        return self._form(("plain", kind), lambda: self.data.astype(kind))
+
+    def doubled(self, kind) -> np.ndarray:
+        return self._form(("doubled", kind), lambda: np.column_stack(
+            [-2.0 * self.data, np.ones(len(self.data))]).astype(kind))
+
+    def with_squares(self, kind) -> np.ndarray:
+        return self._form(("squared", kind), lambda: np.column_stack([self.data, self.squares]).astype(kind))
+
+
 def packed(rows: np.ndarray) -> np.ndarray:
     """Bytes padded to whole 64-bit words."""
     pad = -rows.shape[1] % 8
@@ -198,6 +239,8 @@ class Within:
 
 def best_rows(slots: np.ndarray, ids: np.ndarray, keys: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k smallest distinct (key, id) of each slot, ordered by slot, key, id."""
+    if len(slots) == 0:
+        return np.empty(0, np.intp)
     order = np.lexsort((ids, keys, slots))
     s, i, d = slots[order], ids[order], keys[order]
     fresh = np.r_[True, (s[1:] != s[:-1]) | (d[1:] != d[:-1]) | (i[1:] != i[:-1])]
@@ -221,31 +264,38 @@ def offer_pairs(scorer: Scorer, q: np.ndarray, slots: np.ndarray, x: np.ndarray,
 
     Yields after each block, so that the caller can drain a sink that holds many hits.
     """
+    asked = [(slots[s:s + QUERY_BLOCK], Rows(q[s:s + QUERY_BLOCK])) for s in range(0, len(q), QUERY_BLOCK)]
+    k = sink.copies
     for xs in range(0, len(x), BASE_BLOCK):
-        xb, ib = x[xs:xs + BASE_BLOCK], ids[xs:xs + BASE_BLOCK]
-        reduced = False
-        for qs in range(0, len(q), QUERY_BLOCK):
-            qb, sb = q[qs:qs + QUERY_BLOCK], slots[qs:qs + QUERY_BLOCK]
-            keys, slack = scorer.block(qb, xb)
-            near = keys <= (sink.limit[sb] + slack)[:, None]
-            k = sink.copies
-            if k and len(xb) > k and np.count_nonzero(near) > 4 * k * len(qb):
+        held, held_ids, reduced = Rows(x[xs:xs + BASE_BLOCK]), ids[xs:xs + BASE_BLOCK], False
+        for sb, qb in asked:
+            keys, shift, slack = scorer.block(qb, held)
+            near = keys <= _column(sink.limit[sb] + slack - shift, keys)
+            if k and len(held_ids) > k and np.count_nonzero(near) > 4 * k * len(sb):
                 near = _tighter(keys, near, slack, k)
-                if not reduced and np.count_nonzero(near) > 4 * k * len(qb):
-                    xb, ib = _few_copies(xb, ib, k)
-                    reduced = True
-                    keys, slack = scorer.block(qb, xb)
-                    near = _tighter(keys, keys <= (sink.limit[sb] + slack)[:, None], slack, k)
-            qi, xi = np.nonzero(near)
-            sink.offer(sb[qi], ib[xi], scorer.rescore(qb, xb, qi, xi, keys))
+                if not reduced and np.count_nonzero(near) > 4 * k * len(sb):
+                    data, held_ids = _few_copies(held.data, held_ids, k)
+                    held, reduced = Rows(data), True
+                    keys, shift, slack = scorer.block(qb, held)
+                    near = _tighter(keys, keys <= _column(sink.limit[sb] + slack - shift, keys), slack, k)
+            qi, xi = np.divmod(np.flatnonzero(near), near.shape[1])  # faster than a 2-d nonzero
+            sink.offer(sb[qi], held_ids[xi], scorer.rescore(qb.data, held.data, qi, xi, keys))
             yield
 
 
+def _column(limit: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Limits in the precision of the keys, never rounded down below them."""
+    if keys.dtype == np.float32:
+        return np.nextafter(limit.astype(np.float32), np.float32(np.inf))[:, None]
+    return limit[:, None]
+
+
 def _tighter(keys: np.ndarray, near: np.ndarray, slack, k: int) -> np.ndarray:
+    """Also drop what is worse than the k-th key of this block alone."""
     if keys.shape[1] <= k:
         return near
-    kth = np.partition(keys, k - 1, axis=1)[:, k - 1]
-    return near & (keys <= (kth + 2 * slack)[:, None])
+    kth = np.partition(keys, k - 1, axis=1)[:, k - 1].astype(np.float64)
+    return near & (keys <= _column(kth + 2 * slack, keys))
 
 
 def closest(scorer: Scorer, q: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -11,8 +11,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearspan.errors import ConfigError, InvalidVectorError
-from nearspan.plans.kernels import Scorer, best_rows, closest, matrix, packed
+from nearspan.errors import ConfigError
+from nearspan.plans.kernels import Rows, Scorer, best_rows, closest, matrix, packed
 from nearspan.plans.sums import sum_by_slot
 
 SEED_OVERSAMPLING = 4
@@ -21,17 +21,18 @@ ROW_BLOCK = 4096
 
 def nearest_one(x: np.ndarray, centres: np.ndarray, metric: str = "l2") -> np.ndarray:
     """Index of the closest centre of each row; ties fall to the smaller index."""
-    scorer = Scorer(metric)
+    scorer, held = Scorer(metric), Rows(centres)
     out = np.empty(len(x), np.int64)
     for s in range(0, len(x), ROW_BLOCK):
-        rows = x[s:s + ROW_BLOCK]
-        keys, slack = scorer.block(rows, centres)
+        rows = Rows(x[s:s + ROW_BLOCK])
+        keys, _, slack = scorer.block(rows, held)
         best = keys.argmin(axis=1)
-        near = keys <= (keys.min(axis=1) + 2 * slack)[:, None]
-        unsure = np.flatnonzero(np.count_nonzero(near, axis=1) > 1)
-        if len(unsure) and metric != "hamming":
+        if metric != "hamming":
+            limit = keys.min(axis=1).astype(np.float64) + 2 * slack
+            near = keys <= np.nextafter(limit.astype(keys.dtype), keys.dtype.type(np.inf))[:, None]
+            unsure = np.flatnonzero(np.count_nonzero(near, axis=1) > 1)
             qi, ci = np.nonzero(near[unsure])
-            exact = scorer.rescore(rows[unsure], centres, qi, ci, keys[unsure])
+            exact = scorer.rescore(rows.data[unsure], centres, qi, ci, keys[unsure])
             keep = best_rows(qi, ci, exact, 1)
             best[unsure[qi[keep]]] = ci[keep]
         out[s:s + ROW_BLOCK] = best
@@ -53,8 +54,6 @@ def seeds(df: DataFrame, column: str, k: int) -> np.ndarray:
     rows = _first_by_hash(df, column, wanted, n)
     if len(rows) < k:
         raise ConfigError(f"training needs at least {k} vectors, got {len(rows)}")
-    if not np.isfinite(rows).all():
-        raise InvalidVectorError("training vectors contain NaN or infinite values")
     _, first = np.unique(rows, axis=0, return_index=True)
     copies = np.setdiff1d(np.arange(len(rows)), first)
     return rows[np.r_[np.sort(first), copies][:k]]

@@ -20,9 +20,8 @@ def save_table(df: DataFrame, path: str, *, dims: int, kind: str, metric: str, e
     probed lists.
     """
     if partition_by:
-        # the hash of the id spreads a large list over several files and tasks
-        spread = F.pmod(F.xxhash64("vec_id"), F.lit(16))
-        df = df.repartition(F.col(partition_by), spread)
+        # one task per list where lists are small, several where a list is large (adaptive split)
+        df = df.hint("rebalance", partition_by)
     writer = df.write.mode(mode)
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{path}/data")
     n = df.sparkSession.read.parquet(f"{path}/data").count()

@@ -3,7 +3,7 @@ import pytest
 from conftest import brute, ids_of
 from pyspark.sql import functions as F
 
-from nearspan.errors import ConfigError, InvalidVectorError
+from nearspan.errors import ConfigError
 from nearspan.operators import evaluate, exact, graph, hashing, ivf, prep, quantize, reduce
 from nearspan.plans.search import Limits
 
@@ -55,7 +55,7 @@ def test_training_needs_enough_rows(make, randoms):
 
 
 def test_training_refuses_nan(make):
-    with pytest.raises(InvalidVectorError):
+    with pytest.raises(ValueError):
         ivf.train(make([[1.0, float("nan")], [0.0, 1.0]]), 2)
 
 
@@ -236,3 +236,14 @@ def test_graph_nodes_are_not_shuffled_by_hops(cloud, spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert text.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in text
+
+
+def test_graph_by_inner_product(make, randoms):
+    v = randoms(300, 8, seed=3)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    base, queries = make(v), make(v, "query_id")
+    hits = graph.search(graph.build(base, dims=8, metric="ip", degree=8, pool=60), queries, 5, ef=40)
+    truth = exact.knn(base, queries, 5, metric="ip", dims=8)
+    assert evaluate.mean_recall(hits, truth).first().recall > 0.95
+    best = hits.where("rank = 1").collect()
+    assert all(r.distance == pytest.approx(1.0) for r in best)

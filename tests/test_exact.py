@@ -129,3 +129,16 @@ def test_partial_top_k_before_the_merge_shuffle(make, randoms):
     hits = exact.knn(make(randoms(50, 4)), make(randoms(5, 4), "query_id"), 3, dims=4, limits=Limits(path="query"))
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Final") < plan.index("Exchange hashpartitioning(query_id") < plan.index("Partial")
+
+
+@pytest.mark.parametrize("bad", [[1.0, math.nan], [1.0, math.inf], [1.0], [1.0, 2.0, 3.0]])
+def test_a_bad_vector_fails_the_search_loudly(make, bad):
+    base = make([[0.0, 1.0], bad, [1.0, 1.0]]).coalesce(1)
+    with pytest.raises(Exception, match="vectors"):
+        exact.knn(base, make([[0.0, 1.0]], "query_id"), 1, dims=2).collect()
+
+
+def test_null_vectors_fail_loudly(spark, make):
+    base = spark.createDataFrame([(0, [0.0, 1.0, 2.0, 3.0]), (1, None)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="vectors"):
+        exact.knn(base.coalesce(1), make([[0.0, 1.0]], "query_id"), 1, dims=2).collect()
