@@ -10,6 +10,7 @@ crowd the beam nor meet in one group.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,6 @@ from nearspan.session import attach, cut_bucketed, cut_lineage
 BUILD_PROBES = 3
 BUILD_ROUNDS = 3
 ENTRY_LISTS = 4
-MAX_HOPS = 32
 
 
 @dataclass(frozen=True)
@@ -109,7 +109,7 @@ def search(graph: Graph, queries: DataFrame, k: int, *, ef: int = 50) -> DataFra
 
     starts = ivf.probe(queries, graph.coarse, ENTRY_LISTS).join(graph.entries, "list_id")
     fresh, beam = starts.select("query_id", "vec_id").distinct(), None
-    for hop in range(MAX_HOPS):
+    for hop in count():  # a beam only gets better, so this ends
         scored = (fresh.join(graph.nodes, "vec_id").join(asked, "query_id")
                   .select("query_id", "vec_id", score(F.col(column), F.col("query_vector")).alias("distance"),
                           "neighbours", F.lit(hop).alias("hop")))

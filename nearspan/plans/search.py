@@ -7,11 +7,13 @@ are scored. Three physical paths, chosen by measured size:
 ``base``    the base side fits the broadcast limit: broadcast it, stream the queries. Ungrouped top-k
             needs no shuffle at all.
 ``query``   the query side fits: broadcast it, stream the base in place. Each task returns at most k rows
-            per query; for wide tables a bound taken from a sample keeps even that small.
+            per query.
 ``cells``   neither fits: both sides are cut into cells of bounded size by hash, hot groups into a grid
             of several cells, and the rows of a cell meet in one task. No pair rows are shuffled.
 
-Results are whole in every path; sizes only decide where the work is done.
+A large base first gives every query an upper bound of its k-th distance, from a sample, which keeps the
+number of partial hits small in the last two paths. Results are whole in every path; sizes only decide
+where the work is done.
 """
 
 from __future__ import annotations
@@ -48,7 +50,7 @@ class Limits:
     """Size rules. All are about memory per task or driver; none changes a result."""
 
     broadcast_bytes: int = 64 << 20
-    cell_bytes: int = 64 << 20
+    cell_bytes: int = 128 << 20
     sample_from_bytes: int = 16 << 30
     sample_share: float = 0.002
     path: str | None = None
@@ -84,14 +86,19 @@ def match_tables(
     b = base.select(F.col("vec_id").cast("bigint"), _vector(base_vector), *extra)
     q = queries.select(F.col("query_id").cast("bigint"), _vector(query_vector), *extra)
 
+    return _match(b, q, ask, width, limits)
+
+
+def _match(b: DataFrame, q: DataFrame, ask: Ask, width: int, limits: Limits) -> DataFrame:
     path, n_base, n_query = _choose(b, q, ask, width, limits)
     if path == "base":
         found = _stream_queries(b, q, ask)
-    elif path == "query":
-        bound = _sampled_bound(b, q, ask, n_base * width, limits)
-        found = _stream_base(b, q, ask, bound)
     else:
-        found = _co_grouped(b, q, ask, n_base, n_query, width, limits)
+        bounds = _bounds(b, q, ask, n_base * width, width, limits)
+        if path == "query":
+            found = _stream_base(b, q, ask, bounds)
+        else:
+            found = _in_cells(b, q, ask, bounds, n_base, n_query, width, limits)
 
     if ask.counting:
         return found.groupBy("query_id").agg(F.sum("n").alias("n"))
@@ -200,13 +207,14 @@ def _with_rank(sink: TopK, query_ids: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _stream_base(b: DataFrame, q: DataFrame, ask: Ask, bound: dict | None) -> DataFrame:
+def _stream_base(b: DataFrame, q: DataFrame, ask: Ask, bounds: DataFrame | None) -> DataFrame:
     side = _resident(q, "query_id", ask.scorer.load_query)
     names, slots = np.unique(side.ids, return_inverse=True)
-    side = replace(side, slots=slots.ravel())
-    limit = None
-    if bound is not None:
-        limit = np.array([bound.get(int(i), np.inf) for i in names])
+    side, limit = replace(side, slots=slots.ravel()), None
+    if bounds is not None:
+        known = bounds.toArrow()  # one number per resident query
+        limit = np.full(len(names), np.inf)
+        limit[np.searchsorted(names, known.column("query_id").to_numpy())] = known.column("bound").to_numpy()
     held = b.sparkSession.sparkContext.broadcast((side, names, limit))
     if side.groups is not None:
         probed = np.unique(side.groups)
@@ -227,25 +235,23 @@ def _stream_base(b: DataFrame, q: DataFrame, ask: Ask, bound: dict | None) -> Da
     return b.mapInArrow(scan, COUNTS if ask.counting else HITS)
 
 
-def _sampled_bound(b: DataFrame, q: DataFrame, ask: Ask, base_bytes: int, limits: Limits) -> dict | None:
-    """Upper bound of each query's k-th key, from a share of the base.
+def _bounds(b: DataFrame, q: DataFrame, ask: Ask, base_bytes: int, width: int,
+            limits: Limits) -> DataFrame | None:
+    """``(query_id, bound)``: upper bound of each query's k-th key, from a share of the base.
 
     The k-th best of any subset cannot be better than the true k-th, so tasks may skip everything above
-    it. Without it a base of P partitions returns P*k rows per query; with it about k/share in total.
+    it. Without it a base in P pieces returns P*k rows per query; with it about k/share in total.
     """
     if ask.k is None or base_bytes < limits.sample_from_bytes:
         return None
     slots = b.sparkSession.sparkContext.defaultParallelism
     part = b.sample(False, limits.sample_share, 17).repartition(slots)
-    found = top_k(_stream_base(part, q, ask, None), ask.k, repeats=ask.repeats)
-    kth = (found.where(F.col("rank") == ask.k)
-           .select("query_id", "distance"))
-    table = kth.toArrow()
-    return dict(zip(table.column(0).to_pylist(), table.column(1).to_pylist()))
+    found = _match(part, q, ask, width, replace(limits, path=None, sample_from_bytes=1 << 62))
+    return found.where(F.col("rank") == ask.k).select("query_id", F.col("distance").alias("bound"))
 
 
-def _co_grouped(b: DataFrame, q: DataFrame, ask: Ask, n_base: int, n_query: int, width: int,
-                limits: Limits) -> DataFrame:
+def _in_cells(b: DataFrame, q: DataFrame, ask: Ask, bounds: DataFrame | None, n_base: int, n_query: int,
+              width: int, limits: Limits) -> DataFrame:
     kept = 0 if ask.k is None else 48 * ask.k
     cell_rows = max(1, limits.cell_bytes // max(width, 1))
     query_rows = max(1, limits.cell_bytes // (width + kept))
@@ -263,12 +269,16 @@ def _co_grouped(b: DataFrame, q: DataFrame, ask: Ask, n_base: int, n_query: int,
         hot = _hot_groups(b, q, cell_rows, query_rows)
         cut_b = cut_q = None
 
+    if bounds is not None:
+        q = q.join(bounds, "query_id", "left")
+    else:
+        q = q.withColumn("bound", F.lit(None).cast("double"))
     left = _cells(b, "vec_id", hot, "cut_b", "cut_q", cut_b, cut_q, bundles, own_first=False)
     right = _cells(q, "query_id", hot, "cut_q", "cut_b", cut_q, cut_b, bundles, own_first=True)
     keys = ("cell", "cell_q", "cell_b")
     n_cells = cut_b * cut_q if ungrouped else bundles + _count_cells(hot)
     both = left.select(*keys, "grp", "vec_id", F.col("v").alias("base_v")).unionByName(
-        right.select(*keys, "grp", "query_id", F.col("v").alias("query_v")), allowMissingColumns=True
+        right.select(*keys, "grp", "query_id", "bound", F.col("v").alias("query_v")), allowMissingColumns=True
     )
     parts = min(n_cells * limits.cell_bytes // PARTITION_BYTES, MAX_PARTITIONS)
     if parts > int(b.sparkSession.conf.get("spark.sql.shuffle.partitions")):
@@ -285,7 +295,9 @@ def _co_grouped(b: DataFrame, q: DataFrame, ask: Ask, n_base: int, n_query: int,
             queries = Side.of(rhs.column("query_id").to_numpy(),
                               ask.scorer.load_query(rhs.column("query_v")),
                               rhs.column("grp").to_numpy(), slots.ravel())
-            sink = ask.sink(len(names))
+            limit = np.full(len(names), np.inf)
+            np.minimum.at(limit, slots.ravel(), pc.fill_null(rhs.column("bound"), np.inf).to_numpy())
+            sink = ask.sink(len(names), limit)
             yield from _run(ask, queries, base, sink, names)
             yield _rest(sink, names)
 
@@ -334,8 +346,9 @@ def _cells(df: DataFrame, id_name: str, hot: DataFrame | None, own: str, other:
     mine = F.pmod(F.xxhash64(id_name), own_n).cast("int")
     copies = F.sequence(F.lit(0), other_n - 1)
     own_key, other_key = ("cell_q", "cell_b") if own_first else ("cell_b", "cell_q")
+    extra = ["bound"] if own_first else []
     return df.select(
-        id_name, "v", "grp", cell.cast("bigint").alias("cell"), mine.alias(own_key),
+        id_name, "v", "grp", *extra, cell.cast("bigint").alias("cell"), mine.alias(own_key),
         F.explode(copies).alias(other_key),
     )
 

@@ -7,7 +7,7 @@ from nearspan.errors import ConfigError
 from nearspan.operators import evaluate, exact, graph, hashing, ivf, prep, quantize, reduce
 from nearspan.plans.search import Limits
 
-PATHS = [Limits(path="base"), Limits(path="query"), Limits(path="cells", cell_bytes=8_000)]
+PATHS = [Limits(path="base"), Limits(path="query"), Limits(path="cells", cell_bytes=8_000, sample_from_bytes=0, sample_share=0.3)]
 
 
 @pytest.fixture(scope="module")

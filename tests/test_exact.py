@@ -13,6 +13,7 @@ EYE = np.eye(4)
 PATHS = [
     Limits(path="base"), Limits(path="query"), Limits(path="cells", cell_bytes=4_000),
     Limits(path="query", sample_from_bytes=0, sample_share=0.2),
+    Limits(path="cells", cell_bytes=4_000, sample_from_bytes=0, sample_share=0.2),
 ]
 
 
