@@ -53,7 +53,7 @@ def build(base: DataFrame, *, dims: int, metric: str = "l2", degree: int = 16, p
     distinct = base.groupBy(column).agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("n"))
     distinct = cut_lineage(distinct)
     shared = distinct.where(F.col("n") > 1).select(F.col("vec_id").alias("node_id"), column)
-    copies = base.join(shared, column).select("node_id", "vec_id")
+    copies = cut_lineage(base.join(shared, column).select("node_id", "vec_id"))
     points = distinct.select("vec_id", column)
 
     width = dims // 8 if metric == "hamming" else 8 * dims
