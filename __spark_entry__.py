@@ -27,6 +27,14 @@ from nearspan.sources import raw, tables  # noqa: E402
 from nearspan.sources import vectors as sources  # noqa: E402
 from nearspan.streaming import ingest, match  # noqa: E402
 
+try:  # the text operators are a subpackage of their own, which may be absent
+    import corpus_pipeline  # noqa: E402
+    from nearspan.llm import queries as text_queries  # noqa: E402
+except ImportError as missing:
+    if (missing.name or "") not in ("corpus_pipeline", "nearspan.llm"):
+        raise
+    corpus_pipeline = text_queries = None
+
 DIMS, K = oracles.DIMS, oracles.K
 LISTS, COARSE_ROUNDS = oracles.LISTS, oracles.COARSE_ROUNDS
 SEGMENTS, PQ_BITS, PQ_ROUNDS = oracles.SEGMENTS, 4, oracles.PQ_ROUNDS
@@ -562,6 +570,10 @@ def match_stream(spark, sf):
 
 
 def queries() -> dict[str, Query]:
+    return vector_queries() | (text_queries.queries() | {"pipeline": corpus_pipeline.run} if text_queries else {})
+
+
+def vector_queries() -> dict[str, Query]:
     return {
         "vector_scan": vector_scan, "float32_records": float32_records, "bit_records": bit_records,
         "saved_table": saved_table, "json_results": json_results, "synthetic_vectors": synthetic_vectors,
@@ -600,7 +612,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.build()
+    return oracles.build() | (text_queries.oracle_sql() if text_queries else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
