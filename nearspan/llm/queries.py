@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearspan.llm import decontaminate, mixing, quality_rules
+from nearspan.llm import decontaminate, mixing, quality_fm, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,16 @@ def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf, "documents")).drop("source")
 
 
+def op4_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return quality_fm.score(docs, quality_fm.train(docs, table(spark, sf, "labels")))
+
+
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels")))
+
+
 def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return judged.select("doc_id", *[F.col("f")[c].alias(c) for c in quality_rules.BASE], "base_failed", "kept")
@@ -31,6 +41,7 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {"op2_decontamination": op2_decontamination, "op3_mixing": op3_mixing,
+            "op4_quality_classifier": op4_quality_classifier, "op6_toxicity": op6_toxicity,
             "op10_quality_rules": op10_quality_rules}
 
 
