@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearspan.llm import decontaminate, mixing, quality_fm, quality_rules, toxicity
+from nearspan.llm import decontaminate, html_lstm, mixing, quality_fm, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html_lstm.extract(table(spark, sf, "pages"))
+
+
 def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -40,7 +44,7 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_decontamination": op2_decontamination, "op3_mixing": op3_mixing,
+    return {"op1_html_extraction": op1_html_extraction, "op2_decontamination": op2_decontamination, "op3_mixing": op3_mixing,
             "op4_quality_classifier": op4_quality_classifier, "op6_toxicity": op6_toxicity,
             "op10_quality_rules": op10_quality_rules}
 
