@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearspan.llm import decontaminate, html_lstm, mixing, quality_fm, quality_rules, toxicity
+from nearspan.llm import decontaminate, html_lstm, mixing, order_minhash, quality_fm, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,10 @@ def op4_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality_fm.score(docs, quality_fm.train(docs, table(spark, sf, "labels")))
 
 
+def op5_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return order_minhash.classes(table(spark, sf, "documents")).select("doc_id", "class_id")
+
+
 def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels")))
@@ -45,7 +49,7 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {"op1_html_extraction": op1_html_extraction, "op2_decontamination": op2_decontamination, "op3_mixing": op3_mixing,
-            "op4_quality_classifier": op4_quality_classifier, "op6_toxicity": op6_toxicity,
+            "op4_quality_classifier": op4_quality_classifier, "op5_near_duplicates": op5_near_duplicates, "op6_toxicity": op6_toxicity,
             "op10_quality_rules": op10_quality_rules}
 
 
