@@ -17,7 +17,7 @@ voters and a prior of one tenth are used; repeated rows get equal scores; only n
 from __future__ import annotations
 
 import re
-from collections import Counter
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,19 +25,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearspan.llm.features import LETTERS, bucket, held_out, labelled_sample
+from nearspan.llm.features import LETTERS, held_out, labelled_sample
 from nearspan.session import attach
 
 
 @dataclass(frozen=True)
 class Settings:
-    sample: int = 20_000
+    sample: int = 8_000
     buckets: int = 1 << 18
     mined_voters: int = 12
     mined_patterns: int = 240
     evidence: float = 30.0
     rounds: int = 25
     epochs: int = 8
+    steps: int = 800
     batch: int = 128
     rate: float = 0.3
     sparsity: float = 3e-4
@@ -69,23 +70,22 @@ def words_of(raw: bytes) -> set[bytes]:
     return set(LETTERS.findall(raw.lower()))
 
 
-def signs(raw: bytes) -> set[str]:
-    return {s for w in words_of(raw) for s in beginnings(w.decode("utf8", "replace").lower())}
+def sign(text: str) -> int:
+    return zlib.crc32(text.encode("utf8", "replace"))
 
 
-@dataclass
-class Voters:
-    mined: dict[str, int]
-    names: list[str]
+def signs(raw: bytes) -> np.ndarray:
+    """Sorted 32-bit digests of the distinct signs of a text."""
+    return np.array(sorted({sign(s) for w in words_of(raw) for s in beginnings(w.decode("utf8", "replace").lower())}),
+                    np.uint32)
+
 
-    def vote(self, raw: bytes, found: set[str]) -> list[int]:
-        out = [int(not found.isdisjoint(x.split())) for x in LEXICONS.values()]
-        text = raw.lower().decode("utf8", "replace")
-        out += [int(p.search(text) is not None) for p in PATTERNS.values()]
-        mined = [0] * (len(self.names) - len(out))
-        for s in found & self.mined.keys():
-            mined[self.mined[s]] = 1
-        return out + mined
+def written_votes(raw: bytes) -> list[int]:
+    """Votes of the lexicons and the patterns."""
+    text = raw.lower().decode("utf8", "replace")
+    found = {w.decode("utf8", "replace").lower() for w in words_of(raw)}
+    return ([int(not found.isdisjoint(x.split())) for x in LEXICONS.values()]
+            + [int(p.search(text) is not None) for p in PATTERNS.values()])
 
 
 def evidence(a: int, n: int, b: int, m: int) -> float:
@@ -97,17 +97,17 @@ def evidence(a: int, n: int, b: int, m: int) -> float:
     return 2 * sum(x * np.log(x / e) for x, e in parts if x)
 
 
-def mine(rows: list[tuple[int, set[str]]], s: Settings = Settings()) -> Voters:
-    """Patterns of the labelled rows, the strongest first, dealt over the voters in turn."""
-    toxic, clean, n = Counter(), Counter(), [0, 0]
-    for y, found in rows:
-        (toxic if y else clean).update(found)
-        n[bool(y)] += 1
-    scored = [(evidence(toxic[w], n[1], clean[w], n[0]), w) for w in toxic if toxic[w] > 2]
-    best = sorted((x for x in scored if x[0] >= s.evidence), key=lambda x: (-x[0], x[1]))[:s.mined_patterns]
-    fixed = [*LEXICONS, *PATTERNS]
-    return Voters({w: i % s.mined_voters for i, (_, w) in enumerate(best)},
-                  fixed + [f"mined{i}" for i in range(s.mined_voters)])
+def mine(y: np.ndarray, found: list[np.ndarray], s: Settings = Settings()) -> list[np.ndarray]:
+    """Signs of the toxic rows, the clearest first, dealt over the voters in turn: one array per voter."""
+    n = [int((y == 0).sum()), int((y != 0).sum())]
+    empty = [np.zeros(0, np.uint32)]
+    signs_of = [np.concatenate(empty + [f for f, t in zip(found, y, strict=True) if bool(t) == c]) for c in (False, True)]
+    kinds, toxic = np.unique(signs_of[1], return_counts=True)
+    clean = np.bincount(np.searchsorted(kinds, signs_of[0][np.isin(signs_of[0], kinds)]), minlength=len(kinds)) \
+        if len(kinds) else np.zeros(0, int)
+    scored = [(evidence(int(a), n[1], int(b), n[0]), int(w)) for w, a, b in zip(kinds, toxic, clean, strict=True) if a > 2]
+    best = sorted((v for v in scored if v[0] >= s.evidence), key=lambda v: (-v[0], v[1]))[:s.mined_patterns]
+    return [np.array([w for _, w in best[i::s.mined_voters]], np.uint32) for i in range(s.mined_voters)]
 
 
 @dataclass
@@ -162,7 +162,7 @@ class Classifier:
         size, weights, known = len(self.weights), self.weights, {}
 
         def of(word: bytes) -> tuple[int, ...]:
-            at = {bucket(s.encode(), size) for s in beginnings(word.decode("utf8", "replace").lower())}
+            at = {sign(s) % size for s in beginnings(word.decode("utf8", "replace").lower())}
             return tuple(i for i in at if weights[i])
 
         def score(raw: bytes) -> float:
@@ -181,13 +181,14 @@ class Classifier:
         return score
 
 
-def fit_linear(texts: list[set[str]], q: np.ndarray, s: Settings = Settings()) -> Classifier:
-    """Adagrad with soft thresholding on posterior labels."""
+def fit_linear(found: list[np.ndarray], q: np.ndarray, s: Settings = Settings()) -> Classifier:
+    """Adagrad with soft thresholding on posterior labels; few rows are passed over more often."""
     rng = np.random.default_rng(s.seed)
-    rows = [np.array(sorted({bucket(x.encode(), s.buckets) for x in t}), np.int64) for t in texts]
+    rows = [np.unique(f % np.uint32(s.buckets)).astype(np.int32) for f in found]
     share = float((q.sum() + 1) / (len(q) + 2))
     weights, g, bias, gb = np.zeros(s.buckets), np.full(s.buckets, 1e-4), float(np.log(share / (1 - share))), 1e-4
-    for _ in range(s.epochs if rows else 0):
+    passes = max(s.epochs, s.steps * s.batch // max(len(rows), 1))
+    for _ in range(passes if rows else 0):
         order = rng.permutation(len(rows))
         for i in range(0, len(order), s.batch):
             part = order[i:i + s.batch]
@@ -214,21 +215,18 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Class
 
     def shrink(batches):
         for b in batches:
-            raws = b.column("text").cast(pa.large_binary())
-            packed = [b" ".join(sorted(words_of(x.as_py() or b""))) for x in raws]
-            whole = [[int(p.search((x.as_py() or b"").lower().decode("utf8", "replace")) is not None)
-                      for p in PATTERNS.values()] for x in raws]
-            yield pa.record_batch([b.column("doc_id"), b.column("y"), pa.array(packed, pa.binary()),
-                                   pa.array(whole, pa.list_(pa.int32()))], ["doc_id", "y", "words", "patterns"])
+            raws = [x.as_py() or b"" for x in b.column("text").cast(pa.large_binary())]
+            yield pa.record_batch([b.column("doc_id"), b.column("y"), pa.array([signs(x).tobytes() for x in raws], pa.binary()),
+                                   pa.array([written_votes(x) for x in raws], pa.list_(pa.int32()))],
+                                  ["doc_id", "y", "signs", "votes"])
 
-    kind = f"doc_id {dict(sample.dtypes)['doc_id']}, y int, words binary, patterns array<int>"
+    kind = f"doc_id {dict(sample.dtypes)['doc_id']}, y int, signs binary, votes array<int>"
     rows = sorted(sample.mapInArrow(shrink, kind).collect(), key=lambda r: str(r.doc_id))
-    found = [signs(bytes(r.words)) for r in rows]
-    voters = mine(list(zip([r.y for r in rows], found, strict=True)), s)
-    votes = np.array([voters.vote(b"", f) for f in found]).reshape(len(rows), len(voters.names))
-    if rows:
-        votes[:, len(LEXICONS):len(LEXICONS) + len(PATTERNS)] = [r.patterns for r in rows]
-    prior = (sum(r.y for r in rows) + 1) / (len(rows) + 10)
+    y, found = np.array([r.y for r in rows]), [np.frombuffer(r.signs, np.uint32) for r in rows]
+    mined = mine(y, found, s)
+    votes = np.array([r.votes + [int(np.isin(f, m).any()) for m in mined] for r, f in zip(rows, found, strict=True)])
+    votes = votes.reshape(len(rows), len(LEXICONS) + len(PATTERNS) + len(mined))
+    prior = (y.sum() + 1) / (len(y) + 10)
     return fit_linear(found, label_model(votes, prior, s).posterior(votes), s)
 
 
