@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearspan.llm import decontaminate, html_lstm, mixing, order_minhash, quality_fm, quality_rules, suffix_dedup, toxicity
+from nearspan.llm import decontaminate, html_lstm, licenses, mixing, order_minhash, quality_fm, quality_rules, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,10 @@ def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.strip_repeats(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "repeats.*")
 
 
+def op9_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(table(spark, sf, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return judged.select("doc_id", *[F.col("f")[c].alias(c) for c in quality_rules.BASE], "base_failed", "kept")
@@ -54,8 +58,10 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {"op1_html_extraction": op1_html_extraction, "op2_decontamination": op2_decontamination, "op3_mixing": op3_mixing,
             "op4_quality_classifier": op4_quality_classifier, "op5_near_duplicates": op5_near_duplicates, "op6_toxicity": op6_toxicity,
-            "op8_suffix_dedup": op8_suffix_dedup, "op10_quality_rules": op10_quality_rules}
+            "op8_suffix_dedup": op8_suffix_dedup, "op9_license_scan": op9_license_scan,
+            "op10_quality_rules": op10_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": decontaminate.SQL, "op3_mixing": mixing.SQL}
+    return {"op2_decontamination": decontaminate.SQL, "op3_mixing": mixing.SQL,
+            "op9_license_scan": licenses.sql()}
