@@ -1,10 +1,17 @@
-"""The corpus pipeline: quality rules, near-duplicates, repeated passages, decontamination, mixing."""
+"""The corpus pipeline: quality rules, near-duplicates, repeated passages, decontamination, mixing.
+
+``STAGES`` are applied in order; each reads what the one before it kept, as a written table. Documents that the
+quality rules reject go; of each class of near copies one document stays; passages of 100 bytes or more that occur
+earlier are cut out of the texts (``n_chars`` follows); documents contaminated by the benchmark go; what is left is
+mixed to the target weights of its sources. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from nearspan.llm import decontaminate, mixing, quality_rules
+from nearspan.llm import decontaminate, mixing, order_minhash, quality_rules, suffix_dedup
 from nearspan.session import cut_lineage
 
 
@@ -12,6 +19,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return order_minhash.drop_near(docs)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    stripped = suffix_dedup.strip_repeats(docs).drop("repeats")
+    return stripped.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -20,7 +36,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(docs)
 
 
-STAGES = [("quality rules", quality), ("benchmark decontamination", benchmark), ("mixing", mix)]
+STAGES = [("quality rules", quality), ("MinHash near-dedup", near_copies), ("suffix-array dedup", repeats),
+          ("benchmark decontamination", benchmark), ("mixing sources", mix)]
+#: The classes of near copies (order MinHash) and the risk-controlled cutoffs cannot be stated in SQL; tests hold the
+#: stages against brute force instead.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearspan.llm import decontaminate, html_lstm, licenses, mixing, order_minhash, quality_fm, quality_rules, suffix_dedup, toxicity
+from nearspan.llm import decontaminate, html_lstm, licenses, masked_lm, mixing, order_minhash, quality_fm, quality_rules, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,11 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels")))
 
 
+def op7_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return masked_lm.score(docs, *masked_lm.train(docs))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.strip_repeats(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "repeats.*")
 
@@ -58,7 +63,7 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {"op1_html_extraction": op1_html_extraction, "op2_decontamination": op2_decontamination, "op3_mixing": op3_mixing,
             "op4_quality_classifier": op4_quality_classifier, "op5_near_duplicates": op5_near_duplicates, "op6_toxicity": op6_toxicity,
-            "op8_suffix_dedup": op8_suffix_dedup, "op9_license_scan": op9_license_scan,
+            "op7_lm_scoring": op7_lm_scoring, "op8_suffix_dedup": op8_suffix_dedup, "op9_license_scan": op9_license_scan,
             "op10_quality_rules": op10_quality_rules}
 
 
