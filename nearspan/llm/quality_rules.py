@@ -9,8 +9,8 @@ Testing along a fixed order needs no correction inside one order; the level is d
 the one that separates the labels best is used, the loosest of equals; without evidence a rule stays unused.
 
 Defined cases: a null text is an empty text; without words it fails the base. Labels that are null, of null or
-unknown documents are unused; a document labelled twice is good only if all its labels say so. Copies of equal
-figures count once as evidence. Repeated rows each get the same verdict. Extra columns pass through
+unknown documents are unused; a document labelled twice is good only if all its labels say so. Copies of
+a text count once as evidence. Repeated rows each get the same verdict. Extra columns pass through
 :func:`keep_good` and never clash: the figures live in one struct column with a private name.
 """
 
@@ -22,13 +22,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearspan.session import attach, cut_lineage
 
 FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks",
-          "n_wide")
+          "n_wide", "digest")
 BASE = FIELDS[:5]
 SPACE, SYMBOLS, MARKS = b" \t\n\r\x0b\x0c", b"#*$%&|<>", b"!?"
 CAPITALS = bytes(range(65, 91))
@@ -78,7 +79,7 @@ def figures_of(raw: bytes, chars: int) -> tuple[int, ...]:
     lines = [x for x in raw.split(b"\n") if x.strip()]
     return (len(words), chars - blanks, len(raw) - len(raw.translate(None, SYMBOLS)), len(lines) - len(set(lines)),
             repeated_words(words), len(lines), len(raw) - len(raw.translate(None, CAPITALS)),
-            len(raw) - len(raw.translate(None, MARKS)), len(raw) - chars)
+            len(raw) - len(raw.translate(None, MARKS)), len(raw) - chars, xxhash.xxh3_64_intdigest(raw) >> 1)
 
 
 def _figures(texts: pa.Array) -> pa.Array:
@@ -176,6 +177,11 @@ def choose(counts: dict[tuple[int, str, int, int], int], settings: Settings = Se
     return out
 
 
+def _level(rate: Column, cuts: list[float]) -> Column:
+    """How many of the cutoffs the rate exceeds."""
+    return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: rate > c))
+
+
 def calibrate(measured: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> dict[tuple[int, str], float]:
     """Cutoffs from a table (doc_id, f) of figures and labels (doc_id, quality).
 
@@ -185,9 +191,7 @@ def calibrate(measured: DataFrame, labels: DataFrame, settings: Settings = Setti
              .agg(F.min("quality").cast("int").alias("q")))
     f = F.col("f")
     seen = (measured.select("doc_id", "f").join(marks, "doc_id").filter(~base_failed(f)).select("f", "q").distinct())
-    levels = [F.struct(F.lit(rule).alias("rule"),
-                       F.size(F.filter(F.array(*[F.lit(c) for c in grid(rule, settings.steps)]),
-                                       lambda c, rate=rate: rate > c)).alias("level"))
+    levels = [F.struct(F.lit(rule).alias("rule"), _level(rate, grid(rule, settings.steps)).alias("level"))
               for rule, rate in _rates(f).items()]
     rows = (seen.select(stratum(f).alias("s"), "q", F.explode(F.array(*levels)).alias("x"))
             .groupBy("s", "q", "x.rule", "x.level").count().collect())
