@@ -132,8 +132,7 @@ def json_results(spark, sf):
 
 def synthetic_vectors(spark, sf):
     made = sources.synthetic_vectors(embeddings(spark, sf), 32)
-    return made.select("vec_id", F.size("embedding").alias("dims"),
-                       F.round(distance.norm(F.col("embedding")), 6).alias("norm"))
+    return exploded(made, "embedding", "vec_id").withColumn("value", F.round("value", 6))
 
 
 def text_embedding(spark, sf):
@@ -186,7 +185,8 @@ def _three(make) -> DataFrame:
 
 def pairwise_aligned(spark, sf):
     left, right = embeddings(spark, sf), scaled(spark, sf)
-    return _three(lambda m: pairwise.aligned(left, right, "vec_id", m))
+    return pairwise.aligned(left, right, "vec_id", *distance.METRICS).select(
+        "vec_id", *[F.round(m, 6).alias(m) for m in distance.METRICS])
 
 
 def pairwise_one_to_many(spark, sf):
@@ -298,8 +298,7 @@ def fp16_codes(spark, sf):
     e = embeddings(spark, sf)
     model = quantize.train_scalar(e, "SQfp16")
     both = quantize.decode_scalar(quantize.encode_scalar(e, model), model)
-    off = F.zip_with("embedding", "decoded", lambda a, b: F.abs(a - b) > F.abs(a) / 1024 + 1e-7)
-    return both.select("vec_id", (~F.exists(off, lambda x: x)).alias("within_half_precision"))
+    return exploded(both, "decoded", "vec_id").withColumn("value", F.round("value", 9))
 
 
 def sq8_search(spark, sf):
@@ -479,10 +478,13 @@ def append(spark, sf):
 
 
 def _ingested(spark, sf) -> str:
+    """The table arrives in four files, by id modulo 4, one per batch."""
     target = scratch_path(spark, "ingest")
-    schema = spark.read.parquet(f"{sf}/embeddings.parquet").schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .parquet(f"{sf}/embeddings*.parquet").withColumnRenamed("vec_id", "source_id"))
+    e = spark.read.parquet(f"{sf}/embeddings.parquet")
+    for i in range(4):
+        e.where(F.pmod("vec_id", F.lit(4)) == i).coalesce(1).write.mode("append").parquet(f"{target}/arriving")
+    stream = (spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1)
+              .parquet(f"{target}/arriving").withColumnRenamed("vec_id", "source_id"))
     ingest.ingest(stream, f"{target}/table", f"{target}/log", order=["label", "source_id"]).awaitTermination()
     return f"{target}/table"
 
@@ -528,6 +530,19 @@ def inspect(spark, sf):
                       F.round("skew", 6).alias("skew"), F.size("hints").alias("hint_count"))
 
 
+def stats_codes(spark, sf):
+    return VectorIndex(IndexConfig(DIMS, "BINARY_FLAT")).add(codes(spark, sf)).stats()
+
+
+def check_codes(spark, sf):
+    return VectorIndex(IndexConfig(DIMS, "BINARY_FLAT")).add(codes(spark, sf)).check()
+
+
+def merge_codes(spark, sf):
+    c = codes(spark, sf)
+    return maintain.merge(c, c).select("vec_id", F.hex("code").alias("code"))
+
+
 def check(spark, sf):
     return VectorIndex(IndexConfig(DIMS)).add(embeddings(spark, sf)).check()
 
@@ -606,6 +621,7 @@ def vector_queries() -> dict[str, Query]:
         "lookup": lookup, "remove": remove,
         "removed_count": lambda spark, sf: maintain.removed_count(embeddings(spark, sf), _poor(spark, sf)),
         "merge": merge, "reset": reset, "stats": stats, "inspect": inspect, "check": check,
+        "stats_codes": stats_codes, "check_codes": check_codes, "merge_codes": merge_codes,
         "retrieve_documents": retrieve_documents, "recommend": recommend, "media_similarity": media_similarity,
         "match_stream": match_stream,
     }

@@ -82,8 +82,8 @@ class IndexConfig:
             raise ConfigError("bit dims must be divisible by 8")
         self._check_reduction()
         if "PQ" in self.kind and self.work_dims % self.option("pq_segments"):
-            raise DimensionError(f"pq_segments must evenly divide dims. Got dims={self.work_dims}, "
-                                 f"pq_segments={self.option('pq_segments')}")
+            raise DimensionError(f"{self.work_dims} components cannot be cut into {self.option('pq_segments')} "
+                                 "segments of one width (pq_segments)")
 
     def _check_metric(self) -> None:
         if self.metric is None:

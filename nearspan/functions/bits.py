@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from nearspan.plans.kernels import matrix
+
 
 def sign_code(v: Column, dims: int) -> Column:
     """One bit per dimension, set where the component is positive."""
@@ -36,8 +40,12 @@ def bit(code: Column, position: int) -> Column:
 
 
 def leading_bits(code: Column, start: int, count: int) -> Column:
-    """Bits ``start .. start+count-1`` packed in one BIGINT (bit ``start`` lowest); count <= 63."""
-    total = F.lit(0).cast("bigint")
-    for i in range(count):
-        total = total + F.shiftleft(bit(code, start + i).cast("bigint"), i)
-    return total
+    """Bits ``start .. start+count-1`` packed in one BIGINT (bit ``start`` lowest); count <= 64. One unpacking per batch."""
+    @F.arrow_udf("bigint")
+    def packed_bits(codes: pa.Array) -> pa.Array:
+        rows = np.unpackbits(matrix(codes), axis=1, bitorder="little")[:, start:start + count]
+        full = np.zeros((len(rows), 64), np.uint8)
+        full[:, :count] = rows
+        return pa.array(np.packbits(full, axis=1, bitorder="little").view("<i8").ravel())
+
+    return packed_bits(code)

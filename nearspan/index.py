@@ -8,6 +8,7 @@ from __future__ import annotations
 import dataclasses
 from dataclasses import dataclass, field, replace
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,8 +117,10 @@ class VectorIndex:
         if self.graph is not None:
             return self.graph
         c = self.config
-        return graph.build(self._filled(), dims=c.work_dims, metric=c.work_metric, degree=c.option("degree"),
-                           pool=c.option("ef_construction"), limits=self.limits)
+        built = graph.build(self._filled(), dims=c.work_dims, metric=c.work_metric, degree=c.option("degree"),
+                            pool=c.option("ef_construction"), limits=self.limits)
+        object.__setattr__(self, "graph", built)  # kept: later searches of this index do not build it again
+        return built
 
     # ---- search
 
@@ -201,7 +204,7 @@ class VectorIndex:
             raise ConfigError("an index cannot be merged with itself")
         if other.config.dims != self.config.dims or other.config.is_bits != self.config.is_bits:
             raise DimensionError("indexes of different width cannot be merged")
-        if self.models is not other.models and (self.models or other.models):
+        if not same_models(self.models, other.models):
             raise ConfigError("indexes with different models cannot be merged")
         moved = other._filled().withColumn("vec_id", F.col("vec_id") + F.lit(maintain.next_id(self._filled())))
         return self._with_rows(self._filled().unionByName(moved))
@@ -228,7 +231,6 @@ class VectorIndex:
         return row.withColumn("hints", F.lit(texts) if texts else F.array().cast("array<string>"))
 
     def check(self, sample_size: int = 3) -> DataFrame:
-        self._no_bits("the health check of vectors")
         return maintain.check(self.vectors(), dims=self.config.work_dims, metric=self.config.work_metric,
                               sample_size=sample_size)
 
@@ -244,6 +246,8 @@ class VectorIndex:
             partition_by="list_id" if "coarse" in self.models else None)
         for name, model in self.models.items():
             tables.save_model(spark, model, f"{path}/model_{name}", mode)
+        if c.kind.endswith("HNSW"):
+            graph.save(self._graph(), f"{path}/graph", mode)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "VectorIndex":
@@ -264,4 +268,14 @@ class VectorIndex:
         if "PQ" in config.kind:
             wanted.append("product")
         models = {n: tables.load_model(spark, classes[n][0], f"{path}/model_{n}", **classes[n][1]) for n in wanted}
-        return cls(config, tables.load_table(spark, path, dims=config.dims), models)
+        built = graph.load(spark, f"{path}/graph", config.work_metric) if config.kind.endswith("HNSW") else None
+        return cls(config, tables.load_table(spark, path, dims=config.dims), models, built)
+
+
+def same_models(a: dict, b: dict) -> bool:
+    """Equal names, and equal values in every field: two loads of one folder have the same models."""
+    def equal(x, y) -> bool:
+        return type(x) is type(y) and all(
+            np.array_equal(getattr(x, f.name), getattr(y, f.name)) for f in dataclasses.fields(x))
+
+    return a.keys() == b.keys() and all(a[n] is b[n] or equal(a[n], b[n]) for n in a)

@@ -14,7 +14,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearspan.errors import ConfigError
@@ -23,6 +23,7 @@ from nearspan.operators.exact import ranked
 from nearspan.plans.kernels import Scorer, matrix, packed
 from nearspan.plans.search import Limits, check_k, top_k
 from nearspan.session import attach, cut_bucketed, cut_lineage
+from nearspan.sources import tables
 
 BUILD_PROBES = 3
 BUILD_ROUNDS = 3
@@ -74,6 +75,20 @@ def build(base: DataFrame, *, dims: int, metric: str = "l2", degree: int = 16, p
     return Graph(cut_bucketed(nodes, "vec_id"), _entries(assigned, coarse), copies, coarse)
 
 
+def save(graph: Graph, path: str, mode: str = "errorifexists") -> None:
+    """Write the tables of a graph and its centres below one folder."""
+    for name in ("nodes", "entries", "copies"):
+        getattr(graph, name).write.mode(mode).parquet(f"{path}/{name}")
+    tables.save_model(graph.nodes.sparkSession, graph.coarse, f"{path}/coarse", mode)
+
+
+def load(spark: SparkSession, path: str, metric: str) -> Graph:
+    """The graph as it was saved; its nodes are stored in buckets again, so that hops shuffle only their frontier."""
+    read = {name: spark.read.parquet(f"{path}/{name}") for name in ("nodes", "entries", "copies")}
+    coarse = tables.load_model(spark, ivf.CoarseModel, f"{path}/coarse", metric=metric)
+    return Graph(cut_bucketed(read["nodes"], "vec_id"), read["entries"], read["copies"], coarse)
+
+
 def _entries(assigned: DataFrame, coarse: ivf.CoarseModel) -> DataFrame:
     """The node closest to each centre."""
     table = coarse.table(assigned.sparkSession)

@@ -8,10 +8,12 @@ from pyspark.sql import types as T
 
 from nearspan.errors import ConfigError, DimensionError
 from nearspan.functions.vectors import is_valid
-from nearspan.operators.exact import knn
+from nearspan.operators.exact import hamming_knn, knn
 from nearspan.operators.prep import numbered
 
 STATS_FIELDS = ("ntotal", "dims", "is_trained", "kind", "metric")
+# fixed values: names of the checks, in order
+DIMENSIONS, COUNT, BYTES, SAMPLE, SELF = "dimensions", "vectorCount", "bytesPerVector", "reconstruct", "selfSearch"
 
 
 def next_id(table: DataFrame) -> int:
@@ -27,18 +29,20 @@ def append(table: DataFrame, new: DataFrame, order: list[str]) -> DataFrame:
 def merge(table: DataFrame, other: DataFrame) -> DataFrame:
     """Rows of ``other`` after those of ``table``: its ids move up by the next free id.
 
-    Both tables must have equal columns and width; neither is changed.
+    Both tables must have equal columns and every vector (or code) of both the same width; neither is changed.
     """
-    widths = [_width(t) for t in (table, other)]
-    if None not in widths and widths[0] != widths[1]:
-        raise DimensionError(f"cannot merge vectors of width {widths[1]} into width {widths[0]}")
+    seen = {w for t in (table, other) for w in _widths(t)}
+    if len(seen) > 1:
+        raise DimensionError(f"cannot merge vectors of widths {sorted(seen, key=str)}")
     moved = other.withColumn("vec_id", F.col("vec_id") + F.lit(next_id(table)))
     return table.unionByName(moved.select(*table.columns))
 
 
-def _width(table: DataFrame) -> int | None:
-    first = table.select(F.size("embedding")).take(1)
-    return first[0][0] if first else None
+def _widths(table: DataFrame) -> set[int]:
+    """Smallest and largest width of a table of vectors or codes."""
+    width = F.octet_length("code") if "code" in table.columns else F.size("embedding")
+    row = table.agg(F.min(width).alias("low"), F.max(width).alias("high")).first()
+    return {w for w in row if w is not None}
 
 
 def remove(table: DataFrame, ids: DataFrame) -> DataFrame:
@@ -58,15 +62,17 @@ def reset(table: DataFrame) -> DataFrame:
 
 
 def lookup(table: DataFrame, ids: DataFrame) -> DataFrame:
-    """``(pos, vec_id, ...)`` of the listed ids, one row per request, so repeated ids stay repeated."""
-    return ids.select("pos", "vec_id").join(table, "vec_id").select("pos", *table.columns)
+    """``(pos, vec_id, ...)`` of the listed ids, one row per request, so repeated ids stay repeated and an id that the
+    table does not hold comes back with null columns."""
+    return ids.select("pos", "vec_id").join(table, "vec_id", "left").select("pos", *table.columns)
 
 
 def stats(table: DataFrame, *, dims: int, kind: str, metric: str, is_trained: bool = True) -> DataFrame:
-    """One row of :data:`STATS_FIELDS`."""
+    """One row of :data:`STATS_FIELDS`; for bit codes also ``bytes_per_vector``."""
+    more = [F.lit(dims // 8).alias("bytes_per_vector")] if metric == "hamming" else []
     return table.agg(F.count(F.lit(1)).alias("ntotal")).select(
         "ntotal", F.lit(dims).alias("dims"), F.lit(is_trained).alias("is_trained"),
-        F.lit(kind).alias("kind"), F.lit(metric).alias("metric"))
+        F.lit(kind).alias("kind"), F.lit(metric).alias("metric"), *more)
 
 
 def list_skew(assigned: DataFrame) -> DataFrame:
@@ -81,44 +87,49 @@ def hints(spark: SparkSession, *, kind: str, metric: str) -> DataFrame:
     """``(hint)`` rows that fit the kind of table."""
     rows: list[tuple[str]] = []
     if kind.startswith("IVF"):
-        rows.append(("more probed lists raise recall and cost",))
-        rows.append(("lists far above the mean size are cut into cells; more lists even them out",))
+        rows.append(("nprobe trades the share of neighbours found for time",))
+        rows.append(("a skew far above 1 means uneven lists: train with more of them",))
     if metric == "ip":
-        rows.append(("normalise vectors first if cosine similarity is wanted",))
+        rows.append(("inner products equal cosines only between unit vectors",))
     return spark.createDataFrame(rows, T.StructType([T.StructField("hint", T.StringType())]))
 
 
 def sample_ids(table: DataFrame, ntotal: int, size: int) -> DataFrame:
-    """Ids at every floor(n/size)-th position in id order, and the last one."""
-    step = max(1, ntotal // size)
-    picks = [i * step for i in range(size) if i * step < ntotal]
-    if picks and picks[-1] != ntotal - 1:
-        picks.append(ntotal - 1)
-    return numbered(table.select("vec_id"), ["vec_id"]).where(F.col("seq").isin(picks)).select("vec_id")
+    """Ids at every floor(n/size)-th position in id order, ``size`` of them, and the last one."""
+    step, at = max(1, ntotal // size), F.col("seq")
+    wanted = ((at % step == 0) & (at < size * step)) | (at == ntotal - 1)
+    return numbered(table.select("vec_id"), ["vec_id"]).where(wanted).select("vec_id")
 
 
 def check(table: DataFrame, *, dims: int, metric: str = "l2", sample_size: int = 3,
           vector: Column | None = None) -> DataFrame:
     """Rows ``(check, passed, message)``: width, count, sampled vectors, and that the first sampled
-    vector finds something. ``vector`` is the decoding expression of an encoded table."""
+    vector finds something. ``vector`` is the decoding expression of an encoded table. A table of bit codes (metric
+    ``hamming``) is also checked for its bytes per vector."""
     if sample_size < 0:
         raise ConfigError("sample_size must not be negative")
     spark = table.sparkSession
-    vector = F.col("embedding") if vector is None else vector
+    bits = metric == "hamming"
+    column = "code" if bits else "embedding"
+    vector = F.col(column) if vector is None else vector
     ntotal = table.count()
-    checks = [("dimensions", dims > 0, f"dims={dims}"), ("vectorCount", ntotal >= 0, f"ntotal={ntotal}")]
+    checks = [(DIMENSIONS, dims > 0, f"dims={dims}"), (COUNT, ntotal >= 0, f"ntotal={ntotal}")]
+    if bits:
+        widths = _widths(table)
+        checks.append((BYTES, widths <= {dims // 8}, f"bytesPerVector={','.join(map(str, sorted(widths)))}"))
     if ntotal and sample_size:
         ids = sample_ids(table, ntotal, min(sample_size, ntotal))
-        sample = table.join(F.broadcast(ids), "vec_id").select("vec_id", vector.alias("embedding"))
-        rows = sample.withColumn("ok", is_valid(F.col("embedding"), dims)).orderBy("vec_id").collect()
+        sample = table.join(F.broadcast(ids), "vec_id").select("vec_id", vector.alias(column))
+        ok = F.octet_length("code") == dims // 8 if bits else is_valid(F.col("embedding"), dims)
+        rows = sample.withColumn("ok", ok).orderBy("vec_id").collect()
         names = ",".join(str(r.vec_id) for r in rows)
-        checks.append(("reconstruct", all(r.ok for r in rows), f"sampleIds={names}"))
+        checks.append((SAMPLE, all(r.ok for r in rows), f"sampleIds={names}"))
         found = False
         if rows[0].ok:
-            query = spark.createDataFrame([(rows[0].vec_id, rows[0].embedding)],
-                                          "query_id long, embedding array<double>")
-            base = table.select("vec_id", vector.alias("embedding"))
-            found = not knn(base, query, 1, metric=metric, dims=dims).isEmpty()
-        checks.append(("selfSearch", found,
-                       "search returned at least one row" if found else "search returned no rows"))
+            kind = "binary" if bits else "array<double>"
+            query = spark.createDataFrame([(rows[0].vec_id, rows[0][column])], f"query_id long, {column} {kind}")
+            base = table.select("vec_id", vector.alias(column))
+            hits = hamming_knn(base, query, 1, dims=dims) if bits else knn(base, query, 1, metric=metric, dims=dims)
+            found = not hits.isEmpty()
+        checks.append((SELF, found, "a sampled vector has a nearest row" if found else "a sampled vector has no nearest row"))
     return spark.createDataFrame(checks, "check string, passed boolean, message string")

@@ -62,15 +62,33 @@ def scalar_bits(sq_type: str) -> int:
 
 
 def train_scalar(df: DataFrame, sq_type: str = "SQ8") -> ScalarModel:
-    """Minimum and maximum of every dimension, in one aggregate with map-side combine."""
+    """Minimum and maximum of every dimension: one row of each per task, null or non-finite vectors are an error."""
     bits = scalar_bits(sq_type)
-    ranges = (
-        df.select(F.posexplode("embedding").alias("dim", "x"))
-        .groupBy("dim").agg(F.min("x").cast("double").alias("low"), F.max("x").cast("double").alias("high"))
-        .orderBy("dim").toArrow()
-    )
+    attach(df.sparkSession)
+
+    def ends(batches):
+        low = high = None
+        for b in batches:
+            if b.num_rows:
+                rows = matrix(b.column(0))
+                if low is not None and rows.shape[1] != len(low):
+                    raise ValueError("vectors of one table must all have the same width")
+                low = rows.min(axis=0) if low is None else np.minimum(low, rows.min(axis=0))
+                high = rows.max(axis=0) if high is None else np.maximum(high, rows.max(axis=0))
+        if low is not None:
+            yield pa.record_batch([pa.array(np.arange(len(low), dtype=np.int32)), pa.array(low), pa.array(high)],
+                                  ["dim", "low", "high"])
+
+    ranges = (df.select("embedding").mapInArrow(ends, "dim int, low double, high double").groupBy("dim")
+              .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count(F.lit(1)).alias("n")).orderBy("dim").toArrow())
+    if not ranges.num_rows:
+        raise ConfigError("scalar ranges need at least one vector")
+    if len(set(ranges.column("n").to_pylist())) > 1:
+        raise DimensionError("vectors of one table must all have the same width")
     low, high = ranges.column("low").to_numpy(), ranges.column("high").to_numpy()
     if bits == 16:
+        if max(abs(low).max(), abs(high).max()) > np.finfo(np.float16).max:
+            raise ConfigError("values beyond the range of half-precision floats")
         return ScalarModel(low * 0, low * 0, 0)
     levels = (1 << bits) - 1
     return ScalarModel(low, (high - low) / levels, levels)
@@ -167,7 +185,7 @@ def train_product(df: DataFrame, segments: int = 8, bits: int = 8, *, dims: int,
                   rounds: int = ivf.DEFAULT_ROUNDS) -> ProductModel:
     """2**bits centres per segment; all segments are trained in the same passes over the table."""
     if dims % segments:
-        raise DimensionError(f"segments must evenly divide dims. Got dims={dims}, segments={segments}")
+        raise DimensionError(f"{dims} components cannot be cut into {segments} segments of one width")
     codebooks, _ = lloyd(df, column, k=1 << bits, rounds=rounds, segments=segments)
     return ProductModel(codebooks)
 

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 
 def with_items(hits: DataFrame, items: DataFrame, item_key: str) -> DataFrame:
-    """Hits with the columns of their items. Both sides are joined on the item key; Spark broadcasts the
-    hits when they are few, so the item table is scanned once and not shuffled."""
-    return hits.join(items.withColumnRenamed(item_key, "vec_id"), "vec_id")
+    """Hits with the columns of their items, null where the item table has no such key: no hit is lost."""
+    return hits.join(items.withColumnRenamed(item_key, "vec_id"), "vec_id", "left")
 
 
 def documents(hits: DataFrame, docs: DataFrame, key: str = "doc_id") -> DataFrame:

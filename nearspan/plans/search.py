@@ -32,10 +32,9 @@ from nearspan.errors import ConfigError
 from nearspan.plans.kernels import Scorer, Side, TopK, Within, match
 from nearspan.session import attach, cut_lineage
 
-MAX_PARTITIONS = 50_000
 PARTITION_BYTES = 256 << 20
 MAX_BROADCAST_GROUPS = 500_000
-MAX_LISTED_GROUPS = 2_000
+MAX_LISTED_GROUPS = 20_000
 
 HITS = "query_id long, vec_id long, distance double"
 HIT_SCHEMA = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("distance", pa.float64())])
@@ -90,6 +89,8 @@ def match_tables(
 
 
 def _match(b: DataFrame, q: DataFrame, ask: Ask, width: int, limits: Limits) -> DataFrame:
+    if "grp" in b.columns:
+        b = _probed_only(b, q)
     path, n_base, n_query = _choose(b, q, ask, width, limits)
     if path == "base":
         found = _stream_queries(b, q, ask)
@@ -216,10 +217,6 @@ def _stream_base(b: DataFrame, q: DataFrame, ask: Ask, bounds: DataFrame | None)
         limit = np.full(len(names), np.inf)
         limit[np.searchsorted(names, known.column("query_id").to_numpy())] = known.column("bound").to_numpy()
     held = b.sparkSession.sparkContext.broadcast((side, names, limit))
-    if side.groups is not None:
-        probed = np.unique(side.groups)
-        if len(probed) <= MAX_LISTED_GROUPS:  # reaches the scan as a partition filter
-            b = b.where(F.col("grp").isin(probed.tolist()))
 
     def scan(batches):
         queries, query_ids, start = held.value
@@ -265,7 +262,6 @@ def _in_cells(b: DataFrame, q: DataFrame, ask: Ask, bounds: DataFrame | None, n_
         cut_b, cut_q = math.ceil(n_base / cell_rows) or 1, math.ceil(n_query / query_rows) or 1
         hot = None
     else:
-        b = _probed_only(b, q)
         hot = _hot_groups(b, q, cell_rows, query_rows)
         cut_b = cut_q = None
 
@@ -280,7 +276,7 @@ def _in_cells(b: DataFrame, q: DataFrame, ask: Ask, bounds: DataFrame | None, n_
     both = left.select(*keys, "grp", "vec_id", F.col("v").alias("base_v")).unionByName(
         right.select(*keys, "grp", "query_id", "bound", F.col("v").alias("query_v")), allowMissingColumns=True
     )
-    parts = min(n_cells * limits.cell_bytes // PARTITION_BYTES, MAX_PARTITIONS)
+    parts = n_cells * limits.cell_bytes // PARTITION_BYTES
     if parts > int(b.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         both = both.repartition(parts, *keys)
 
@@ -305,11 +301,17 @@ def _in_cells(b: DataFrame, q: DataFrame, ask: Ask, bounds: DataFrame | None, n_
 
 
 def _probed_only(b: DataFrame, q: DataFrame) -> DataFrame:
-    """Drop base rows of groups that no query asks for, before they are shuffled."""
+    """Only base rows of groups that some query asks for: in every path, also for the sample of the bounds.
+
+    Up to MAX_LISTED_GROUPS groups become a list, which reaches the scan of a table saved by list as a partition
+    filter. More of them are a semi-join, broadcast or shuffled as their number allows.
+    """
     asked = cut_lineage(q.select("grp").distinct())
-    if asked.count() > MAX_BROADCAST_GROUPS:
-        return b
-    return b.join(F.broadcast(asked), "grp", "left_semi")
+    known = asked.limit(MAX_LISTED_GROUPS + 1).collect()
+    if len(known) <= MAX_LISTED_GROUPS:
+        return b.where(F.col("grp").isin([r.grp for r in known]))
+    small = asked.count() <= MAX_BROADCAST_GROUPS
+    return b.join(F.broadcast(asked) if small else asked, "grp", "left_semi")
 
 
 def _hot_groups(b: DataFrame, q: DataFrame, cell_rows: int, query_rows: int) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +38,8 @@ def load_metadata(spark: SparkSession, path: str) -> dict | None:
         row = spark.read.schema(
             "version int, kind string, metric string, dims int, ntotal long, extra string, saved_at timestamp"
         ).json(f"{path}/meta").first()
-    except Exception as error:  # a missing folder is the only expected failure
-        if "PATH_NOT_FOUND" in str(error):
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
     return None if row is None else {**row.asDict(), "extra": json.loads(row.extra)}

@@ -90,11 +90,11 @@ def pack_float32(vector: pa.Array) -> pa.Array:
 
 
 def synthetic_vectors(ids: DataFrame, dims: int, *, seed: int = 42, spread_by: float = 0.15) -> DataFrame:
-    """One normally distributed unit vector per id (Box-Muller), a pure function of (seed, id, position):
-    the same whatever the partitioning, and made in the JVM."""
+    """One normally distributed unit vector per id (Box-Muller), a pure function of (seed, id, position) by md5:
+    the same whatever the partitioning, stated by any engine, and made in the JVM."""
     def uniform(i: Column, salt: int) -> Column:
-        bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(salt), F.col("vec_id"), i), 11)
-        return (bits.cast("double") + 0.5) / float(1 << 53)
+        digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(str(salt)), F.col("vec_id").cast("string"), i.cast("string")))
+        return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
     def normal(i: Column) -> Column:
         return F.sqrt(-2.0 * F.ln(uniform(i, 1))) * F.cos(2.0 * np.pi * uniform(i, 2)) * spread_by

@@ -11,12 +11,14 @@ from nearspan.operators.prep import numbered
 PROGRESS = "batch_id long, batch_rows long, processed long"
 
 
-def ingest(stream: DataFrame, target: str, checkpoint: str, *, order: list[str], start: int = 0) -> StreamingQuery:
+def ingest(stream: DataFrame, target: str, checkpoint: str, *, order: list[str], start: int = 0,
+           trigger: dict | None = None) -> StreamingQuery:
     """Append micro-batches with consecutive ids and a progress row per batch.
 
     A batch writes to folders named after its number and overwrites them, and its first id is the sum of
     the earlier batches' progress. A replayed batch therefore gives the same rows again, never a second
-    copy.
+    copy. ``trigger`` is passed to ``DataStreamWriter.trigger``: by default what is there is ingested and the query ends,
+    ``{"processingTime": "10 seconds"}`` keeps it running.
     """
     spark = stream.sparkSession
 
@@ -30,7 +32,7 @@ def ingest(stream: DataFrame, target: str, checkpoint: str, *, order: list[str],
          .write.mode("overwrite").parquet(f"{target}/progress/batch={batch_id}"))
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+            .trigger(**(trigger or {"availableNow": True})).start())
 
 
 def _progress_before(spark: SparkSession, target: str, batch_id: int) -> int:

@@ -149,7 +149,11 @@ def build() -> dict[str, str]:
     sql["bit_records"] = bb + "SELECT row_number() OVER (ORDER BY vec_id) - 1 AS vec_id, CAST(list_sum(b) AS BIGINT) AS ones FROM bits"
     sql["saved_table"] = b + "SELECT 'FLAT_L2' AS kind, count(*) AS ntotal, CAST(max(len(v)) AS INTEGER) AS dims, round(sum(list_sum(v)), 6) AS total FROM e"
     sql["json_results"] = b + out(top(pairs(l2("q.v", "b.v")), 3))
-    sql["synthetic_vectors"] = "SELECT vec_id, 32 AS dims, CAST(1 AS DOUBLE) AS norm FROM embeddings"
+    draw = "(CAST(CAST('0x' || md5('42:{0}:' || vec_id || ':' || i)[1:13] AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0"
+    sql["synthetic_vectors"] = f"""WITH z AS (
+        SELECT vec_id, i, sqrt(-2 * ln({draw.format(1)})) * cos(2 * pi() * {draw.format(2)}) * 0.15 AS x
+        FROM embeddings, (SELECT unnest(range(1, 33)) AS i))
+      SELECT vec_id, CAST(i - 1 AS INTEGER) AS pos, round(x / sqrt(sum(x * x) OVER (PARTITION BY vec_id)), 6) AS value FROM z"""
     sql["text_embedding"] = """WITH w AS (
         SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[ \\t\\n\\x0b\\f\\r]+')) AS word FROM documents),
       d AS (SELECT doc_id, md5(word) AS m FROM w WHERE word <> ''),
@@ -238,7 +242,10 @@ def build() -> dict[str, str]:
         round(sum(abs(x - (code * step + (low + 0.5 * step)))), 6) AS error,
         max(abs(x - (code * step + (low + 0.5 * step)))  - step / 2) <= 1e-9 AS within_half_step
         FROM sqflat GROUP BY vec_id"""
-    sql["fp16_codes"] = "SELECT vec_id, true AS within_half_precision FROM embeddings"
+    sql["fp16_codes"] = """SELECT vec_id, CAST(i AS INTEGER) AS pos,
+        CASE WHEN x = 0 THEN 0.0 ELSE round(round_even(x / ulp, 0) * ulp, 9) END AS value
+      FROM (SELECT *, pow(2, greatest(floor(log2(abs(x))), -14) - 10) AS ulp FROM (
+        SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS x, unnest(range(0, len(embedding))) AS i FROM embeddings))"""
     sql["sq8_search"] = with_(BASE, *scalar(255, "s")) + out(top(pairs(l2("q.v", "b.v"), "e", "sq")))
     sql["ivf_sq_search"] = with_(BASE, *coarse(), probes(3), *scalar(255)) + out(top(
         "(SELECT q.vec_id AS query_id, b.vec_id, " + l2("q.v", "b.v")
@@ -294,11 +301,12 @@ def build() -> dict[str, str]:
         SELECT vec_id, label, 'old' AS src FROM embeddings UNION ALL
         SELECT (SELECT max(vec_id) + 1 FROM embeddings) + row_number() OVER (ORDER BY label, vec_id) - 1, label, 'new'
         FROM embeddings)"""
-    sql["ingest_stream"] = "SELECT row_number() OVER (ORDER BY label, vec_id) - 1 AS vec_id, vec_id AS source_id, label FROM embeddings"
-    sql["ingest_progress"] = "SELECT 0::BIGINT AS batch_id, count(*) AS batch_rows, count(*) AS processed FROM embeddings"
+    sql["ingest_stream"] = "SELECT row_number() OVER (ORDER BY vec_id % 4, label, vec_id) - 1 AS vec_id, vec_id AS source_id, label FROM embeddings"
+    sql["ingest_progress"] = """SELECT vec_id % 4 AS batch_id, count(*) AS batch_rows,
+        CAST(sum(count(*)) OVER (ORDER BY vec_id % 4) AS BIGINT) AS processed FROM embeddings GROUP BY vec_id % 4"""
     sql["lookup"] = b + """, ids AS (SELECT doc_id AS pos, doc_id AS vec_id FROM labels
         UNION ALL SELECT doc_id + 1000000000, doc_id FROM labels)
-      SELECT pos, vec_id, round(list_sum(v), 6) AS total FROM ids JOIN e USING (vec_id)"""
+      SELECT pos, vec_id, round(list_sum(v), 6) AS total FROM ids LEFT JOIN e USING (vec_id)"""
     sql["remove"] = "SELECT vec_id, label FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)"
     sql["removed_count"] = "SELECT count(*) AS removed FROM embeddings WHERE vec_id IN (SELECT doc_id FROM labels WHERE quality = 0)"
     sql["merge"] = b + """SELECT vec_id, round(list_sum(v), 6) AS total FROM (
@@ -316,14 +324,20 @@ def build() -> dict[str, str]:
       SELECT 'dimensions' AS "check", true AS passed, 'dims=64' AS message
       UNION ALL SELECT 'vectorCount', true, 'ntotal=' || n FROM n
       UNION ALL SELECT 'reconstruct', true, 'sampleIds=' || ids FROM s
-      UNION ALL SELECT 'selfSearch', true, 'search returned at least one row'"""
+      UNION ALL SELECT 'selfSearch', true, 'a sampled vector has a nearest row'"""
+    sql["check_codes"] = sql["check"] + """ UNION ALL SELECT 'bytesPerVector', true, 'bytesPerVector=8'"""
+    sql["stats_codes"] = """SELECT count(*) AS ntotal, max(len(embedding))::INTEGER AS dims, true AS is_trained,
+        'BINARY_FLAT' AS kind, 'hamming' AS metric, CAST(max(len(embedding)) // 8 AS INTEGER) AS bytes_per_vector FROM embeddings"""
+    signs = sql["sign_codes"].removeprefix(bb)
+    sql["merge_codes"] = bb + f""", c AS ({signs}) SELECT vec_id, code FROM c
+      UNION ALL SELECT vec_id + (SELECT max(vec_id) + 1 FROM c), code FROM c"""
 
     # retrieval
     sql["retrieve_documents"] = b + f"""SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, source, n_chars,
-        round(1 / (1 + d), 6) AS similarity FROM ({top(pairs(l2('q.v', 'b.v')), 3)}) JOIN documents ON doc_id = vec_id"""
+        round(1 / (1 + d), 6) AS similarity FROM ({top(pairs(l2('q.v', 'b.v')), 3)}) LEFT JOIN documents ON doc_id = vec_id"""
     sql["recommend"] = with_(BASE, u) + f"""SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, label, round(d, 6) AS distance
-        FROM ({top(pairs(ip('q.v', 'b.v'), 'u', 'u'), 3, 'd DESC')}) JOIN (SELECT vec_id, label FROM embeddings) USING (vec_id)"""
+        FROM ({top(pairs(ip('q.v', 'b.v'), 'u', 'u'), 3, 'd DESC')}) LEFT JOIN (SELECT vec_id, label FROM embeddings) USING (vec_id)"""
     sql["media_similarity"] = with_(BASE, u) + f"""SELECT query_id, CAST(rank AS INTEGER) AS rank, url, round(d, 4) AS score
-        FROM ({top(pairs(ip('q.v', 'b.v'), 'u', 'u'), 2, 'd DESC')}) JOIN pages ON page_id = vec_id"""
+        FROM ({top(pairs(ip('q.v', 'b.v'), 'u', 'u'), 2, 'd DESC')}) LEFT JOIN pages ON page_id = vec_id"""
     sql["match_stream"] = b + out(top(pairs(l2("q.v", "b.v")), 5))
     return sql
