@@ -89,7 +89,7 @@ class Scorer:
                 keys += np.bitwise_count(q.data[:, w, None] ^ x.data[None, :, w])
             return keys, 0, 0
         if self.metric in ("adc", "adc_ip"):
-            return self._table_lookup(q.data, x.data.astype(np.intp, copy=False)), 0, 0
+            return self._table_lookup(q, x.data.astype(np.intp, copy=False)), 0, 0
         reach = np.sqrt(q.squares) + np.sqrt(x.squares.max(initial=0.0))
         kind = np.float32 if SINGLE_RANGE[0] < reach.min() and reach.max() < SINGLE_RANGE[1] else np.float64
         slack = 2 * (q.data.shape[1] + 4) * ROUNDOFF[kind] * reach * reach
@@ -97,16 +97,24 @@ class Scorer:
             return -(q.plain(kind) @ x.plain(kind).T), 0, slack
         return q.doubled(kind) @ x.with_squares(kind).T, q.squares, slack
 
-    def _table_lookup(self, q: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        segments, _, width = self.codebooks.shape
-        keys = np.zeros((len(q), len(codes)))
+    def _tables(self, q: np.ndarray) -> np.ndarray:
+        """(segments, queries, codes): part of the key that a code of a segment adds."""
+        segments, codes, width = self.codebooks.shape
+        out = np.empty((segments, len(q), codes))
         for s in range(segments):
             part = q[:, s * width:(s + 1) * width]
             if self.metric == "adc":
                 gap = part[:, None, :] - self.codebooks[s][None]
-                table = (gap * gap).sum(axis=2)
+                out[s] = (gap * gap).sum(axis=2)
             else:
-                table = -(part[:, None, :] * self.codebooks[s][None]).sum(axis=2)
+                out[s] = -(part[:, None, :] * self.codebooks[s][None]).sum(axis=2)
+        return out
+
+    def _table_lookup(self, q: "Rows", codes: np.ndarray) -> np.ndarray:
+        """The tables depend on the queries only, so a query block makes them once for all base blocks."""
+        tables = q.form("tables", lambda: self._tables(q.data))
+        keys = np.zeros((len(q.data), len(codes)))
+        for s, table in enumerate(tables):
             keys += table[:, codes[:, s]]
         return keys
 
@@ -132,24 +140,24 @@ class Rows:
         self.data = data
         self._forms: dict = {}
 
-    def _form(self, key, make) -> np.ndarray:
+    def form(self, key, make) -> np.ndarray:
         if key not in self._forms:
             self._forms[key] = make()
         return self._forms[key]
 
     @property
     def squares(self) -> np.ndarray:
-        return self._form("squares", lambda: np.einsum("ij,ij->i", self.data, self.data))
+        return self.form("squares", lambda: np.einsum("ij,ij->i", self.data, self.data))
 
     def plain(self, kind) -> np.ndarray:
-        return self._form(("plain", kind), lambda: self.data.astype(kind))
+        return self.form(("plain", kind), lambda: self.data.astype(kind))
 
     def doubled(self, kind) -> np.ndarray:
-        return self._form(("doubled", kind), lambda: np.column_stack(
+        return self.form(("doubled", kind), lambda: np.column_stack(
             [-2.0 * self.data, np.ones(len(self.data))]).astype(kind))
 
     def with_squares(self, kind) -> np.ndarray:
-        return self._form(("squared", kind), lambda: np.column_stack([self.data, self.squares]).astype(kind))
+        return self.form(("squared", kind), lambda: np.column_stack([self.data, self.squares]).astype(kind))
 
 
 def packed(rows: np.ndarray) -> np.ndarray:

@@ -17,14 +17,16 @@ from nearspan.plans.sums import sum_by_slot
 
 SEED_OVERSAMPLING = 4
 ROW_BLOCK = 4096
+SCORE_BLOCK = 1 << 22
 
 
 def nearest_one(x: np.ndarray, centres: np.ndarray, metric: str = "l2") -> np.ndarray:
-    """Index of the closest centre of each row; ties fall to the smaller index."""
+    """Index of the closest centre of each row; ties fall to the smaller index. At most SCORE_BLOCK scores are held."""
     scorer, held = Scorer(metric), Rows(centres)
     out = np.empty(len(x), np.int64)
-    for s in range(0, len(x), ROW_BLOCK):
-        rows = Rows(x[s:s + ROW_BLOCK])
+    step = min(ROW_BLOCK, max(1, SCORE_BLOCK // max(len(centres), 1)))
+    for s in range(0, len(x), step):
+        rows = Rows(x[s:s + step])
         keys, _, slack = scorer.block(rows, held)
         best = keys.argmin(axis=1)
         if metric != "hamming":
@@ -35,7 +37,7 @@ def nearest_one(x: np.ndarray, centres: np.ndarray, metric: str = "l2") -> np.nd
             exact = scorer.rescore(rows.data[unsure], centres, qi, ci, keys[unsure])
             keep = best_rows(qi, ci, exact, 1)
             best[unsure[qi[keep]]] = ci[keep]
-        out[s:s + ROW_BLOCK] = best
+        out[s:s + step] = best
     return out
 
 
@@ -46,15 +48,21 @@ def nearest_lists(x: np.ndarray, centres: np.ndarray, count: int, metric: str) -
 
 
 def seeds(df: DataFrame, column: str, k: int) -> np.ndarray:
-    """k starting vectors: the rows first in the order of md5(vec_id), copies skipped while possible.
+    """k starting vectors: the distinct vectors first in the order of md5(vec_id); copies only fill up what is missing.
 
-    A top-k by hash needs no global sort or numbering of the table.
+    A top-k by hash needs no global sort or numbering of the table. Where copies crowd the first rows, the distinct
+    vectors of the whole table are ordered instead, each by the first of its rows.
     """
     wanted, n = SEED_OVERSAMPLING * k, df.count()
     rows = _first_by_hash(df, column, wanted, n)
     if len(rows) < k:
         raise ConfigError(f"training needs at least {k} vectors, got {len(rows)}")
     _, first = np.unique(rows, axis=0, return_index=True)
+    if len(first) < k and n > len(rows):
+        order = F.struct(F.md5(F.col("vec_id").cast("string")).alias("h"), "vec_id")
+        distinct = df.groupBy(column).agg(F.min(order).alias("first")).orderBy("first").limit(k)
+        rows = np.concatenate([matrix(distinct.select(column).toArrow().column(0)), rows])
+        _, first = np.unique(rows, axis=0, return_index=True)
     copies = np.setdiff1d(np.arange(len(rows)), first)
     return rows[np.r_[np.sort(first), copies][:k]]
 

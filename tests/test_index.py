@@ -173,3 +173,33 @@ def test_real_table(spark):
     index = VectorIndex(IndexConfig(64, "IVF_FLAT", nlist=8, nprobe=8, train_rounds=2)).add(base, auto_train=True)
     hits = index.search(base.withColumnRenamed("vec_id", "query_id"), 1, nprobe=1)
     assert hits.where("query_id = vec_id").count() == base.count()
+
+
+def test_graph_is_saved_and_loaded_whole(spark, make, randoms, tmp_path, monkeypatch):
+    from nearspan.operators import graph
+    base = make(randoms(120, 8).tolist())
+    queries = base.limit(10).withColumnRenamed("vec_id", "query_id")
+    index = VectorIndex(IndexConfig(8, "HNSW", degree=6, ef_construction=20)).add(base)
+    want = sorted(map(str, index.search(queries, 3).collect()))
+    index.save(str(tmp_path / "g"))
+    loaded = VectorIndex.load(spark, str(tmp_path / "g"))
+    monkeypatch.setattr(graph, "build", lambda *a, **b: pytest.fail("the graph was built again"))
+    assert sorted(map(str, loaded.search(queries, 3).collect())) == want
+    assert sorted(map(str, index.search(queries, 3).collect())) == want
+
+
+def test_two_loads_of_one_index_merge(spark, make, randoms, tmp_path):
+    base = make(randoms(60, 8).tolist())
+    VectorIndex(IndexConfig(8, "IVF_FLAT", nlist=4)).train(base).add(base).save(str(tmp_path / "m"))
+    a, b = (VectorIndex.load(spark, str(tmp_path / "m")) for _ in range(2))
+    assert a.merge(b).rows.count() == 120
+
+
+def test_codes_are_checked_merged_and_hashed_widely(spark, make_codes):
+    c = make_codes(["00" * 8, "ff" * 8, "0f" * 8])
+    index = VectorIndex(IndexConfig(64, "BINARY_HASH", hash_bits=64, hash_nflip=3)).add(c)
+    assert all(r.passed for r in index.check().collect())
+    assert index.stats().first().bytes_per_vector == 8
+    near = make_codes(["00" * 7 + "07"], "query_id")
+    assert [(r.vec_id, r.distance) for r in index.search(near, 2).collect()] == [(0, 3)]
+    assert index.merge(VectorIndex(index.config).add(c)).rows.count() == 6
