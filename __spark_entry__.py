@@ -315,6 +315,19 @@ def ivf_sq_search(spark, sf):
     return rounded(quantize.search_ivf_scalar(coded, as_queries(e), coarse, model, K, nprobe=3))
 
 
+def sq_ip_search(spark, sf):
+    base = scaled(spark, sf)
+    model = quantize.train_scalar(base, "SQ8")
+    return rounded(quantize.search_scalar(
+        quantize.encode_scalar(base, model), as_queries(embeddings(spark, sf)), model, K, metric="ip"))
+
+
+def ivf_ip_search(spark, sf):
+    base = scaled(spark, sf)
+    model = ivf.train(base, LISTS, rounds=COARSE_ROUNDS, metric="ip")
+    return rounded(ivf.search(ivf.assign(base, model), as_queries(embeddings(spark, sf)), model, K, nprobe=3))
+
+
 # ---- product codes
 
 def _product(df: DataFrame) -> quantize.ProductModel:
@@ -346,6 +359,13 @@ def pq_search(spark, sf):
     return rounded(quantize.search_product(quantize.encode_product(e, model), as_queries(e), model, K))
 
 
+def pq_ip_search(spark, sf):
+    base = scaled(spark, sf)
+    model = _product(base)
+    return rounded(quantize.search_product(
+        quantize.encode_product(base, model), as_queries(embeddings(spark, sf)), model, K, metric="ip"))
+
+
 def ivf_pq_search(spark, sf):
     e = embeddings(spark, sf)
     coarse = _coarse(e)
@@ -610,6 +630,7 @@ def vector_queries() -> dict[str, Query]:
         "fp16_codes": fp16_codes, "sq8_search": sq8_search, "ivf_sq_search": ivf_sq_search,
         "pq_train": pq_train, "pq_codes": pq_codes, "pq_decode": pq_decode, "pq_search": pq_search,
         "ivf_pq_search": ivf_pq_search,
+        "sq_ip_search": sq_ip_search, "ivf_ip_search": ivf_ip_search, "pq_ip_search": pq_ip_search,
         "pca_full_width": pca_full_width, "pca_search": pca_search, "pca_reduced": pca_reduced,
         "opq_search": opq_search, "opq_improves": opq_improves,
         "composed_exact": composed_exact, "composed_pipeline": composed_pipeline,

@@ -276,6 +276,23 @@ def build() -> dict[str, str]:
         FROM rlut l JOIN assigned b ON b.cid = l.cid
         JOIN rp_a a ON a.vec_id = b.vec_id AND a.sg = l.sg AND a.cid = l.code GROUP BY ALL)"""))
 
+    # inner products over stretched vectors
+    best = "d DESC"
+    sql["sq_ip_search"] = with_(BASE, *scalar(255, "s")) + out(top(pairs(ip("q.v", "b.v"), "e", "sq"), order=best))
+    near = """{0} AS MATERIALIZED (SELECT vec_id, v, cid FROM (SELECT x.vec_id, x.v, l.cid,
+        row_number() OVER (PARTITION BY x.vec_id ORDER BY {1} DESC, l.cid) AS r FROM {2} x, lists l) WHERE r <= {3})"""
+    spread = [*lloyd("ivf", "s", LISTS, COARSE_ROUNDS), f"lists AS MATERIALIZED (SELECT cid, c FROM ivf_c{COARSE_ROUNDS})",
+              near.format("assigned", ip("x.v", "l.c"), "s", 1), near.format("probes", ip("x.v", "l.c"), "e", 3)]
+    sql["ivf_ip_search"] = with_(BASE, *spread) + out(top(
+        pairs(ip("q.v", "b.v"), "probes", "assigned", "WHERE q.cid = b.cid"), order=best))
+    spq = lloyd("sp", "s", CODES, PQ_ROUNDS, SEGMENTS, DIMS // SEGMENTS)
+    asked = f"""asub AS MATERIALIZED (SELECT vec_id AS query_id, sg, v[sg * 8 + 1 : sg * 8 + 8] AS u
+        FROM e, (SELECT unnest(range(0, {SEGMENTS})) AS sg)),
+      slut AS MATERIALIZED (SELECT q.query_id, q.sg, c.cid AS code, {ip('q.u', 'c.c')} AS part FROM asub q JOIN sp_c{PQ_ROUNDS} c USING (sg))"""
+    sql["pq_ip_search"] = with_(BASE, *spq, asked) + out(top(
+        "(SELECT l.query_id, a.vec_id, sum(l.part ORDER BY l.sg) AS d FROM slut l "
+        "JOIN sp_a a ON a.sg = l.sg AND a.cid = l.code GROUP BY ALL)", order=best))
+
     # reductions and pipelines that must not lose anything
     sql["pca_full_width"] = sql["knn_l2"]
     sql["composed_exact"] = sql["ivf_all_lists"]
