@@ -11,10 +11,10 @@ Candidates are verified: labels common to both are aligned in order inside a ban
 that would pass is cut. A class is a connected component of the links.
 
 Copies count once: everything runs on distinct texts. Texts that share a sketch are not compared all with all.
-First every text meets the smallest and the largest text of each of its sketches (sums of two stars, found by
-pre-aggregated minima and maxima); most classes are complete then. What shares a sketch but lies in different
-components afterwards is compared in full, except where a sketch is shared by very many: there a pair must share
-a second sketch too, which texts of similarity 0.8 miss with a chance below 1e-4; so no partner is capped.
+First every text meets two hubs at each of its sketches: the text that most texts share sketches with (the middle of
+a group of near copies), and the smallest. Then, turn by turn, texts at one sketch that are still in different
+components meet: at a sketch of up to ``few`` texts all of them, at a crowded one those outside its main component
+meet two drawn texts per turn, until a turn brings no new link. So the work of a turn is linear in the sketches.
 
 Defined cases: words are runs of anything but ASCII white space, compared as they are; a text of fewer than five
 words is one shingle; null texts and texts without words are alone in their class. The class id is the smallest
@@ -44,8 +44,7 @@ class Settings:
     picks: int = 3
     repeats: int = 16
     threshold: float = 0.8
-    crowded: int = 100_000
-    depth: int = 3
+    few: int = 32
     broadcast_rows: int = 400_000
 
 
@@ -64,12 +63,8 @@ def labels_of(raw: bytes, width: int = 5, known: dict | None = None) -> np.ndarr
     if not n:
         return np.zeros(0, np.uint64)
     known = {} if known is None else known
-    ids = np.empty(n, np.uint64)
-    for i, w in enumerate(words):
-        h = known.get(w)
-        if h is None:
-            h = known[w] = xxhash.xxh64_intdigest(w)
-        ids[i] = h
+    known.update({w: xxhash.xxh64_intdigest(w) for w in set(words).difference(known)})
+    ids = np.fromiter(map(known.__getitem__, words), np.uint64, n)
     k = min(width, n)
     with np.errstate(over="ignore"):
         h = np.zeros(n - k + 1, np.uint64)
@@ -86,21 +81,25 @@ def labels_of(raw: bytes, width: int = 5, known: dict | None = None) -> np.ndarr
     return h
 
 
-def sketches(labels: np.ndarray, s: Settings = Settings()) -> np.ndarray:
+def _draws(repeats: int) -> np.ndarray:
+    return np.random.default_rng(20_240).integers(1, 1 << 63, (repeats, 2), dtype=np.uint64)
+
+
+def sketches(labels: np.ndarray, s: Settings = Settings(), draws: np.ndarray | None = None) -> np.ndarray:
     """One 64-bit key per repeat."""
-    rng = np.random.default_rng(20_240)
-    seeds = rng.integers(1, 1 << 63, (s.repeats, 2), dtype=np.uint64)
+    draws = _draws(s.repeats) if draws is None else draws
+    take, together = min(s.picks, len(labels)), max(1, 2_000_000 // len(labels))
     out = np.empty(s.repeats, np.uint64)
-    take = min(s.picks, len(labels))
     with np.errstate(over="ignore"):
-        for t in range(s.repeats):
-            g = (labels ^ seeds[t, 0]) * (seeds[t, 1] | np.uint64(1))
+        for low in range(0, s.repeats, together):
+            some = draws[low:low + together]
+            g = (labels ^ some[:, :1]) * (some[:, 1:] | np.uint64(1))
             g ^= g >> np.uint64(32)
-            at = np.sort(np.argpartition(g, take - 1)[:take])
-            key = seeds[t, :1]
-            for v in labels[at]:
-                key = _mix(key * FOLD + v)
-            out[t] = key[0]
+            at = np.sort(np.argpartition(g, take - 1, axis=1)[:, :take], axis=1)
+            key = some[:, 0]
+            for i in range(take):
+                key = _mix(key * FOLD + labels[at[:, i]])
+            out[low:low + together] = key
     return out
 
 
@@ -139,7 +138,7 @@ def _sketch_table(docs: DataFrame, s: Settings) -> DataFrame:
     given = docs.select(digest(F.col("text")).alias("digest"), "text")
 
     def run(batches):
-        known: dict[bytes, int] = {}
+        known, draws = {}, _draws(s.repeats)
         for b in batches:
             seen, digests, sizes, keys = set(), [], [], []
             raws = b.column("text").cast(pa.large_binary())
@@ -151,7 +150,7 @@ def _sketch_table(docs: DataFrame, s: Settings) -> DataFrame:
                 if len(labels):
                     digests += [d] * s.repeats
                     sizes += [len(labels)] * s.repeats
-                    keys.append(sketches(labels, s))
+                    keys.append(sketches(labels, s, draws))
                 if len(known) > 300_000:
                     known.clear()
             keys = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
@@ -209,58 +208,72 @@ def _verify(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     return met.mapInArrow(run, "a binary, b binary, similarity double").filter(F.col("similarity") >= s.threshold)
 
 
-def _stars(sketch: DataFrame) -> DataFrame:
-    """(a, b): every text with the smallest and the largest text of each of its sketches."""
-    ends = sketch.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low <> high")
-    met = sketch.select("key", "digest").join(ends, "key")
-    hubs = met.select("digest", F.explode(F.array("low", "high")).alias("hub")).filter("digest <> hub")
-    return hubs.select(F.least("digest", "hub").alias("a"), F.greatest("digest", "hub").alias("b")).distinct()
-
-
-def _across(sketch: DataFrame, roots: DataFrame, s: Settings) -> DataFrame:
-    """(a, b): texts that share a sketch but lie in different components, of lengths that can be similar."""
-    rows = sketch.join(roots, sketch.digest == roots.node, "left").select(
-        "key", "digest", "n", F.coalesce("root", "digest").alias("root"))
-    found = []
-    for depth in range(s.depth + 1):
-        mixed = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                        F.approx_count_distinct("root").alias("kinds"), F.count("*").alias("members"))
-        mixed = mixed.filter("low <> high").withColumn("large", F.col("kinds") * F.col("members") > s.crowded)
-        rows = cut_lineage(rows.join(mixed.select("key", "large"), "key"), "mixed")
-        small = rows if depth == s.depth else rows.filter("not large")
-        x, y = small.select("key", *[F.col(c).alias(f"{c}1") for c in ("digest", "n", "root")]), small
-        close = (F.col("n1") >= s.threshold * F.col("n")) & (F.col("n") >= s.threshold * F.col("n1"))
-        found.append(x.join(y, "key").filter((F.col("digest1") < F.col("digest")) & (F.col("root1") != F.col("root")) & close)
-                     .select(F.col("digest1").alias("a"), F.col("digest").alias("b")))
-        crowd = rows.filter("large").drop("large")
-        if depth == s.depth or crowd.isEmpty():
-            break
-        more = sketch.select(F.col("digest").alias("__d"), F.col("key").alias("__k"))
-        rows = cut_lineage(crowd.join(more, (F.col("digest") == F.col("__d")) & (F.col("key") != F.col("__k")))
-                           .select(F.xxhash64(F.least("key", "__k"), F.greatest("key", "__k")).alias("key"),
-                                   "digest", "n", "root").distinct(), "crowded")
-    out = found[0]
-    for f in found[1:]:
-        out = out.union(f)
-    return out.distinct()
+def _shared(sketch: DataFrame) -> DataFrame:
+    """(key, digest, n, weight): the sketches that two or more texts have. The weight of a text, the number of texts at
+    its sketches, is largest for the text that its near copies have most in common with."""
+    rows = cut_lineage(sketch.join(sketch.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"), "key"), "shared")
+    return cut_lineage(rows.drop("c").join(rows.groupBy("digest").agg(F.sum("c").alias("weight")), "digest"), "weighted")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _stars(shared: DataFrame) -> DataFrame:
+    """(a, b): every text with the weightiest and the smallest text of each of its sketches."""
+    ends = shared.groupBy("key").agg(F.max(F.struct("weight", "digest")).alias("top"), F.min("digest").alias("low"))
+    met = shared.select("key", F.col("digest").alias("x")).join(ends, "key")
+    return _ordered(met.select("x", F.explode(F.array("top.digest", "low")).alias("y")).filter("x <> y"))
+
+
+def _bounded(df: DataFrame, s: Settings) -> DataFrame:
+    """A written table of short rows, to be broadcast if its counted rows allow."""
+    return F.broadcast(df) if df.count() <= s.broadcast_rows else df
+
+
+def _across(shared: DataFrame, roots: DataFrame, turn: int, s: Settings) -> DataFrame:
+    """(a, b): texts at one sketch that are in different components still.
+
+    At a sketch of few texts all of them meet, in turn 0. At a crowded one every text outside the main component meets
+    two texts that change with the turn, so a turn makes at most two pairs of a row.
+    """
+    rows = shared.join(_bounded(roots, s), shared.digest == roots.node, "left").select(
+        "key", "digest", "n", "weight", F.coalesce("root", "digest").alias("root"))
+    drawn = F.struct(F.xxhash64("digest", F.lit(turn)).alias("h"), "digest", "root", "n")
+    ends = rows.groupBy("key").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"),
+        F.max(F.struct("weight", "root")).root.alias("main"), F.min(drawn).alias("one"), F.max(drawn).alias("other"))
+    mixed = cut_lineage(ends.filter("low <> high").filter((F.col("members") > s.few) | F.lit(turn == 0)).drop("low", "high"), "mixed")
+    rows = cut_lineage(rows.join(_bounded(mixed, s), "key"), "across")
+    close = (F.col("nx") >= s.threshold * F.col("ny")) & (F.col("ny") >= s.threshold * F.col("nx"))
+    apart = (F.col("rx") != F.col("ry")) & close
+    many = (rows.filter((F.col("members") > s.few) & (F.col("root") != F.col("main")))
+            .select(F.col("digest").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"),
+                    F.explode(F.array("one", "other")).alias("hub"))
+            .select("x", "nx", "rx", F.col("hub.digest").alias("y"), F.col("hub.n").alias("ny"), F.col("hub.root").alias("ry"))
+            .filter(apart).select("x", "y"))
+    if turn:
+        return _ordered(many)
+    few = rows.filter(F.col("members") <= s.few).select("key", "digest", "n", "root")
+    x = few.withColumnsRenamed({"digest": "x", "n": "nx", "root": "rx"})
+    y = few.withColumnsRenamed({"digest": "y", "n": "ny", "root": "ry"})
+    met = x.join(y, "key").filter(F.col("x") < F.col("y")).filter(apart).select("x", "y")
+    return _ordered(met.union(many))
 
 
 def links(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b, similarity) between digests of distinct texts, and the components (node, root)."""
     attach(docs.sparkSession)
-    sketch = cut_lineage(_sketch_table(docs, s), "sketches")
-    pairs = cut_lineage(_stars(sketch), "stars")
-    texts = _texts(docs, pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct(), s)
-    good = cut_lineage(_verify(pairs, texts, s), "links")
-    roots = components(good)
-    rest = cut_lineage(_across(sketch, roots, s).join(pairs, ["a", "b"], "left_anti"), "across")
-    if not rest.isEmpty():
-        # whoever shares a sketch with another text was wanted for the stars already
-        more = cut_lineage(_verify(rest, texts, s), "links")
-        if not more.isEmpty():
-            good = good.union(more)
-            roots = components(good)
-    return good, roots
+    shared = _shared(cut_lineage(_sketch_table(docs, s), "sketches"))
+    texts = _texts(docs, shared.select("digest").distinct(), s)
+    good = cut_lineage(_verify(_stars(shared), texts, s), "links")
+    roots, turn = components(good), 0
+    while True:
+        more = cut_lineage(_verify(_across(shared, roots, turn, s), texts, s), "links")
+        if more.isEmpty():
+            return good, roots
+        good, turn = good.union(more), turn + 1
+        roots = components(good)
 
 
 def classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
