@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nearspan.plans.kernels import matrix
 from nearspan.sources.vectors import pack_float32
 from nearspan.session import attach
 
@@ -28,9 +30,14 @@ def _write(df: DataFrame, path: str, order: str) -> int:
     """One file per range partition, named so that file order is record order.
 
     Files are written under a name of the attempt and then moved, so a repeated task leaves one file.
-    The path must be a folder that all executors reach.
+    The path must be a folder that all executors reach; without a scheme it is one of Hadoop's default file system,
+    where the records are read again.
     """
-    target = path if "://" in path or ":/" in path else f"file://{path}"
+    target = path
+    if ":/" not in path:
+        target = df.sparkSession._jsc.hadoopConfiguration().get("fs.defaultFS").rstrip("/") + path
+        if target.startswith("file:/") and not target.startswith("file:///"):
+            target = f"file://{path}"
     ordered = df.repartitionByRange(order).sortWithinPartitions(order).select("code")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -44,8 +51,8 @@ def _write(df: DataFrame, path: str, order: str) -> int:
         n = 0
         with system.open_output_stream(attempt) as out:
             for batch in batches:
-                for record in batch.column(0):
-                    out.write(record.as_buffer())
+                if batch.num_rows:
+                    out.write(np.ascontiguousarray(matrix(batch.column(0))))
                 n += batch.num_rows
         system.move(attempt, name)
         yield pa.record_batch({"n": pa.array([n], pa.int64())})
