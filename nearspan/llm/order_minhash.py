@@ -14,7 +14,7 @@ Copies count once: everything runs on distinct texts. Texts that share a sketch
 First every text meets two hubs at each of its sketches: the text that most texts share sketches with (the middle of
 a group of near copies), and the smallest. Then, turn by turn, texts at one sketch that are still in different
 components meet: at a sketch of up to ``few`` texts all of them, at a crowded one those outside its main component
-meet two drawn texts per turn, until a turn brings no new link. So the work of a turn is linear in the sketches.
+meet a few drawn texts per turn, until a turn brings no new link. So the work of a turn is linear in the sketches.
 
 Defined cases: words are runs of anything but ASCII white space, compared as they are; a text of fewer than five
 words is one shingle; null texts and texts without words are alone in their class. The class id is the smallest
@@ -45,7 +45,8 @@ class Settings:
     repeats: int = 16
     threshold: float = 0.8
     few: int = 32
-    broadcast_rows: int = 400_000
+    draws: int = 2
+    broadcast_rows: int = 100_000
 
 
 FOLD, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -163,7 +164,7 @@ def _sketch_table(docs: DataFrame, s: Settings) -> DataFrame:
 def _texts(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
     """(digest, packed) of the wanted digests, each once."""
     wanted = cut_lineage(wanted, "wanted")
-    if wanted.count() <= s.broadcast_rows:  # at most 24 MB; beyond, both sides are shuffled
+    if wanted.count() <= s.broadcast_rows:  # a few MB; beyond, both sides are shuffled
         wanted = F.broadcast(wanted)
 
     def pack(batches):
@@ -235,21 +236,22 @@ def _across(shared: DataFrame, roots: DataFrame, turn: int, s: Settings) -> Data
     """(a, b): texts at one sketch that are in different components still.
 
     At a sketch of few texts all of them meet, in turn 0. At a crowded one every text outside the main component meets
-    two texts that change with the turn, so a turn makes at most two pairs of a row.
+    texts that are drawn anew each turn, two per draw, so a turn makes at most 2 * ``draws`` pairs of a row.
     """
     rows = shared.join(_bounded(roots, s), shared.digest == roots.node, "left").select(
         "key", "digest", "n", "weight", F.coalesce("root", "digest").alias("root"))
-    drawn = F.struct(F.xxhash64("digest", F.lit(turn)).alias("h"), "digest", "root", "n")
+    draws = [F.struct(F.xxhash64("digest", F.lit(s.draws * turn + i)).alias("h"), "digest", "root", "n") for i in range(s.draws)]
+    hubs = [end(d) for d in draws for end in (F.min, F.max)]
     ends = rows.groupBy("key").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"),
-        F.max(F.struct("weight", "root")).root.alias("main"), F.min(drawn).alias("one"), F.max(drawn).alias("other"))
+        F.max(F.struct("weight", "root")).root.alias("main"), F.array(*hubs).alias("hubs"))
     mixed = cut_lineage(ends.filter("low <> high").filter((F.col("members") > s.few) | F.lit(turn == 0)).drop("low", "high"), "mixed")
     rows = cut_lineage(rows.join(_bounded(mixed, s), "key"), "across")
     close = (F.col("nx") >= s.threshold * F.col("ny")) & (F.col("ny") >= s.threshold * F.col("nx"))
     apart = (F.col("rx") != F.col("ry")) & close
     many = (rows.filter((F.col("members") > s.few) & (F.col("root") != F.col("main")))
             .select(F.col("digest").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"),
-                    F.explode(F.array("one", "other")).alias("hub"))
+                    F.explode("hubs").alias("hub"))
             .select("x", "nx", "rx", F.col("hub.digest").alias("y"), F.col("hub.n").alias("ny"), F.col("hub.root").alias("ry"))
             .filter(apart).select("x", "y"))
     if turn:
