@@ -221,7 +221,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(
     Only figures are joined with labels; texts are read once more and filtered where they lie.
     """
     attach(docs.sparkSession)
-    cutoffs = calibrate(docs.select("doc_id", figures(F.col("text")).alias("f")), labels, settings)
-    f = F.col(_PRIVATE)
+    # written first: else the filters of the calibration find the figures once more
+    measured = cut_lineage(docs.select("doc_id", figures(F.col("text")).alias("f")), "figures")
+    cutoffs, f = calibrate(measured, labels, settings), F.col(_PRIVATE)
     return (docs.withColumn(_PRIVATE, figures(F.col("text")))
             .filter(~base_failed(f) & ~rejected(f, cutoffs)).drop(_PRIVATE))
