@@ -45,7 +45,7 @@ from nearspan.session import attach, cut_bucketed, cut_lineage
 class Settings:
     length: int = 100
     gram: int = 24
-    block_bytes: int = 3 << 20
+    block_bytes: int = 2 << 20
     chunk: int = 60_000
     crowd: int = 200_000
     sample_blocks: int = 64
@@ -326,7 +326,7 @@ def _suffixes(blocks: DataFrame, wanted: DataFrame, splitters: np.ndarray, s: Se
         use = long
         known = known[use]
         lead = _characters(around[:, half:half + 8]).ravel()
-        part = np.where(known, 0, np.searchsorted(splitters, lead[use], side="right")) if len(splitters) else np.zeros(use.sum(), int)
+        part = np.searchsorted(splitters, lead[use], side="right")
         blob = [None if k else r.tobytes() for k, r in zip(known, around[use], strict=True)]
         key = [None if k else r[half:half + s.gram].tobytes() for k, r in zip(known, around[use], strict=True)]
         return pa.record_batch([
