@@ -39,7 +39,8 @@ def known(spark: SparkSession) -> DataFrame:
 def matches(docs: DataFrame) -> DataFrame:
     """(doc_id, own, unit, license): entire texts that are a known licence; unit is the text as it stands."""
     units = F.array_distinct(F.flatten(F.array(F.array("text"), F.split("text", r"\n[ \t\r]*\n"), F.split("text", "\n"))))
-    found = docs.select("doc_id", F.md5("text").alias("own"), F.explode(units).alias("unit"))
+    # outer: else the planner adds a filter on the number of units, and splits the texts twice
+    found = docs.select("doc_id", F.md5("text").alias("own"), F.explode_outer(units).alias("unit"))
     return (found.withColumn("digest", F.md5(canonical(F.col("unit"))))
             .join(F.broadcast(known(docs.sparkSession)), "digest").select("doc_id", "own", "unit", "license"))
 
