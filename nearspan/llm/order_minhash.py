@@ -15,6 +15,11 @@ First every text meets two hubs at each of its sketches: the text that most text
 a group of near copies), and the smallest. Then, turn by turn, texts at one sketch that are still in different
 components meet: at a sketch of up to ``few`` texts all of them, at a crowded one those outside its main component
 meet a few drawn texts per turn, until a turn brings no new link. So the work of a turn is linear in the sketches.
+What is in different components at a crowded sketch after that is decided exactly: two texts of similarity
+``threshold`` have a label in common among the first of either, whatever the one order of all labels is. Labels are
+ordered by their count in the texts in question, rare ones first, so texts that share only a template do not meet.
+Every pair of different components that does is verified. No pair that passes is left then, except those without a
+common sketch.
 
 Defined cases: words are runs of anything but ASCII white space, compared as they are; a text of fewer than five
 words is one shingle; null texts and texts without words are alone in their class. The class id is the smallest
@@ -47,6 +52,7 @@ class Settings:
     few: int = 32
     draws: int = 2
     broadcast_rows: int = 100_000
+    count_slots: int = 1 << 20
 
 
 FOLD, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -263,6 +269,113 @@ def _across(shared: DataFrame, roots: DataFrame, turn: int, s: Settings) -> Data
     return _ordered(met.union(many))
 
 
+def _undecided(shared: DataFrame, roots: DataFrame, s: Settings) -> DataFrame:
+    """(digest, root): the texts at crowded sketches that hold more than one component."""
+    rows = cut_lineage(shared.join(_bounded(roots, s), shared.digest == roots.node, "left").select(
+        "key", "digest", F.coalesce("root", "digest").alias("root")), "rooted")
+    mixed = (rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
+             .filter("low <> high").filter(F.col("members") > s.few).select("key"))
+    mixed = cut_lineage(mixed, "mixed")
+    return cut_lineage(rows.join(_bounded(mixed, s), "key").select("digest", "root").distinct(), "undecided")
+
+
+SIZE_STEP = 1.05
+
+
+def size_class(n: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(n) / np.log(SIZE_STEP)).astype(np.int32)
+
+
+def prefix(labels: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, int]:
+    """The labels, rare ones first, of which any text of similarity ``threshold`` has one; and how many of them do for
+    texts that are not smaller."""
+    n = len(labels)
+    ranked = labels[np.lexsort((labels, counts[labels % np.uint64(len(counts))]))]
+    longest = n - int(np.ceil(threshold * n - 1e-6)) + 1
+    short = n - int(np.ceil(2 * threshold / (1 + threshold) * n - 1e-6)) + 1
+    return ranked[:min(n, longest)], short
+
+
+def _label_counts(texts: DataFrame, s: Settings) -> np.ndarray:
+    """Counts of the labels of all texts, per slot of their hash. The counts only set the order of the labels, and any
+    order is exact; so what is broadcast is bounded."""
+    def count(batches):
+        z, known, total = zstandard.ZstdDecompressor(), {}, np.zeros(s.count_slots, np.int64)
+        for b in batches:
+            for packed in b.column("packed"):
+                labels = labels_of(z.decompress(packed.as_py()), s.width, known)
+                total += np.bincount((labels % np.uint64(s.count_slots)).astype(np.int64), minlength=s.count_slots)
+                if len(known) > 300_000:
+                    known.clear()
+        at = np.flatnonzero(total)
+        for low in range(0, len(at), 50_000):
+            some = at[low:low + 50_000]
+            yield pa.record_batch([pa.array(some), pa.array(total[some])], ["slot", "n"])
+
+    # few tasks: each returns up to one row a slot
+    parts = texts.select("packed").coalesce(texts.sparkSession.sparkContext.defaultParallelism)
+    got = parts.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(s.count_slots, np.int64)
+    counts[got["slot"].to_numpy()] = got["n"].to_numpy()
+    return counts
+
+
+def _exact(undecided: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """(a, b): every pair of the texts that are in different components and share a label where two texts of similarity
+    ``threshold`` must.
+
+    Of a pair the smaller text, of n labels, comes with its short prefix under its class of sizes; the larger one goes to
+    every class of sizes that the place of the label leaves possible. So keys are pairs of label and class.
+    """
+    some = texts.join(_bounded(undecided, s), "digest").select("digest", "root", "packed")
+    sent = texts.sparkSession.sparkContext.broadcast(_label_counts(some, s))
+    t = s.threshold
+
+    def run(batches):
+        z, known, counts = zstandard.ZstdDecompressor(), {}, sent.value
+        for b in batches:
+            out: list[list[np.ndarray]] = [[], [], [], [], [], []]
+            for i, packed in enumerate(b.column("packed")):
+                labels = labels_of(z.decompress(packed.as_py()), s.width, known)
+                n = len(labels)
+                first, short = prefix(labels, counts, t)
+                place = np.arange(len(first))
+                own = int(size_class(np.array([n]))[0])
+                # as the larger text: sizes m with t / (1 + t) * (n + m) <= n - place, m >= t * n
+                top = np.minimum(n, (n - place) * (1 + t) / t - n + 1e-6)
+                low = int(size_class(np.array([max(1.0, t * n - 1e-6)]))[0])
+                spans = np.maximum(0, size_class(np.maximum(top, 1.0)) - low + 1) * (top >= t * n - 1e-6)
+                begin = np.repeat(np.cumsum(spans) - spans, spans)
+                kinds = np.concatenate([low + np.arange(spans.sum()) - begin, np.full(min(short, len(first)), own)])
+                at = np.concatenate([np.repeat(place, spans), place[:short]])
+                small = np.arange(len(at)) >= spans.sum()
+                for column, x in zip(out, (np.full(len(at), i), first[at].view(np.int64), kinds, at, np.full(len(at), n), small), strict=True):
+                    column.append(x)
+                if len(known) > 300_000:
+                    known.clear()
+            row, label, kind, at, n, small = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
+            for low in range(0, len(row), 50_000):
+                cut = slice(low, low + 50_000)
+                mine = pa.array(row[cut].astype(np.int64))
+                yield pa.record_batch(
+                    [b.column("digest").take(mine), b.column("root").take(mine), pa.array(label[cut].astype(np.int64)),
+                     pa.array(kind[cut].astype(np.int32)), pa.array(at[cut].astype(np.int32)), pa.array(n[cut].astype(np.int32)),
+                     pa.array(small[cut].astype(bool))], ["digest", "root", "label", "kind", "at", "n", "small"])
+
+    rows = cut_lineage(some.mapInArrow(run, "digest binary, root binary, label long, kind int, at int, n int, small boolean"), "prefixes")
+    meet = rows.groupBy("label", "kind").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.bool_or("small").alias("s"), F.bool_or(~F.col("small")).alias("l"),
+    ).filter("low <> high and s and l").select("label", "kind")
+    rows = cut_lineage(rows.join(cut_lineage(meet, "meet"), ["label", "kind"]), "meeting")
+    x = rows.filter("small").select("label", "kind", F.col("digest").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"), F.col("at").alias("ax"))
+    y = rows.filter("not small").select("label", "kind", F.col("digest").alias("y"), F.col("root").alias("ry"), F.col("n").alias("ny"), F.col("at").alias("ay"))
+    left = F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay"))
+    met = x.join(y, ["label", "kind"]).filter(
+        (F.col("rx") != F.col("ry")) & (F.col("nx") <= F.col("ny")) & (F.col("nx") >= t * F.col("ny") - 1e-6)
+        & (left >= t / (1 + t) * (F.col("nx") + F.col("ny")) - 1e-6))
+    return _ordered(met.select("x", "y"))
+
+
 def links(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b, similarity) between digests of distinct texts, and the components (node, root)."""
     attach(docs.sparkSession)
@@ -273,9 +386,17 @@ def links(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, DataFra
     while True:
         more = cut_lineage(_verify(_across(shared, roots, turn, s), texts, s), "links")
         if more.isEmpty():
-            return good, roots
+            break
         good, turn = good.union(more), turn + 1
         roots = components(good)
+    undecided = _undecided(shared, roots, s)
+    if undecided.isEmpty():
+        return good, roots
+    more = cut_lineage(_verify(cut_lineage(_exact(undecided, texts, s), "pairs"), texts, s), "links")
+    if more.isEmpty():
+        return good, roots
+    good = good.union(more)
+    return good, components(good)
 
 
 def classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:

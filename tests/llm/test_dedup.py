@@ -98,6 +98,55 @@ def test_classes_equal_brute_force(spark, near_rows, settings):
     assert sorted((-1 if r.doc_id is None else r.doc_id, -1 if r.class_id is None else r.class_id) for r in got) == brute_classes(near_rows)
 
 
+def template_rows():
+    """Texts whose common part alone is below the threshold, in pairs of near copies."""
+    r = random.Random(11)
+    common, rows = [f"t{i}" for i in range(110)], []
+    for g in range(250):
+        own = [f"o{r.randrange(10**6)}" for _ in range(16)]
+        for _ in range(2):
+            words = own.copy()
+            for at in r.sample(range(16), 2):
+                words[at] = f"e{r.randrange(10**6)}"
+            rows.append((len(rows), " ".join(common[:55] + words + common[55:])))
+    return rows
+
+
+def test_pairs_among_many_templates_equal_brute_force(spark):
+    rows = template_rows()
+    labels = [order_minhash.labels_of(t.encode()) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if order_minhash.similarity(labels[i], labels[j]) >= 0.8]
+    assert all(same(rows[i][1], rows[j][1]) for i, j in pairs[:20])
+    for i, j in pairs:
+        root[max(find(i), find(j))] = min(find(i), find(j))
+    classes = {find(i) for i in range(len(rows))}
+    assert len(pairs) > 100 and len(classes) > 100
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.class_id for r in order_minhash.classes(docs).collect()}
+    assert got == {i: find(i) for i in range(len(rows))}
+
+
+def test_prefixes_of_similar_sets_meet():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(1, 50, 64)
+    for _ in range(300):
+        n = int(rng.integers(1, 60))
+        a = rng.choice(1000, n, replace=False).astype(np.uint64)
+        b = np.concatenate([a[int(rng.integers(0, n // 6 + 1)):], rng.choice(np.arange(1000, 2000), int(rng.integers(0, 8)), replace=False).astype(np.uint64)])
+        common = len(np.intersect1d(a, b))
+        if common / (len(a) + len(b) - common) >= 0.8:
+            small, large = sorted((a, b), key=len)
+            (x, short), (y, _) = order_minhash.prefix(small, counts, 0.8), order_minhash.prefix(large, counts, 0.8)
+            assert len(np.intersect1d(x[:short], y))
+
+
 def test_one_of_each_class_stays(spark, near_rows):
     docs = spark.createDataFrame([(i, t, "x") for i, t in near_rows], "doc_id long, text string, digest string").repartition(3)
     kept = order_minhash.drop_near(docs)
