@@ -6,7 +6,10 @@ softmax, trained in numpy.
 
 Tokens are white-space words, lower-cased over A-Z. The most frequent words of the whole corpus are tokens of their
 own, all others share hashed tokens; the softmax has a class for each of the most frequent words and hashed classes
-for the rest. Counts cover all documents. Training covers all documents too: each task draws every ``stride``-th
+for the rest. The probability of a word is that of its class times its share of the class: with n occurrences of the
+word and N of its class in the corpus, n / (N + 1); words the corpus does not hold share the one occurrence more, over
+their bytes (257 ** -(bytes + 1) each, which sums to 1 over all strings). Up to ``held`` of the words' counts are
+broadcast, those of rarer words are joined. Counts cover all documents. Training covers all documents too: each task draws every ``stride``-th
 window of each text it reads (seeded by the text), fits a copy of the current network and returns it; the copies are
 averaged by the number of their windows, per slot of the parameters and inside Spark, for a few rounds. So what is
 gathered grows with the corpus, while what the driver holds is one network.
@@ -18,10 +21,11 @@ text are used. Very long texts are scored in pieces of ``piece`` tokens that see
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +48,7 @@ class Settings:
     batch: int = 256
     rate: float = 0.08
     piece: int = 20_000
+    held: int = 100_000
     seed: int = 3
 
 
@@ -56,6 +61,10 @@ class Vocabulary:
 
     own: dict[bytes, int]
     s: Settings
+    #: Counts of the most frequent words, of all classes, and of the words that are not in ``counts`` (if there are any).
+    counts: dict[bytes, int]
+    totals: np.ndarray
+    rare: DataFrame | None
 
     def tokens(self, words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
         out = np.empty(len(words), np.int32)
@@ -75,6 +84,13 @@ class Vocabulary:
         rest = s.own_classes + (t * 2654435761 >> 7) % (s.classes - s.own_classes)
         return np.where((t >= 0) & (t < s.own_classes), t, rest).astype(np.int32)
 
+    def share(self, word: bytes, count: int, c: int) -> float:
+        """log P(word | class c) of a word that occurs ``count`` times; a class of its own holds no other word."""
+        if c < self.s.own_classes:
+            return 0.0
+        rest = -np.log(self.totals[c] + 1)
+        return float(rest + np.log(count) if count else rest - (len(word) + 1) * np.log(257))
+
 
 class Network:
     def __init__(self, s: Settings, bias: np.ndarray | None = None):
@@ -156,8 +172,14 @@ def vocabulary(docs: DataFrame, s: Settings = Settings()) -> tuple[Vocabulary, n
 
     counted = cut_lineage(docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word")
                           .agg(F.sum("n").alias("n")), "words")
-    top = counted.orderBy(F.desc("n"), "word").limit(s.words).collect()
-    vocab = Vocabulary({bytes(r.word): i for i, r in enumerate(top)}, s)
+    top = counted.orderBy(F.desc("n"), "word").limit(max(s.words, s.held)).toArrow()
+    counts = dict(zip(top["word"].to_pylist(), top["n"].to_pylist(), strict=True))
+    rare = None
+    if counted.count() > len(counts):
+        least = min(counts.values())
+        last = max(w for w, n in counts.items() if n == least)
+        rare = counted.filter((F.col("n") < least) | ((F.col("n") == least) & (F.col("word") > F.lit(bytearray(last)))))
+    vocab = Vocabulary({w: i for i, w in enumerate(list(counts)[:s.words])}, s, {}, np.zeros(s.classes, np.int64), None)
     table = vocab.class_table()
 
     def class_of(words: pa.Array) -> pa.Array:
@@ -167,7 +189,8 @@ def vocabulary(docs: DataFrame, s: Settings = Settings()) -> tuple[Vocabulary, n
     shares = np.ones(s.classes)
     for r in counted.select(hashed("word").alias("c"), "n").groupBy("c").agg(F.sum("n").alias("n")).collect():
         shares[r.c] += r.n
-    return vocab, np.log(shares / shares.sum())
+        vocab.totals[r.c] = r.n
+    return replace(vocab, counts=counts, rare=rare), np.log(shares / shares.sum())
 
 
 SLOT = 4096
@@ -176,7 +199,7 @@ SLOT = 4096
 def _round(docs: DataFrame, vocab: Vocabulary, flat: np.ndarray, turn: int, s: Settings) -> np.ndarray:
     """One round of training: the average of the networks that the tasks fit on their own texts."""
     spark, table = docs.sparkSession, vocab.class_table()
-    sent = spark.sparkContext.broadcast((vocab, flat, table))
+    sent = spark.sparkContext.broadcast((replace(vocab, counts={}, rare=None), flat, table))
 
     def fit(batches):
         vocab, flat, table = sent.value
@@ -245,13 +268,34 @@ def score(docs: DataFrame, vocab: Vocabulary, net: Network, s: Settings = Settin
     """(doc_id, n_tokens, log_likelihood, mean_log_likelihood) for every row of documents."""
     spark: SparkSession = docs.sparkSession
     attach(spark)
-    sent = spark.sparkContext.broadcast((vocab, net.flat(), vocab.class_table()))
+    joined = vocab.rare is not None
+    sent = spark.sparkContext.broadcast((replace(vocab, rare=None), net.flat(), vocab.class_table()))
     given = docs.select("doc_id", "text")
 
     def run(batches):
         vocab, flat, table = sent.value
-        net, known = Network(s).load(flat), {}
+        net, known, shares = Network(s).load(flat), {}, {}
+
+        def share(words: list[bytes], tokens: np.ndarray) -> tuple[float, dict[bytes, int]]:
+            """The sum of log P(word | class), and the words whose counts are not here, with their occurrences."""
+            total, rare = 0.0, {}
+            for w, c in zip(words, table[tokens].tolist(), strict=True):
+                if c < s.own_classes:
+                    continue
+                x = shares.get(w)
+                if x is None:
+                    n = vocab.counts.get(w, 0)
+                    x = shares[w] = vocab.share(w, n, c) if n or not joined else 1.0
+                if x > 0:
+                    rare[w] = rare.get(w, 0) + 1
+                else:
+                    total += x
+            if len(shares) > 300_000:
+                shares.clear()
+            return total, rare
+
         for b in batches:
+            digests, rares = [], []
             raws = b.column("text").cast(pa.large_binary())
             sums, sizes, held, owners, waiting = np.zeros(b.num_rows), np.zeros(b.num_rows, np.int64), [], [], 0
 
@@ -265,9 +309,14 @@ def score(docs: DataFrame, vocab: Vocabulary, net: Network, s: Settings = Settin
                 owners.clear()
 
             for i in range(len(raws)):
-                words = words_of(raws[i].as_py() or b"")
+                raw = raws[i].as_py() or b""
+                words = words_of(raw)
                 sizes[i] = len(words)
                 tokens = vocab.tokens(words, known)
+                part, rare = share(words, tokens)
+                sums[i] += part
+                digests.append(hashlib.md5(raw).digest())
+                rares.append([{"word": w, "times": k} for w, k in rare.items()])
                 for low in range(0, len(words), s.piece):
                     at = np.arange(low, min(low + s.piece, len(words)))
                     held.append((tokens[at], windows(tokens, at, s)))
@@ -280,9 +329,31 @@ def score(docs: DataFrame, vocab: Vocabulary, net: Network, s: Settings = Settin
                     known.clear()
             if held:
                 flush()
-            mean = pa.array(sums / np.maximum(sizes, 1), mask=sizes == 0)
-            yield pa.record_batch([b.column("doc_id"), pa.array(sizes), pa.array(sums), mean],
-                                  ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
-
-    return given.mapInArrow(run, f"doc_id {dict(given.dtypes)['doc_id']}, n_tokens long, log_likelihood double, "
-                                 "mean_log_likelihood double")
+            yield pa.record_batch([b.column("doc_id"), pa.array(sizes), pa.array(sums), pa.array(digests, pa.binary()),
+                                   pa.array(rares, pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])))],
+                                  ["doc_id", "n_tokens", "log_likelihood", "digest", "rare"])
+
+    rows = given.mapInArrow(run, f"doc_id {dict(given.dtypes)['doc_id']}, n_tokens long, log_likelihood double, digest binary, "
+                                 "rare array<struct<word: binary, times: bigint>>")
+    if joined:
+        rows = cut_lineage(rows, "scored")
+        rows = rows.drop("rare").join(_rare_shares(rows, vocab, sent), "digest", "left").withColumn(
+            "log_likelihood", F.col("log_likelihood") + F.coalesce("more", F.lit(0.0)))
+    return rows.select("doc_id", "n_tokens", "log_likelihood", F.when(
+        F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_likelihood"))
+
+
+def _rare_shares(rows: DataFrame, vocab: Vocabulary, sent) -> DataFrame:
+    """(digest, more): the sum of log P(word | class) over the words of a text whose counts were not broadcast."""
+    texts = rows.filter(F.size("rare") > 0).groupBy("digest").agg(F.first("rare").alias("rare"))
+    used = texts.select("digest", F.inline("rare"))
+
+    def share(words: pa.Array, counts: pa.Array) -> pa.Array:
+        vocab, _, table = sent.value
+        words = words.to_pylist()
+        classes = table[vocab.tokens(words, {})].tolist()
+        return pa.array([vocab.share(*x) for x in zip(words, counts.to_pylist(), classes, strict=True)], pa.float64())
+
+    each = used.select("word").distinct().join(vocab.rare, "word", "left").select(
+        "word", F.arrow_udf(share, "double")("word", F.coalesce("n", F.lit(0))).alias("share"))
+    return used.join(each, "word").groupBy("digest").agg(F.sum(F.col("times") * F.col("share")).alias("more"))

@@ -190,3 +190,49 @@ def test_language_model(spark):
     assert by[0].log_likelihood == pytest.approx(total, rel=1e-4)
     empty = masked_lm.train(docs.limit(0), s)
     assert masked_lm.score(docs, *empty, s).count() == len(got)
+
+
+def test_words_count_inside_their_class(spark):
+    """Unseen and rarer words lower the score, whether counts are broadcast or joined."""
+    rng = np.random.default_rng(4)
+    rank = np.minimum(rng.zipf(1.2, 40_000), 3000)
+    rows = [(i, " ".join(f"v{k}" for k in rank[100 * i:100 * i + 100])) for i in range(400)]
+    docs = spark.createDataFrame([*rows, (None, rows[0][1])], "doc_id long, text string").repartition(3)
+    every = masked_lm.Settings(words=60, hashed=31, classes=48, own_classes=32)
+    for s in (every, masked_lm.Settings(words=60, hashed=31, classes=48, own_classes=32, held=100)):
+        vocab, net = masked_lm.train(docs, s)
+        assert (vocab.rare is None) == (s is every)
+        by = {r.doc_id: r.log_likelihood for r in masked_lm.score(docs, vocab, net, s).collect()}
+        counts = {}
+        for w in " ".join(t for _, t in [*rows, rows[0]]).split():
+            counts[w.encode()] = counts.get(w.encode(), 0) + 1
+        totals = np.zeros(s.classes)
+        table = vocab.class_table()
+        for w, n in counts.items():
+            totals[table[vocab.tokens([w], {})[0]]] += n
+        assert (totals == vocab.totals).all()
+
+        def definition(text):
+            words = [w.encode() for w in text.split()]
+            tokens = vocab.tokens(words, {})
+            total = float(net.log_probabilities(masked_lm.windows(tokens, np.arange(len(tokens)), s), table[tokens]).sum(dtype=float))
+            for w, c in zip(words, table[tokens]):
+                if c >= s.own_classes:
+                    total += np.log(counts[w] / (totals[c] + 1)) if w in counts else -np.log(totals[c] + 1) - (len(w) + 1) * np.log(257)
+            return total
+
+        assert by[None] == pytest.approx(by[0], rel=1e-9)
+        for i, text in rows[:20]:
+            assert by[i] == pytest.approx(definition(text), rel=1e-4)
+        # every rare word by an unseen one of the same input token
+        swapped, unseen = [], {}
+        for k in range(4000):
+            unseen.setdefault(int(vocab.tokens([b"q%d" % k], {})[0]), f"q{k}")
+        for i, text in rows[:20]:
+            words = text.split()
+            tokens = vocab.tokens([w.encode() for w in words], {})
+            swapped.append((i, " ".join(unseen[int(t)] if t > s.words else w for w, t in zip(words, tokens, strict=True))))
+        other = masked_lm.score(spark.createDataFrame(swapped, "doc_id long, text string"), vocab, net, s).collect()
+        assert all(r.log_likelihood < by[r.doc_id] for r in other)
+        for r in other:
+            assert r.log_likelihood == pytest.approx(definition(dict(swapped)[r.doc_id]), rel=1e-4)
