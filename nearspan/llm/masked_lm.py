@@ -9,8 +9,9 @@ own, all others share hashed tokens; the softmax has a class for each of the mos
 for the rest. The probability of a word is that of its class times its share of the class: with n occurrences of the
 word and N of its class in the corpus, n / (N + 1); words the corpus does not hold share the one occurrence more, over
 their bytes (257 ** -(bytes + 1) each, which sums to 1 over all strings). Up to ``held`` of the words' counts are
-broadcast, those of rarer words are joined. Counts cover all documents. Training covers all documents too: each task draws every ``stride``-th
-window of each text it reads (seeded by the text), fits a copy of the current network and returns it; the copies are
+broadcast, those of rarer words are joined. Counts cover all documents. Training covers all documents too: each task takes every ``stride``-th
+window of each text it reads (the first seeded by the text, the next one in the next round), so ``stride`` rounds train
+on every window once; a task fits a copy of the current network and returns it; the copies are
 averaged by the number of their windows, per slot of the parameters and inside Spark, for a few rounds. So what is
 gathered grows with the corpus, while what the driver holds is one network.
 
@@ -43,7 +44,7 @@ class Settings:
     own_classes: int = 192
     reach: int = 2
     hidden: int = 16
-    stride: int = 24
+    stride: int = 2
     rounds: int = 2
     batch: int = 256
     rate: float = 0.08
@@ -160,6 +161,11 @@ def windows(tokens: np.ndarray, at: np.ndarray, s: Settings) -> np.ndarray:
     return padded[at[:, None] + np.array(offsets)]
 
 
+def places(raw: bytes, n: int, turn: int, s: Settings) -> np.ndarray:
+    """The places of a text of n words that a round trains on; ``stride`` rounds have every place once."""
+    return np.arange((zlib.crc32(raw) + turn) % s.stride, n, s.stride)
+
+
 def vocabulary(docs: DataFrame, s: Settings = Settings()) -> tuple[Vocabulary, np.ndarray]:
     """The most frequent words of all documents, and the log share of every class."""
     def count(batches):
@@ -206,7 +212,7 @@ def _round(docs: DataFrame, vocab: Vocabulary, flat: np.ndarray, turn: int, s: S
         net = Network(s).load(flat)
         g = [np.full_like(p, 1e-3) for p in net.parameters()]
         known: dict[bytes, int] = {}
-        held, seen = [], 0
+        held, seen, waiting = [], 0, 0
 
         def learn() -> None:
             sides, y = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -223,13 +229,15 @@ def _round(docs: DataFrame, vocab: Vocabulary, flat: np.ndarray, turn: int, s: S
                 words = words_of(raw)
                 if not words:
                     continue
-                start = (zlib.crc32(raw) + turn) % s.stride
-                at = np.arange(start if len(words) > start else start % len(words), len(words), s.stride)
+                every = places(raw, len(words), turn, s)
                 tokens = vocab.tokens(words, known)
-                held.append((windows(tokens, at, s), table[tokens[at]]))
-                seen += len(at)
-                if len(held) >= 512:
-                    learn()
+                for low in range(0, len(every), s.piece):
+                    at = every[low:low + s.piece]
+                    held.append((windows(tokens, at, s), table[tokens[at]]))
+                    seen, waiting = seen + len(at), waiting + len(at)
+                    if len(held) >= 512 or waiting >= 5 * s.piece:
+                        learn()
+                        waiting = 0
                 if len(known) > 300_000:
                     known.clear()
         if held:

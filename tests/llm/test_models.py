@@ -236,3 +236,18 @@ def test_words_count_inside_their_class(spark):
         assert all(r.log_likelihood < by[r.doc_id] for r in other)
         for r in other:
             assert r.log_likelihood == pytest.approx(definition(dict(swapped)[r.doc_id]), rel=1e-4)
+
+
+def test_registered_training_takes_every_window(spark):
+    s = masked_lm.Settings()
+    for n in (1, 2, 3, 50, 501):
+        taken = np.concatenate([masked_lm.places(b"text %d" % n, n, turn, s) for turn in range(s.rounds)])
+        assert set(taken.tolist()) == set(range(n))
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(f"{x}{k}" for k in rng.integers(30, size=40) for x in "abc")) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    vocab, net = masked_lm.train(docs)
+    mixed = [(i, " ".join(rng.permutation(t.split()))) for i, t in rows]
+    a, b = ({r.doc_id: r.log_likelihood for r in masked_lm.score(spark.createDataFrame(x, "doc_id long, text string"), vocab, net).collect()}
+            for x in (rows, mixed))
+    assert np.mean([a[i] > b[i] for i in a]) > 0.97
