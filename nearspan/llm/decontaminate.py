@@ -4,8 +4,8 @@ The windows of all test items (13 words; an item of fewer words is one window) f
 keyed by the longest word of each window. Documents are read once: their words are scanned in place, a word that
 keys no window goes no further, and the window around one that does is compared word by word with the broadcast
 window. So only verified hits leave the scan; no text is shuffled and no window of the corpus is built unless its
-key word matched. The set is cut into blocks of at most ``block`` windows, one scan each, so what is broadcast
-has a fixed bound however large the benchmark is.
+key word matched. The set is cut by the hash of window and item into blocks of about ``block`` windows, one
+scan each, so what is broadcast has a fixed bound however large the benchmark is and however many items hold a window.
 
 Words: A-Z are lower-cased, everything else stays; words are runs of digits, letters a-z and code points from
 U+0080 on. The scan looks words up by their full lower case, which is coarser, and compares exactly afterwards.
@@ -54,11 +54,15 @@ def windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
                     F.lower(F.element_at(w, F.col("offset") + 1)).alias("anchor")))
 
 
+def in_blocks(grams: DataFrame, block: int) -> tuple[DataFrame, int]:
+    """The windows with their number of a block, and the number of blocks. Items of one window are dealt over all."""
+    blocks = max(1, -(-grams.count() // block))
+    return grams.withColumn("block", F.pmod(F.xxhash64("gram", "item"), F.lit(blocks))), blocks
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """(doc_id, digest, item, start, length) of every verified occurrence; starts count words from 0."""
-    grams = cut_lineage(windows(benchmark, width), "windows")
-    blocks = max(1, -(-grams.count() // block))
-    grams = grams.withColumn("block", F.pmod(F.xxhash64("gram"), F.lit(blocks)))
+    grams, blocks = in_blocks(cut_lineage(windows(benchmark, width), "windows"), block)
     read = docs.select("doc_id", "text", words(F.col("text")).alias("w"))
     # outer: else the planner adds a filter on the number of words, and finds the words twice
     exploded = read.select("doc_id", "text", "w", F.posexplode_outer("w").alias("pos", "word"))

@@ -210,3 +210,14 @@ def test_query_equals_sql(spark, name):
     assert list(got.columns) == list(want.columns) and len(got) == len(want) > 0
     for c in got:
         assert got[c].dtype == want[c].dtype and got[c].astype(str).tolist() == want[c].astype(str).tolist(), c
+
+
+def test_blocks_stay_small_when_all_items_share_a_window(spark):
+    template = " ".join(f"word{i}" for i in range(13))
+    bench = spark.createDataFrame([(f"i{k}", template) for k in range(400)], "item_id string, text string")
+    grams, blocks = decontaminate.in_blocks(decontaminate.windows(bench), 100)
+    sizes = [r["count"] for r in grams.groupBy("block").count().collect()]
+    assert blocks == 4 == len(sizes) and max(sizes) < 150
+    docs = spark.createDataFrame([(1, f"before {template} after"), (2, "nothing here")], "doc_id long, text string")
+    few, all_at_once = (sorted(map(str, decontaminate.report(docs, bench, block=b).collect())) for b in (100, 100_000))
+    assert few == all_at_once and "n_items=400" in few[0]
