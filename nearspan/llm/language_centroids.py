@@ -148,8 +148,11 @@ def train(docs: DataFrame, s: Settings = Settings()) -> Model:
     attach(docs.sparkSession)
     known = docs.filter(~held_out(F.col("doc_id"))).filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
     weights = _weights(known, s)
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    wanted = F.least(F.lit(1.0), 4.0 * s.per_language / F.col("n"))  # so few rows of a language that one task ranks them
     pick = Window.partitionBy("lang").orderBy("h", "id")
     turn = (known.select("lang", F.xxhash64("doc_id").alias("h"), F.col("doc_id").cast("string").alias("id"))
+            .join(sizes, "lang").where(F.col("h") / 2.0 ** 64 + 0.5 <= wanted)
             .withColumn("turn", F.row_number().over(pick)).where(F.col("turn") <= s.per_language)
             .orderBy("turn", "h", "id", "lang").limit(s.sample).select("id", F.col("lang").alias("of")).distinct())
     sample = known.join(F.broadcast(turn), F.col("doc_id").cast("string").eqNullSafe(F.col("id")) & (F.col("lang") == F.col("of")))

@@ -1,9 +1,10 @@
 """Divergence of sources inside each language, by the terms they use; strings are fetched only for what is reported.
 
 Tasks count the terms of their texts in memory and hand on 64-bit digests instead of strings: a count row is
-(language, source, digest, occurrences, documents). Beside them every task lists each distinct term once, and the least
-and the greatest string of a digest tell whether two terms share it. Digests that two terms share are counted once more
-from the texts, with the string as second part of the key (``split``), so that results are exact. All later steps
+(language, source, digest, occurrences). Beside them every task lists each distinct term of a language once, with the
+number of its documents, and the least and the greatest string of a digest tell whether two terms share it. Digests that
+two terms share are counted once more from the texts, with the string as second part of the key (``split``), so that
+results are exact. All later steps
 (document counts, sizes, ranks) shuffle digests; texts are joined back for the ranked terms alone.
 
 Shares are whole numbers out of ``SCALE`` and all arithmetic is exact. The sum of a pair of sources over all kept terms
@@ -24,7 +25,6 @@ import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -43,7 +43,7 @@ COUNTS = "lang string, source string, digest long, term string, n long, df long"
 class Settings:
     min_documents: int = 3
     top: int = 200
-    entries: int = 200_000
+    entries: int = 1_000_000
     digest_bits: int = 64
     broadcast_rows: int = 100_000
 
@@ -54,7 +54,7 @@ def _digest(term: bytes, bits: int) -> int:
 
 
 class _Table:
-    """Occurrences and documents of the terms of each (language, source)."""
+    """Occurrences of the terms of each (language, source), and the documents of each language that hold a term."""
 
     def __init__(self, s: Settings, strings: bool):
         self.settings, self.strings = s, strings
@@ -63,46 +63,46 @@ class _Table:
     def clear(self) -> None:
         self.n, self.df, self.entries = defaultdict(Counter), defaultdict(Counter), 0
 
-    def add(self, group: tuple[str, str], raw: bytes) -> None:
+    def add(self, lang: str, source: str, raw: bytes) -> None:
         found = TERM.findall(raw.translate(LOWERED))
-        n = self.n[group]
+        n = self.n[lang, source]
         before = len(n)
         n.update(found)
-        self.df[group].update(set(found))
+        self.df[lang].update(set(found))
         self.entries += len(n) - before
 
     def batches(self):
-        """Count rows of all groups; then each distinct term once, without a group (unless the rows carry strings)."""
+        """Count rows of all groups; then, without a source, each distinct term of a language once."""
         bits = self.settings.digest_bits
-        digests = {t: _digest(t, bits) for t in set().union(*self.n.values())}
+        digests = {lang: {t: _digest(t, bits) for t in df} for lang, df in self.df.items()}
         for (lang, source), n in self.n.items():
-            df = self.df[lang, source]
-            yield self._rows([lang] * len(n), [source] * len(n), [digests[t] for t in n], list(n) if self.strings else None,
-                             list(n.values()), [df[t] for t in n])
-        if not self.strings:
-            yield self._rows(None, None, list(digests.values()), list(digests), None, None)
+            at = digests[lang]
+            yield _rows(len(n), lang, source, [at[t] for t in n], list(n) if self.strings else None, list(n.values()), None)
+        for lang, df in self.df.items():
+            yield _rows(len(df), lang, None, list(digests[lang].values()), list(df), None, list(df.values()))
         self.clear()
 
-    @staticmethod
-    def _rows(lang, source, digest, term, n, df) -> pa.RecordBatch:
-        k = len(digest)
-        kinds = pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()
-        terms = None if term is None else pa.array(term, pa.binary()).cast(pa.string())
-        columns = [lang, source, digest, terms, n, df]
-        return pa.record_batch([c if isinstance(c, pa.Array) else pa.nulls(k, t) if c is None else pa.array(c, t)
-                                for c, t in zip(columns, kinds, strict=True)], COUNTS.replace(",", "").split()[::2])
+
+def _rows(size: int, lang: str, source: str | None, digest: list, term: list | None, n: list | None, df: list | None) -> pa.RecordBatch:
+    def numbers(values):
+        return pa.nulls(size, pa.int64()) if values is None else pa.array(values, pa.int64())
+
+    terms = pa.nulls(size, pa.string()) if term is None else pa.array(term, pa.binary()).cast(pa.string())
+    sources = pa.nulls(size, pa.string()) if source is None else pa.repeat(pa.scalar(source), size)
+    return pa.record_batch([pa.repeat(pa.scalar(lang), size), sources, numbers(digest), terms, numbers(n), numbers(df)],
+                           ["lang", "source", "digest", "term", "n", "df"])
 
 
 def counted(docs: DataFrame, s: Settings, strings: bool = False) -> DataFrame:
-    """Rows of COUNTS. Without ``strings`` count rows have no term, and rows without a group list the terms."""
+    """Rows of COUNTS: (lang, source, digest, n), with the term if ``strings``; and (lang, digest, term, df)."""
     attach(docs.sparkSession)
 
     def run(batches):
         table = _Table(s, strings)
         for b in batches:
             raws = b.column("text").cast(pa.large_binary())
-            for group, raw in zip(zip(b.column("lang").to_pylist(), b.column("source").to_pylist()), raws):
-                table.add(group, raw.as_py())
+            for lang, source, raw in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), raws):
+                table.add(lang, source, raw.as_py())
                 if table.entries > s.entries:
                     yield from table.batches()
         if table.entries:
@@ -112,19 +112,22 @@ def counted(docs: DataFrame, s: Settings, strings: bool = False) -> DataFrame:
 
 
 def kept_terms(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """(lang, digest, split, total, of: [(source, n)]) of every kept term, and (digest, low) with the strings of digests."""
+    """(lang, digest, split, total, of: [(source, n)]) of every kept term, and (lang, digest, low) with the strings of digests."""
+    key = ["lang", "digest", "split"]
     rows = cut_lineage(counted(docs, s), "term-counts")
-    strings = cut_lineage(rows.where("term IS NOT NULL").groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")),
-                          "term-strings")
-    counts = rows.where("term IS NULL").withColumn("split", F.lit(""))
-    shared = strings.where("low <> high").select("digest")
+    strings = cut_lineage(rows.where("source IS NULL").groupBy("lang", "digest").agg(
+        F.min("term").alias("low"), F.max("term").alias("high"), F.sum("df").alias("df")), "term-strings")
+    known = strings.where("low = high").select("lang", "digest", F.lit("").alias("split"), "df")
+    counts = rows.where("source IS NOT NULL").withColumn("split", F.lit(""))
+    shared = strings.where("low <> high").select("lang", "digest")
     if not shared.isEmpty():
-        again = counted(docs, s, strings=True).join(shared, "digest", "left_semi").withColumn("split", F.col("term"))
-        counts = counts.join(shared, "digest", "left_anti").unionByName(again)
-    by_source = counts.groupBy("lang", "digest", "split", "source").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
-    kept = (by_source.groupBy("lang", "digest", "split")
-            .agg(F.sum("n").alias("total"), F.sum("df").alias("df"), F.collect_list(F.struct("source", "n")).alias("of"))
-            .where(F.col("df") >= s.min_documents).drop("df"))
+        again = counted(docs, s, strings=True).join(shared, ["lang", "digest"], "left_semi").withColumn("split", F.col("term"))
+        again = cut_lineage(again, "shared-digests")
+        known = known.unionByName(again.where("source IS NULL").groupBy(key).agg(F.sum("df").alias("df")))
+        counts = counts.join(shared, ["lang", "digest"], "left_anti").unionByName(again.where("source IS NOT NULL"))
+    by_source = counts.groupBy(*key, "source").agg(F.sum("n").alias("n"))
+    kept = (by_source.join(known.where(F.col("df") >= s.min_documents).select(key), key, "left_semi").groupBy(key)
+            .agg(F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("of")))
     return cut_lineage(kept, "kept-terms"), strings
 
 
@@ -166,7 +169,7 @@ def _terms(kept: DataFrame, strings: DataFrame, sizes: DataFrame, few: bool, s:
               .where("p > q").select("lang", "source", "digest", "split", _gap("p", "q").alias("value")))
     by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"))
     best = scored.withColumn("place", F.rank().over(by_value)).where(F.col("place") <= s.top).drop("place")
-    named = best.join(strings.select("digest", "low"), "digest").withColumn("item", F.when(F.col("split") == "", F.col("low")).otherwise(F.col("split")))
+    named = best.join(strings.select("lang", "digest", "low"), ["lang", "digest"]).withColumn("item", F.when(F.col("split") == "", F.col("low")).otherwise(F.col("split")))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     return (named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= s.top)
             .select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank"))
