@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearspan.llm import (
-    decontaminate, html_lstm, language_centroids, licenses, masked_lm, mixing, order_minhash, quality_fm, quality_rules,
-    source_divergence, suffix_dedup, toxicity,
+    decontaminate, html_lstm, language_centroids, licenses, masked_lm, mixing, order_minhash, phrase_automata, quality_fm,
+    quality_rules, source_divergence, suffix_dedup, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,14 +72,19 @@ def op12_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf, "documents"))
 
 
+def op13_phrase_mining(spark: SparkSession, sf: str) -> DataFrame:
+    return phrase_automata.mine(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {"op1_html_extraction": op1_html_extraction, "op2_decontamination": op2_decontamination, "op3_mixing": op3_mixing,
             "op4_quality_classifier": op4_quality_classifier, "op5_near_duplicates": op5_near_duplicates, "op6_toxicity": op6_toxicity,
             "op7_lm_scoring": op7_lm_scoring, "op8_suffix_dedup": op8_suffix_dedup, "op9_license_scan": op9_license_scan,
             "op10_quality_rules": op10_quality_rules, "op11_language_id": op11_language_id,
-            "op12_source_divergence": op12_source_divergence}
+            "op12_source_divergence": op12_source_divergence, "op13_phrase_mining": op13_phrase_mining}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_decontamination": decontaminate.SQL, "op3_mixing": mixing.SQL,
-            "op9_license_scan": licenses.sql(), "op12_source_divergence": source_divergence.SQL}
+            "op9_license_scan": licenses.sql(), "op12_source_divergence": source_divergence.SQL,
+            "op13_phrase_mining": phrase_automata.SQL}
