@@ -49,7 +49,7 @@ class Settings:
     range_bytes: int = 8 << 20
     sample_bytes: int = 16 << 20
     samples: int = 64
-    bucket_rows: int = 500_000
+    bucket_rows: int = 20_000
 
 
 @dataclass

@@ -1,8 +1,8 @@
 """Divergence of sources inside each language, by the terms they use; strings are fetched only for what is reported.
 
 Tasks count the terms of their texts in memory and hand on 64-bit digests instead of strings: a count row is
-(language, source, digest, occurrences). Beside them every task lists each distinct term of a language once, with the
-number of its documents, and the least and the greatest string of a digest tell whether two terms share it. Digests that
+(language, source, digest, occurrences). One row of each term of a language and task also has the string and the number of
+documents; the least and the greatest string of a digest tell whether two terms share it. Digests that
 two terms share are counted once more from the texts, with the string as second part of the key (``split``), so that
 results are exact. All later steps
 (document counts, sizes, ranks) shuffle digests; texts are joined back for the ranked terms alone.
@@ -10,7 +10,7 @@ results are exact. All later steps
 Shares are whole numbers out of ``SCALE`` and all arithmetic is exact. The sum of a pair of sources over all kept terms
 of their language comes from histograms: a term that neither has, or only one of them, adds a value that depends on one
 count alone, so those are taken from the number of terms per count; only sources that do share a term meet, and they are
-counted by their two counts before any value is computed.
+counted by their two counts before any value is computed. Sums fit 64 bits for up to 10^9 kept terms of a language.
 
 Defined cases: null text, language and source are ''. Every occurring (language, source) is a group, also without any
 term. Repeated rows are documents of their own. A language without kept terms has pairs of value 0 and no terms. Ties
@@ -72,29 +72,22 @@ class _Table:
         self.entries += len(n) - before
 
     def batches(self):
-        """Count rows of all groups; then, without a source, each distinct term of a language once."""
+        """Count rows of all groups; the first row of a term of a language also has its string and its documents."""
         bits = self.settings.digest_bits
         digests = {lang: {t: _digest(t, bits) for t in df} for lang, df in self.df.items()}
         for (lang, source), n in self.n.items():
-            at = digests[lang]
-            yield _rows(len(n), lang, source, [at[t] for t in n], list(n) if self.strings else None, list(n.values()), None)
-        for lang, df in self.df.items():
-            yield _rows(len(df), lang, None, list(digests[lang].values()), list(df), None, list(df.values()))
+            at, df = digests[lang], self.df[lang]
+            documents = [df.pop(t, None) for t in n]
+            strings = list(n) if self.strings else [t if d else None for t, d in zip(n, documents)]
+            yield pa.record_batch([pa.repeat(pa.scalar(lang), len(n)), pa.repeat(pa.scalar(source), len(n)),
+                                   pa.array([at[t] for t in n], pa.int64()), pa.array(strings, pa.binary()).cast(pa.string()),
+                                   pa.array(n.values(), pa.int64()), pa.array(documents, pa.int64())],
+                                  ["lang", "source", "digest", "term", "n", "df"])
         self.clear()
 
 
-def _rows(size: int, lang: str, source: str | None, digest: list, term: list | None, n: list | None, df: list | None) -> pa.RecordBatch:
-    def numbers(values):
-        return pa.nulls(size, pa.int64()) if values is None else pa.array(values, pa.int64())
-
-    terms = pa.nulls(size, pa.string()) if term is None else pa.array(term, pa.binary()).cast(pa.string())
-    sources = pa.nulls(size, pa.string()) if source is None else pa.repeat(pa.scalar(source), size)
-    return pa.record_batch([pa.repeat(pa.scalar(lang), size), sources, numbers(digest), terms, numbers(n), numbers(df)],
-                           ["lang", "source", "digest", "term", "n", "df"])
-
-
 def counted(docs: DataFrame, s: Settings, strings: bool = False) -> DataFrame:
-    """Rows of COUNTS: (lang, source, digest, n), with the term if ``strings``; and (lang, digest, term, df)."""
+    """Rows of COUNTS; ``df`` is null but for one row of each term and language of a table, and so is ``term`` unless ``strings``."""
     attach(docs.sparkSession)
 
     def run(batches):
@@ -111,23 +104,26 @@ def counted(docs: DataFrame, s: Settings, strings: bool = False) -> DataFrame:
     return docs.mapInArrow(run, COUNTS)
 
 
-def kept_terms(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """(lang, digest, split, total, of: [(source, n)]) of every kept term, and (lang, digest, low) with the strings of digests."""
-    key = ["lang", "digest", "split"]
+KEY = ["digest", "lang", "split"]
+
+
+def kept_terms(docs: DataFrame, groups: DataFrame, few: bool, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """(KEY, total, of: [(g, n)]) of every kept term, g the number of a group; and (digest, lang, low), the strings of digests."""
     rows = cut_lineage(counted(docs, s), "term-counts")
-    strings = cut_lineage(rows.where("source IS NULL").groupBy("lang", "digest").agg(
+    strings = cut_lineage(rows.where("df IS NOT NULL").groupBy("digest", "lang").agg(
         F.min("term").alias("low"), F.max("term").alias("high"), F.sum("df").alias("df")), "term-strings")
-    known = strings.where("low = high").select("lang", "digest", F.lit("").alias("split"), "df")
-    counts = rows.where("source IS NOT NULL").withColumn("split", F.lit(""))
-    shared = strings.where("low <> high").select("lang", "digest")
+    known = strings.where("low = high").select("digest", "lang", F.lit("").alias("split"), "df")
+    counts = rows.select("digest", "lang", F.lit("").alias("split"), "source", "n")
+    shared = strings.where("low <> high").select("digest", "lang")
     if not shared.isEmpty():
-        again = counted(docs, s, strings=True).join(shared, ["lang", "digest"], "left_semi").withColumn("split", F.col("term"))
+        again = counted(docs, s, strings=True).join(shared, ["digest", "lang"], "left_semi").withColumn("split", F.col("term"))
         again = cut_lineage(again, "shared-digests")
-        known = known.unionByName(again.where("source IS NULL").groupBy(key).agg(F.sum("df").alias("df")))
-        counts = counts.join(shared, ["lang", "digest"], "left_anti").unionByName(again.where("source IS NOT NULL"))
-    by_source = counts.groupBy(*key, "source").agg(F.sum("n").alias("n"))
-    kept = (by_source.join(known.where(F.col("df") >= s.min_documents).select(key), key, "left_semi").groupBy(key)
-            .agg(F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("of")))
+        known = known.unionByName(again.groupBy(KEY).agg(F.sum("df").alias("df")))
+        counts = counts.join(shared, ["digest", "lang"], "left_anti").unionByName(again.select(counts.columns))
+    known = known.where(F.col("df") >= s.min_documents).select(KEY)
+    numbered = _with(counts, groups.select("lang", "source", "g"), ["lang", "source"], few).select(*KEY, "g", "n")
+    kept = (numbered.join(known.hint("shuffle_hash"), KEY, "left_semi").groupBy(*KEY, "g").agg(F.sum("n").alias("n"))
+            .groupBy(KEY).agg(F.sum("n").alias("total"), F.collect_list(F.struct("g", "n")).alias("of")))
     return cut_lineage(kept, "kept-terms"), strings
 
 
@@ -147,14 +143,16 @@ def _gap(p: str, q: str) -> Column:
 def audit(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """(lang, source, part, item, value, rank): distances to the other sources, and the terms a source has more of."""
     given = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    groups = cut_lineage(given.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("documents")).drop("documents"), "groups")
-    kept, strings = kept_terms(given, s)
-    sizes = kept.select("lang", F.explode("of").alias("x")).groupBy("lang", "x.source").agg(F.sum("x.n").alias("size"))
+    groups = cut_lineage(given.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("documents"))
+                         .select("lang", "source", F.monotonically_increasing_id().alias("g")), "groups")
+    few = groups.count() <= s.broadcast_rows
+    kept, strings = kept_terms(given, groups, few, s)
+    alone = cut_lineage(kept.select(F.explode("of").alias("x")).groupBy("x.g", "x.n").agg(F.count(F.lit(1)).alias("terms")), "histograms")
+    sizes = alone.groupBy("g").agg(F.sum(F.col("terms") * F.col("n")).alias("size"), F.sum("terms").alias("own"))
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("total").alias("lang_size"))
-    sizes = groups.join(sizes, ["lang", "source"], "left").join(langs, "lang", "left").fillna(0, ["size", "kept", "lang_size"])
+    sizes = groups.join(sizes, "g", "left").join(langs, "lang", "left").fillna(0, ["size", "own", "kept", "lang_size"])
     sizes = cut_lineage(sizes, "group-sizes")
-    few = sizes.count() <= s.broadcast_rows
-    out = _terms(kept, strings, sizes, few, s).unionByName(_pairs(kept, sizes, few))
+    out = _terms(kept, strings, sizes, few, s).unionByName(_pairs(kept, alone, sizes, few))
     return out.select("lang", "source", "part", "item", "value", "rank")
 
 
@@ -163,46 +161,54 @@ def _with(rows: DataFrame, small: DataFrame, on: list[str], few: bool) -> DataFr
 
 
 def _terms(kept: DataFrame, strings: DataFrame, sizes: DataFrame, few: bool, s: Settings) -> DataFrame:
-    rows = kept.select("lang", "digest", "split", "total", F.explode("of").alias("x")).select("*", "x.*").drop("x")
-    scored = (_with(rows, sizes, ["lang", "source"], few)
+    rows = kept.select("digest", "split", "total", F.explode("of").alias("x")).select("digest", "split", "total", "x.g", "x.n")
+    scored = (_with(rows, sizes, ["g"], few)
               .withColumn("p", share("n", "size", "kept")).withColumn("q", share("total", "lang_size", "kept"))
               .where("p > q").select("lang", "source", "digest", "split", _gap("p", "q").alias("value")))
     by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"))
     best = scored.withColumn("place", F.rank().over(by_value)).where(F.col("place") <= s.top).drop("place")
-    named = best.join(strings.select("lang", "digest", "low"), ["lang", "digest"]).withColumn("item", F.when(F.col("split") == "", F.col("low")).otherwise(F.col("split")))
+    named = best.join(strings.select("digest", "lang", "low"), ["digest", "lang"]).withColumn(
+        "item", F.when(F.col("split") == "", F.col("low")).otherwise(F.col("split")))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     return (named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= s.top)
             .select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank"))
 
 
-def _pairs(kept: DataFrame, sizes: DataFrame, few: bool) -> DataFrame:
-    """Sum over all kept terms of the gap of every ordered pair (source, item)."""
-    there = kept.select("lang", "of", F.explode("of").alias("x")).select("lang", "of", F.col("x.source").alias("source"), F.col("x.n").alias("n"))
-    alone = there.groupBy("lang", "source", "n").agg(F.count(F.lit(1)).alias("terms"))
-    both = (there.select("lang", "source", "n", F.explode("of").alias("y"))
-            .select("lang", "source", "n", F.col("y.source").alias("item"), F.col("y.n").alias("m")).where("source <> item")
-            .groupBy("lang", "source", "item", "n", "m").agg(F.count(F.lit(1)).alias("terms")))
-
-    left = sizes.select("lang", "source", "size", "kept")
-    right = sizes.select("lang", F.col("source").alias("item"), F.col("size").alias("item_size"))
-    pairs = _with(left, right, ["lang"], few).where("source <> item")
-    none = F.lit(0).cast("long")
-    pairs = pairs.withColumn("none", none).withColumn("p0", F.when(F.col("kept") > 0, share("none", "size", "kept")))
-    pairs = cut_lineage(pairs.withColumn("q0", F.when(F.col("kept") > 0, share("none", "item_size", "kept"))), "source-pairs")
-    on = ["lang", "source", "item"]
-    with_n = _with(alone, pairs, ["lang", "source"], False).withColumn("p", share("n", "size", "kept"))
-    with_m = _with(alone.withColumnRenamed("source", "item").withColumnRenamed("n", "m"), pairs, ["lang", "item"], False).withColumn("q", share("m", "item_size", "kept"))
-    met = both.join(pairs, on).withColumn("p", share("n", "size", "kept")).withColumn("q", share("m", "item_size", "kept"))
-    plain = _gap("p0", "q0")
-    parts = [pairs.where("kept > 0").select(*on, F.col("kept").alias("terms"), plain.alias("each")),
-             with_n.select(*on, "terms", (_gap("p", "q0") - plain).alias("each")),
-             with_m.select(*on, "terms", (_gap("p0", "q") - plain).alias("each")),
-             met.select(*on, "terms", (_gap("p", "q") - _gap("p", "q0") - _gap("p0", "q") + plain).alias("each"))]
-    total = F.sum(F.col("terms").cast("decimal(20,0)") * F.col("each")).cast("long")
-    sums = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]).groupBy(*on).agg(total.alias("value"))
+def _pairs(kept: DataFrame, alone: DataFrame, sizes: DataFrame, few: bool) -> DataFrame:
+    """Sum over all kept terms of the gap of every ordered pair (source, item).
+
+    As if no term were shared, plus what differs for those that are: whole - without item - without source + without both.
+    """
+    left = sizes.select("lang", "source", "g", "size", "own", "kept")
+    right = sizes.select("lang", *[F.col(c).alias(f"item_{c}") for c in ("source", "g", "size", "own")])
+    pairs = _with(left, right, ["lang"], few).where("g <> item_g").withColumn("none", F.lit(0).cast("long"))
+    some = F.col("kept") > 0
+    pairs = pairs.withColumn("p0", F.when(some, share("none", "size", "kept"))).withColumn("q0", F.when(some, share("none", "item_size", "kept")))
+    pairs = cut_lineage(pairs.withColumn("plain", F.when(some, _gap("p0", "q0"))).drop("none"), "source-pairs")
+    on = ["g", "item_g"]
+
+    def total(of: Column, name: str) -> Column:
+        return F.sum(F.col("terms") * of).alias(name)
+
+    only = (alone.join(pairs, "g").withColumn("p", share("n", "size", "kept")).groupBy(on).agg(total(_gap("p", "q0"), "only")))
+    other = (alone.withColumnsRenamed({"g": "item_g", "n": "m"}).join(pairs, "item_g")
+             .withColumn("q", share("m", "item_size", "kept")).groupBy(on).agg(total(_gap("p0", "q"), "other")))
+    met = (kept.select("of", F.explode("of").alias("x")).select("x.g", "x.n", F.explode("of").alias("y"))
+           .select("g", "n", F.col("y.g").alias("item_g"), F.col("y.n").alias("m")).where("g < item_g")
+           .groupBy("g", "item_g", "n", "m").agg(F.count(F.lit(1)).alias("terms")))
+    both = met.select("terms", F.explode(F.array(F.struct("g", "item_g", "n", "m"), F.struct(
+        F.col("item_g").alias("g"), F.col("g").alias("item_g"), F.col("m").alias("n"), F.col("n").alias("m")))).alias("x")).select("terms", "x.*")
+    both = (_with(both, pairs, on, pairs.count() <= 10 * Settings.broadcast_rows)
+            .withColumn("p", share("n", "size", "kept")).withColumn("q", share("m", "item_size", "kept")).groupBy(on)
+            .agg(total(_gap("p", "q"), "whole"), total(_gap("p", "q0"), "no_item"), total(_gap("p0", "q"), "no_source"),
+                 F.sum("terms").alias("shared")))
+    sums = pairs.join(only, on, "left").join(other, on, "left").join(both, on, "left").fillna(0)
+    wide = {c: F.col(c).cast("decimal(20,0)") for c in ("only", "other", "whole", "no_item", "no_source", "plain")}
+    neither = (F.col("kept") - F.col("own") - F.col("item_own") + F.col("shared")).cast("decimal(18,0)")
+    value = wide["only"] + wide["other"] + wide["whole"] - wide["no_item"] - wide["no_source"] + neither * wide["plain"]
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    return (pairs.select(*on).join(sums, on, "left").fillna(0, ["value"]).withColumn("rank", F.row_number().over(order))
-            .select("lang", "source", F.lit("pair").alias("part"), "item", "value", "rank"))
+    return (sums.select("lang", "source", F.lit("pair").alias("part"), F.col("item_source").alias("item"), value.cast("long").alias("value"))
+            .withColumn("rank", F.row_number().over(order)))
 
 
 SQL = f"""WITH d AS (
