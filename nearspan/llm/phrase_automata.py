@@ -21,6 +21,7 @@ Defined cases: null text is empty; null language is ``und``. Repeated rows count
 
 from __future__ import annotations
 
+import zlib
 from bisect import bisect_left
 from dataclasses import dataclass
 
@@ -295,7 +296,7 @@ def find_cuts(docs: DataFrame, s: Settings) -> dict[str, list[tuple[bytes, ...]]
             for lang, raw in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary())):
                 for piece, _ in chunks(raw.as_py().translate(TABLE), s.block_bytes):
                     tokens = piece.replace(STOP, b" . ").split()
-                    rng = np.random.default_rng(len(tokens))
+                    rng = np.random.default_rng(zlib.crc32(piece))
                     for i in np.flatnonzero(rng.random(len(tokens)) < rate).tolist():
                         run = tokens[i:i + width]
                         run = run[:run.index(STOP)] if STOP in run else run
