@@ -76,6 +76,8 @@ class VectorIndex:
             index = index.train(df)
         fresh = index._encoded(index._checked(df))
         rows = fresh if index.rows is None else index.rows.unionByName(fresh)
+        if index.graph is not None:  # new rows are linked into it
+            return replace(index, rows=rows, graph=graph.insert(index.graph, fresh, limits=index.limits))
         return index._with_rows(rows)
 
     def _checked(self, df: DataFrame) -> DataFrame:
@@ -105,7 +107,7 @@ class VectorIndex:
 
     def materialize(self) -> "VectorIndex":
         """Write the rows once (and build the graph of a graph kind), so that searches do not encode again."""
-        index = self._with_rows(cut_lineage(self._filled()))
+        index = replace(self, rows=cut_lineage(self._filled()))
         return replace(index, graph=index._graph()) if self.config.kind.endswith("HNSW") else index
 
     def _filled(self) -> DataFrame:
@@ -155,7 +157,7 @@ class VectorIndex:
                 return hashing.search(rows, queries, k, dims=c.dims, hash_bits=c.option("hash_bits"),
                                       nflip=c.option("hash_nflip"), tables=c.option("hash_tables"), **plain)
             case _:
-                return graph.search(self._graph(), queries, k, ef=ef or c.option("ef_search"))
+                return graph.search(self._graph(), queries, k, ef=ef or c.option("ef_search"), limits=self.limits)
 
     def range_search(self, queries: DataFrame, radius: float) -> DataFrame:
         """``(query_id, vec_id, distance)`` within the radius, over the stored (or decoded) vectors."""
@@ -268,7 +270,7 @@ class VectorIndex:
         if "PQ" in config.kind:
             wanted.append("product")
         models = {n: tables.load_model(spark, classes[n][0], f"{path}/model_{n}", **classes[n][1]) for n in wanted}
-        built = graph.load(spark, f"{path}/graph", config.work_metric) if config.kind.endswith("HNSW") else None
+        built = graph.load(spark, f"{path}/graph", config.work_metric, config.option("degree")) if config.kind.endswith("HNSW") else None
         return cls(config, tables.load_table(spark, path, dims=config.dims), models, built)
 
 

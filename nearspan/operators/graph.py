@@ -1,158 +1,337 @@
 """Graph search over float vectors or bit codes.
 
-The graph is a table: each distinct vector is a node with at most ``2 * degree`` neighbours (its closest
-nodes found through a partitioned self-join, and the closest of the nodes that name it). A search keeps a
-beam of ``ef`` nodes per query and moves it hop by hop; every hop is one join of the open nodes with the
-node table. Equal vectors share one node and come back as single rows at the end, so copies neither
-crowd the beam nor meet in one group.
+The graph is a table: each distinct vector is a node with at most ``2 * degree`` neighbours, chosen from its nearest
+nodes and those that name it so that they lie in different directions (``plans.walk.choose_edges``). Every node lies in
+the list of its nearest centre, and a search walks inside tasks: where the graph fits the broadcast limit over all of it,
+else list by list: queries go to the lists of their nearest centres, and what their beams touch beyond a list is
+followed in one second round. So a search has a fixed number of exchanges, however far its beams move. Lists are a
+layout; edges do not depend on them. New vectors are linked into a graph by :func:`insert`, which writes only the nodes it
+touches. Equal vectors share one node and come back as single rows at the end, so copies neither crowd the beam nor meet
+in one group.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from itertools import count
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nearspan.errors import ConfigError
 from nearspan.operators import ivf
 from nearspan.operators.exact import ranked
-from nearspan.plans.kernels import Scorer, matrix, packed
+from nearspan.plans.descent import neighbour_edges
+from nearspan.plans.kernels import matrix, packed
 from nearspan.plans.search import Limits, check_k, top_k
+from nearspan.plans.walk import Block, choose_edges, pair_keys
 from nearspan.session import attach, cut_bucketed, cut_lineage
 from nearspan.sources import tables
 
-BUILD_PROBES = 3
 BUILD_ROUNDS = 3
 ENTRY_LISTS = 4
+HOT_QUERIES = 50_000
+STEPS = "query_id long, vec_id long, distance double, list_id int"
 
 
 @dataclass(frozen=True)
 class Graph:
-    """``nodes(vec_id, <vector>, neighbours)``, ``entries(list_id, vec_id)``, ``copies(node_id, vec_id)``."""
+    """``nodes(vec_id, <vector>, list_id, neighbours, places)`` (places: the lists of the neighbours),
+    ``entries(list_id, vec_id)``, ``copies(node_id, vec_id)`` (None if all rows differ)."""
 
     nodes: DataFrame
     entries: DataFrame
-    copies: DataFrame
+    copies: DataFrame | None
     coarse: ivf.CoarseModel
+    degree: int
 
     @property
     def metric(self) -> str:
         return self.coarse.metric
 
+    @property
+    def width(self) -> int:
+        """Bytes of a stored vector."""
+        return self.coarse.centres.shape[1] * (1 if self.metric == "hamming" else 8)
+
 
-def build(base: DataFrame, *, dims: int, metric: str = "l2", degree: int = 16, pool: int = 200,
-          limits: Limits = Limits()) -> Graph:
-    """``pool`` is the wanted list size of the self-join, i.e. how many nodes each node is compared with
-    per probed list; the number of lists stays under the broadcast limit."""
+def build(base: DataFrame, *, dims: int, metric: str = "l2", degree: int = 16, pool: int = 200, spread: bool = True,
+          method: str | None = None, limits: Limits = Limits()) -> Graph:
+    """``pool`` is the wanted size of a list. ``method`` is how edges are found (``plans.descent``): ``exact`` or
+    ``descent``, by size if not given. Without ``spread`` a node keeps its nearest candidates."""
     if degree <= 0 or pool <= 0:
         raise ConfigError("degree and pool must be positive integers")
     column = "code" if metric == "hamming" else "embedding"
-    distinct = base.groupBy(column).agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("n"))
-    distinct = cut_lineage(distinct)
-    shared = distinct.where(F.col("n") > 1).select(F.col("vec_id").alias("node_id"), column)
-    copies = cut_lineage(base.join(shared, column).select("node_id", "vec_id"))
-    points = distinct.select("vec_id", column)
-
+    points, copies = _distinct(base, column)
     width = dims // 8 if metric == "hamming" else 8 * dims
     nlist = max(1, min(points.count() // pool, limits.broadcast_bytes // width))
     coarse = ivf.train(points, nlist, rounds=BUILD_ROUNDS, metric=metric)
-    assigned = cut_lineage(ivf.assign(points, coarse))
-    found = ivf.search(assigned, points.withColumnRenamed("vec_id", "query_id"), coarse, degree + 1,
-                       nprobe=BUILD_PROBES, limits=limits)
-    sign = -1.0 if metric == "ip" else 1.0
-    forward = cut_lineage(
-        found.where("query_id <> vec_id").select("query_id", "vec_id", (sign * F.col("distance")).alias("distance")))
-    backward = forward.select(F.col("vec_id").alias("query_id"), F.col("query_id").alias("vec_id"), "distance")
-    near = [top_k(edges, degree).select("query_id", "vec_id") for edges in (forward, backward)]
-    edges = (near[0].union(near[1]).groupBy(F.col("query_id").alias("vec_id"))
-             .agg(F.collect_set(F.col("vec_id")).alias("neighbours")))
-    nodes = points.join(edges, "vec_id", "left").withColumn(
-        "neighbours", F.coalesce("neighbours", F.array().cast("array<bigint>")))
-    return Graph(cut_bucketed(nodes, "vec_id"), _entries(assigned, coarse), copies, coarse)
+    assigned = cut_lineage(ivf.assign(points, coarse), "nodes")
+    edges = neighbour_edges(points, column, metric, 2 * degree, width, limits, method)
+    linked = _link(assigned, _both_ways(edges, 2 * degree), assigned, metric, 2 * degree, spread)
+    nodes = cut_bucketed(linked, "list_id")
+    return Graph(nodes, _entries(nodes, coarse), copies, coarse, degree)
+
+
+def _distinct(base: DataFrame, column: str) -> tuple[DataFrame, DataFrame | None]:
+    """Distinct vectors ``(vec_id, <vector>)`` under their smallest id, and the rows that share one."""
+    distinct = cut_lineage(base.groupBy(column).agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("n")), "distinct")
+    shared = distinct.where(F.col("n") > 1).select(F.col("vec_id").alias("node_id"), column)
+    copies = None if shared.isEmpty() else cut_lineage(base.join(shared, column).select("node_id", "vec_id"), "copies")
+    return distinct.select("vec_id", column), copies
+
+
+def _both_ways(edges: DataFrame, most: int) -> DataFrame:
+    """``(src, dst)`` of all edges, and of the nearest ``most`` turned ones of each node."""
+    ways = F.array(F.struct(F.col("src").alias("a"), F.col("dst").alias("b"), F.lit(0).alias("way")),
+                   F.struct(F.col("dst").alias("a"), F.col("src").alias("b"), F.lit(1).alias("way")))
+    both = edges.select("distance", F.explode(ways).alias("e")).select("distance", "e.*")
+    near = Window.partitionBy("a", "way").orderBy("distance", "b")
+    few = both.withColumn("place", F.row_number().over(near)).where(F.col("place") <= most)
+    return few.select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct()
+
+
+def _link(nodes: DataFrame, candidates: DataFrame, ends: DataFrame, metric: str, degree: int, spread: bool) -> DataFrame:
+    """``nodes`` with the neighbours chosen from ``candidates(src, dst)``; ``ends`` holds vector and list of every ``dst``."""
+    attach(nodes.sparkSession)
+    column = "code" if metric == "hamming" else "embedding"
+    far = ends.select(F.col("vec_id").alias("dst"), F.struct(F.col("vec_id").alias("id"), "list_id", F.col(column).alias("v")).alias("end"))
+    offered = (candidates.join(far, "dst").groupBy(F.col("src").alias("vec_id")).agg(F.collect_list("end").alias("ends")))
+    rows = nodes.select("vec_id", column, "list_id").join(offered, "vec_id", "left")
+    kind = dict(rows.dtypes)
+
+    def choose(batches):
+        for b in batches:
+            for low in range(0, b.num_rows, 256):
+                part = b.slice(low, 256)
+                yield _chosen(part, metric, degree, spread)
+
+    return rows.mapInArrow(choose, f"vec_id long, {column} {kind[column]}, list_id int, neighbours array<bigint>, places array<int>")
+
+
+def _chosen(part: pa.RecordBatch, metric: str, degree: int, spread: bool) -> pa.RecordBatch:
+    x = matrix(part.column(1))
+    lists = part.column(3)
+    size = np.array([len(s) if s.is_valid else 0 for s in lists], np.int64)
+    flat = lists.flatten()
+    m, n = max(int(size.max(initial=0)), 1), part.num_rows
+    real = np.arange(m)[None] < size[:, None]
+    ids, places = np.zeros((n, m), np.int64), np.zeros((n, m), np.int32)
+    ends = np.zeros((n, m, x.shape[1]), x.dtype)
+    if len(flat):
+        ids[real], places[real] = flat.field("id").to_numpy(), flat.field("list_id").to_numpy()
+        ends[real] = matrix(flat.field("v"))
+    if metric == "hamming":
+        x, ends = packed(x), packed(ends.reshape(n * m, -1)).reshape(n, m, -1)
+    kept = choose_edges(metric, x, ends, ids, real, degree, spread)
+    offsets = pa.array(np.r_[0, kept.sum(axis=1).cumsum()], pa.int32())
+    return pa.record_batch([part.column(0), part.column(1), part.column(2), pa.ListArray.from_arrays(offsets, pa.array(ids[kept])),
+                            pa.ListArray.from_arrays(offsets, pa.array(places[kept]))],
+                           [*part.schema.names[:3], "neighbours", "places"])
+
+
+def insert(graph: Graph, rows: DataFrame, *, ef: int = 100, spread: bool = True, limits: Limits = Limits()) -> Graph:
+    """The graph with new rows ``(vec_id, <vector>)``: a search finds the neighbours of each new node, edges go both ways, and
+    nodes with too many choose again. Only new and touched nodes are written; all other rows stay where they are."""
+    metric, column, most = graph.metric, graph.coarse.column, 2 * graph.degree
+    points, copies = _distinct(rows.select("vec_id", column), column)
+    known = cut_lineage(points.join(graph.nodes.select(F.col("vec_id").alias("node_id"), column), column).select("node_id", "vec_id"), "copies")
+    copies = _more_copies(graph.copies, copies, known)
+    fresh = cut_lineage(ivf.assign(points.join(known.select("vec_id"), "vec_id", "left_anti"), graph.coarse), "nodes")
+    if fresh.isEmpty():
+        return replace(graph, copies=copies)
+
+    asked = fresh.select(F.col("vec_id").alias("query_id"), column)
+    found = _beams(graph, asked, max(ef, most), most, limits).select(F.col("query_id").alias("src"), F.col("vec_id").alias("dst"))
+    among = _both_ways(neighbour_edges(fresh.select("vec_id", column), column, metric, most, graph.width, limits), most)
+    ends = graph.nodes.select("vec_id", column, "list_id").unionByName(fresh)
+    linked = cut_lineage(_link(fresh, found.union(among).distinct(), ends, metric, most, spread), "nodes")
+
+    back = linked.select(F.explode("neighbours").alias("src"), F.col("vec_id").alias("dst")).join(
+        fresh.select(F.col("vec_id").alias("src")), "src", "left_anti")
+    touched = graph.nodes.join(back.select(F.col("src").alias("vec_id")).distinct(), "vec_id", "left_semi")
+    offered = touched.select(F.col("vec_id").alias("src"), F.explode("neighbours").alias("dst")).union(back).distinct()
+    changed = cut_lineage(_link(touched, offered, ends, metric, most, spread).unionByName(linked), "nodes")
+    nodes = graph.nodes.join(changed.select("vec_id"), "vec_id", "left_anti").unionByName(changed)
+    lists = cut_lineage(changed.select("list_id").distinct(), "lists")
+    begun = _entries(nodes.join(lists, "list_id", "left_semi"), graph.coarse)
+    entries = cut_lineage(graph.entries.join(lists, "list_id", "left_anti").unionByName(begun), "entries")
+    return replace(graph, nodes=nodes, entries=entries, copies=copies)
+
+
+def _more_copies(old: DataFrame | None, new: DataFrame | None, known: DataFrame) -> DataFrame | None:
+    """Copies of a graph after new rows: ``new`` groups among them, ``known(node_id, vec_id)`` those that equal an old node. A
+    node is in its own group, as in a graph built at once."""
+    parts = [] if old is None else [old]
+    if new is not None:
+        moved = new.join(known.select(F.col("vec_id").alias("first"), F.col("node_id").alias("kept")), new.node_id == F.col("first"), "left")
+        parts.append(moved.select(F.coalesce("kept", "node_id").alias("node_id"), "vec_id"))
+    if not known.isEmpty():
+        parts += [known, known.select("node_id", F.col("node_id").alias("vec_id"))]
+    if not parts:
+        return None
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.union(part)
+    return cut_lineage(whole.distinct(), "copies")
 
 
 def save(graph: Graph, path: str, mode: str = "errorifexists") -> None:
     """Write the tables of a graph and its centres below one folder."""
-    for name in ("nodes", "entries", "copies"):
-        getattr(graph, name).write.mode(mode).parquet(f"{path}/{name}")
+    none = graph.nodes.sparkSession.createDataFrame([], "node_id long, vec_id long")
+    for name, table in (("nodes", graph.nodes), ("entries", graph.entries), ("copies", none if graph.copies is None else graph.copies)):
+        table.write.mode(mode).parquet(f"{path}/{name}")
     tables.save_model(graph.nodes.sparkSession, graph.coarse, f"{path}/coarse", mode)
 
 
-def load(spark: SparkSession, path: str, metric: str) -> Graph:
-    """The graph as it was saved; its nodes are stored in buckets again, so that hops shuffle only their frontier."""
+def load(spark: SparkSession, path: str, metric: str, degree: int) -> Graph:
+    """The graph as it was saved; its nodes are stored in buckets of their lists again."""
     read = {name: spark.read.parquet(f"{path}/{name}") for name in ("nodes", "entries", "copies")}
     coarse = tables.load_model(spark, ivf.CoarseModel, f"{path}/coarse", metric=metric)
-    return Graph(cut_bucketed(read["nodes"], "vec_id"), read["entries"], read["copies"], coarse)
+    copies = None if read["copies"].isEmpty() else read["copies"]
+    return Graph(cut_bucketed(read["nodes"], "list_id"), read["entries"], copies, coarse, degree)
 
 
-def _entries(assigned: DataFrame, coarse: ivf.CoarseModel) -> DataFrame:
-    """The node closest to each centre."""
-    table = coarse.table(assigned.sparkSession)
-    score = pair_key(coarse.metric)
-    scored = assigned.join(F.broadcast(table), "list_id").select(
-        "list_id", "vec_id", score(F.col(coarse.column), F.col("centroid")).alias("distance"))
-    return cut_lineage(
-        scored.groupBy("list_id").agg(F.min_by("vec_id", F.struct("distance", "vec_id")).alias("vec_id")))
+def _entries(nodes: DataFrame, coarse: ivf.CoarseModel) -> DataFrame:
+    """``(list_id, vec_id)``: where walks begin in a list. The node nearest to the centre, then, as long as some node cannot be
+    reached from those inside the list, the nearest of these; so a walk can come to every node of a list."""
+    attach(nodes.sparkSession)
+    held = nodes.sparkSession.sparkContext.broadcast(coarse)
 
+    def begin(key, table):
+        m, place = held.value, key[0].as_py()
+        block = _block(m.metric, table, m.column, place)
+        centre = m.centres[place:place + 1]
+        centre = packed(np.ascontiguousarray(centre)) if m.metric == "hamming" else centre
+        near = pair_keys(m.metric, block.data, np.repeat(centre, len(block.ids), axis=0))
+        reached, chosen = np.zeros(len(block.ids), bool), []
+        for node in np.lexsort((block.ids, near)).tolist():
+            if reached[node]:
+                continue
+            chosen.append(int(block.ids[node]))
+            front = np.array([node])
+            while len(front):
+                reached[front] = True
+                ends = block.inner[front]
+                front = np.unique(ends[ends >= 0])
+                front = front[~reached[front]]
+        return pa.table({"list_id": pa.array([place] * len(chosen), pa.int32()), "vec_id": pa.array(chosen, pa.int64())})
 
-def pair_key(metric: str):
-    """Arrow function of two vector columns: the key of each row's pair."""
-    scorer = Scorer(metric)
+    return cut_lineage(nodes.groupBy("list_id").applyInArrow(begin, "list_id int, vec_id long"), "entries")
 
-    @F.arrow_udf("double")
-    def key(a: pa.Array, b: pa.Array) -> pa.Array:
-        x, y = matrix(a), matrix(b)
-        if metric == "hamming":
-            return pa.array(np.bitwise_count(packed(x) ^ packed(y)).sum(axis=1).astype(np.float64))
-        i = np.arange(len(x))
-        return pa.array(scorer.rescore(x, y, i, i, None))
 
-    return key
+def search(graph: Graph, queries: DataFrame, k: int, *, ef: int = 50, limits: Limits = Limits()) -> DataFrame:
+    """Top-k per query by beam walks of width ``max(ef, k)``."""
+    check_k(k)
+    hits = _beams(graph, queries, max(ef, k), k, limits)
+    if graph.copies is not None:
+        hits = _with_copies(graph, hits, k)
+    out = ranked(hits, graph.metric)
+    return out.withColumn("distance", F.col("distance").cast("int")) if graph.metric == "hamming" else out
 
 
-def search(graph: Graph, queries: DataFrame, k: int, *, ef: int = 50) -> DataFrame:
-    """Top-k per query by beam search of width ``max(ef, k)``; stops when no beam opens a new node."""
-    check_k(k)
+def _beams(graph: Graph, queries: DataFrame, ef: int, k: int, limits: Limits) -> DataFrame:
+    """``(query_id, rank, vec_id, distance)``: the k best nodes of every beam."""
     attach(queries.sparkSession)
-    ef = max(ef, k)
-    column, score = graph.coarse.column, pair_key(graph.metric)
-    asked = queries.select("query_id", F.col(column).alias("query_vector"))
-
-    starts = ivf.probe(queries, graph.coarse, ENTRY_LISTS).join(graph.entries, "list_id")
-    fresh, beam = starts.select("query_id", "vec_id").distinct(), None
-    for hop in count():  # a beam only gets better, so this ends
-        scored = (fresh.join(graph.nodes, "vec_id").join(asked, "query_id")
-                  .select("query_id", "vec_id", score(F.col(column), F.col("query_vector")).alias("distance"),
-                          "neighbours", F.lit(hop).alias("hop")))
-        pool = scored if beam is None else beam.unionByName(scored)
-        beam = cut_lineage(top_k(pool, ef).drop("rank"), "beam")
-        if beam.where(F.col("hop") == hop).isEmpty():
-            break
-        fresh = _unopened(beam, hop)
-    return _with_copies(graph, top_k(beam, k).select("query_id", "vec_id", "distance"), k)
-
-
-def _unopened(beam: DataFrame, hop: int) -> DataFrame:
-    """Neighbours of the nodes that entered the beam in this hop and are not in it themselves.
-
-    A node that was scored and left behind earlier may come up again; it cannot re-enter, since a beam
-    only gets better, so only the beam has to be remembered (ef rows per query).
-    """
-    new = F.when(F.col("hop") == hop, F.col("neighbours"))
-    return (beam.groupBy("query_id")
-            .agg(F.collect_list("vec_id").alias("have"), F.flatten(F.collect_list(new)).alias("next"))
-            .select("query_id", F.explode(F.array_except("next", "have")).alias("vec_id")))
+    asked = queries.select(F.col("query_id").cast("bigint").alias("query_id"), F.col(graph.coarse.column).alias("v"))
+    size = graph.nodes.count() * (graph.width + 24 * graph.degree)
+    if limits.path == "base" or (limits.path is None and size <= limits.broadcast_bytes):
+        return _walk_whole(graph, asked, ef, k)
+    return top_k(_walk_lists(graph, asked, ef), k)
+
+
+def _block(metric: str, table: pa.Table, column: str, here: int | None) -> Block:
+    neighbours, places = table.column("neighbours").combine_chunks(), table.column("places").combine_chunks()
+    counts = np.diff(neighbours.offsets.to_numpy())
+    return Block.of(metric, table.column("vec_id").to_numpy(), matrix(table.column(column)), counts,
+                    neighbours.flatten().to_numpy(), places.flatten().to_numpy(), here)
+
+
+def _walk_whole(graph: Graph, asked: DataFrame, ef: int, k: int) -> DataFrame:
+    """The graph, whose size was checked, in every task; queries stay where they are and are ranked there."""
+    table = graph.nodes.select("vec_id", graph.coarse.column, "neighbours", "places").toArrow()
+    starts = np.sort(graph.entries.select("vec_id").toArrow().column(0).to_numpy())
+    held = asked.sparkSession.sparkContext.broadcast(
+        (_block(graph.metric, table, graph.coarse.column, None), starts) if table.num_rows else None)
+
+    def scan(batches):
+        if held.value is None:
+            return
+        block, begin = held.value
+        at = np.searchsorted(block.ids, begin)
+        for b in batches:
+            for low in range(0, b.num_rows, 512):
+                part = b.slice(low, 512)
+                ids = part.column(0).to_numpy()
+                x = matrix(part.column(1))
+                for slot, node, key in block.walk(x, np.repeat(np.arange(len(ids)), len(at)), np.tile(at, len(ids)), ef):
+                    first = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]][:len(slot)])
+                    rank = np.arange(len(slot)) - np.repeat(first, np.diff(np.r_[first, len(slot)])) + 1
+                    few = rank <= k
+                    found = _beam(ids[slot[few]], block.ids[node[few]], key[few], None).drop_columns("list_id")
+                    yield found.append_column("rank", pa.array(rank[few], pa.int32()))
+
+    return asked.mapInArrow(scan, "query_id long, vec_id long, distance double, rank int")
+
+
+def _beam(query, node, key, place) -> pa.RecordBatch:
+    n = len(query)
+    return pa.record_batch([pa.array(query, pa.int64()), pa.array(node, pa.int64()),
+                            pa.nulls(n, pa.float64()) if key is None else pa.array(key, pa.float64()),
+                            pa.nulls(n, pa.int32()) if place is None else pa.array(place, pa.int32())],
+                           ["query_id", "vec_id", "distance", "list_id"])
+
+
+def _walk_lists(graph: Graph, asked: DataFrame, ef: int) -> DataFrame:
+    """Two rounds: the lists of the nearest centres, then the lists that beams touched beyond them."""
+    probes = ivf.probe(asked.withColumnRenamed("v", graph.coarse.column), graph.coarse, ENTRY_LISTS).withColumnRenamed(graph.coarse.column, "v")
+    entries = graph.entries.groupBy("list_id").agg(F.collect_list("vec_id").alias("starts"))
+    first = cut_lineage(_round(graph, probes.join(entries, "list_id"), ef), "beams")
+    went = cut_lineage(probes.select("query_id", "list_id"), "probes")
+    exits = first.where("distance IS NULL").select("query_id", "list_id", "vec_id").join(went, ["query_id", "list_id"], "left_anti")
+    exits = exits.groupBy("query_id", "list_id").agg(F.collect_set("vec_id").alias("starts"))
+    second = _round(graph, exits.join(asked, "query_id"), ef)
+    return first.unionByName(second).where("distance IS NOT NULL").select("query_id", "vec_id", "distance")
+
+
+def _round(graph: Graph, asked: DataFrame, ef: int) -> DataFrame:
+    """Rows of STEPS: the beams of ``asked(query_id, v, list_id, starts)`` inside their lists, and the edges that leave them
+    (without a distance). A list that very many queries ask for is copied, so that they are dealt over several tasks."""
+    metric, column = graph.metric, graph.coarse.column
+    asked = cut_lineage(asked.select("query_id", "v", "list_id", "starts"), "asked")
+    hot = (asked.groupBy("list_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_QUERIES)
+           .select("list_id", F.ceil(F.col("n") / HOT_QUERIES).cast("int").alias("cuts")))
+    hot = cut_lineage(hot, "hot-lists")
+    nodes, keys = graph.nodes, ["list_id"]
+    if not hot.isEmpty():
+        keys = ["list_id", "cut"]
+        nodes = nodes.join(hot, "list_id", "left").withColumn("cut", F.explode(F.sequence(F.lit(0), F.coalesce("cuts", F.lit(1)) - 1))).drop("cuts")
+        cut = F.pmod(F.xxhash64("query_id"), F.coalesce("cuts", F.lit(1))).cast("int")
+        asked = asked.join(hot, "list_id", "left").withColumn("cut", cut).drop("cuts")
+
+    def walk(key, held, wanted):
+        out = [_beam([], [], None, None)]
+        if held.num_rows and wanted.num_rows:
+            block = _block(metric, held, column, key[0].as_py())
+            ids, x = wanted.column("query_id").to_numpy(), matrix(wanted.column("v"))
+            starts = wanted.column("starts").combine_chunks()
+            slots = np.repeat(np.arange(len(ids)), np.diff(starts.offsets.to_numpy()))
+            for slot, node, near in block.walk(x, slots, np.searchsorted(block.ids, starts.flatten().to_numpy()), ef):
+                out.append(_beam(ids[slot], block.ids[node], near, None))
+                who, end, place = block.exits(slot, node)
+                if len(who):
+                    pairs = np.unique(np.stack([who, end, place], axis=1), axis=0)
+                    out.append(_beam(ids[pairs[:, 0]], pairs[:, 1], None, pairs[:, 2]))
+        return pa.Table.from_batches(out)
+
+    return nodes.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(walk, STEPS)
 
 
 def _with_copies(graph: Graph, hits: DataFrame, k: int) -> DataFrame:
     """Replace each node by the rows that share its vector; at most the k smallest ids can count."""
     few = top_k(graph.copies.select(F.col("node_id").alias("query_id"), "vec_id", F.lit(0.0).alias("distance")), k)
     few = few.select(F.col("query_id").alias("node_id"), F.col("vec_id").alias("copy_id"))
-    rows = hits.join(few, hits.vec_id == few.node_id, "left").select(
+    rows = hits.drop("rank").join(few, hits.vec_id == few.node_id, "left").select(
         "query_id", F.coalesce("copy_id", "vec_id").alias("vec_id"), "distance")
-    out = ranked(top_k(rows, k), graph.metric)
-    return out.withColumn("distance", F.col("distance").cast("int")) if graph.metric == "hamming" else out
+    return top_k(rows, k)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from nearspan.errors import ConfigError
 from nearspan.operators import evaluate, exact, graph, hashing, ivf, prep, quantize, reduce
+from nearspan.plans import descent, walk
 from nearspan.plans.search import Limits
 
 PATHS = [Limits(path="base"), Limits(path="query"), Limits(path="cells", cell_bytes=8_000, sample_from_bytes=0, sample_share=0.3)]
@@ -227,15 +228,86 @@ def test_graph_recall_and_copies(cloud):
     assert ids_of(hits)[3] == brute(v, v, 5)[3]  # a copy finds the smallest ids of its group
 
 
-def test_graph_nodes_are_not_shuffled_by_hops(cloud, spark):
-    g = graph.build(cloud[1], dims=16, degree=4, pool=100)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = cloud[2].select(F.col("query_id").alias("vec_id")).join(g.nodes, "vec_id")
-        text = plan._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert text.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in text
+def clustered(n, dims, seed):
+    """Vectors in tight clusters of unequal size."""
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((12, dims)) * 4
+    return centres[np.minimum(rng.geometric(0.25, n) - 1, 11)] + 0.4 * rng.standard_normal((n, dims))
+
+
+@pytest.mark.parametrize("metric", ["l2", "ip", "hamming"])
+def test_descent_finds_the_nearest(make, make_codes, randoms, metric):
+    v = randoms(400, 16, seed=21)
+    if metric == "ip":
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+    points = make(v) if metric != "hamming" else make_codes([np.packbits(x > 0).tobytes().hex() + f"{i:04x}" for i, x in enumerate(v)])
+    column = "code" if metric == "hamming" else "embedding"
+    got = descent.neighbour_edges(points, column, metric, 16, 128, method="descent")
+    want = descent.neighbour_edges(points, column, metric, 16, 128, method="exact")
+    assert got.groupBy("src").count().agg({"count": "max"}).first()[0] <= 16
+    both = got.join(want, ["src", "dst"], "left_semi") if metric != "hamming" else got.join(
+        want.groupBy("src").agg(F.max("distance").alias("worst")), "src").where("distance <= worst")
+    assert both.count() / want.count() > 0.95
+
+
+def test_edges_are_chosen_by_direction():
+    node, ends = np.zeros((1, 2)), np.array([[[1.0, 0], [1.2, 0.1], [0, 3.0], [9, 9]]])
+    ids, real = np.arange(4)[None], np.array([[True, True, True, False]])
+    chosen = lambda degree, spread: np.flatnonzero(walk.choose_edges("l2", node, ends, ids, real, degree, spread)[0]).tolist()
+    assert chosen(2, True) == [0, 2] and chosen(2, False) == [0, 1]
+    assert chosen(3, True) == [0, 1, 2]  # what is hidden fills the room that is left
+
+
+def test_spread_edges_find_more(make):
+    """Clustered rows and narrow beams: with spread edges more is found, from fewer places to begin."""
+    v = clustered(600, 8, 31)
+    base, queries = make(v), make(v, "query_id")
+    truth = exact.knn(base, queries, 5, dims=8)
+    spread, plain = (graph.build(base, dims=8, degree=3, pool=600, spread=s) for s in (True, False))
+    found = [evaluate.mean_recall(graph.search(g, queries, 5, ef=10), truth).first().recall for g in (spread, plain)]
+    assert found[0] > found[1] and found[0] > 0.99
+    assert 2 * spread.entries.count() < plain.entries.count()
+
+
+def test_walks_by_list_and_over_the_whole_agree(cloud):
+    g = graph.build(cloud[1], dims=16, degree=8, pool=40)
+    truth = exact.knn(cloud[1], cloud[2], 5, dims=16)
+    whole = graph.search(g, cloud[2], 5, ef=60, limits=Limits(path="base"))
+    lists = graph.search(g, cloud[2], 5, ef=60, limits=Limits(path="cells"))
+    assert evaluate.mean_recall(whole, truth).first().recall > 0.97
+    assert evaluate.mean_recall(lists, truth).first().recall > 0.95
+    assert lists.groupBy("query_id").count().where("count <> 5").isEmpty()
+
+
+def test_hot_lists_are_dealt_over_tasks(cloud, monkeypatch):
+    g = graph.build(cloud[1], dims=16, degree=8, pool=40)
+    want = graph.search(g, cloud[2], 5, ef=60, limits=Limits(path="cells")).collect()
+    monkeypatch.setattr(graph, "HOT_QUERIES", 20)
+    assert sorted(graph.search(g, cloud[2], 5, ef=60, limits=Limits(path="cells")).collect()) == sorted(want)
+
+
+def test_full_beams_are_exact(cloud):
+    g = graph.build(cloud[1], dims=16, degree=8, pool=40)
+    truth = exact.knn(cloud[1], cloud[2], 7, dims=16)
+    assert ids_of(graph.search(g, cloud[2], 7, ef=500)) == ids_of(truth)
+
+
+@pytest.mark.parametrize("path", ["base", "cells"])
+def test_insert_equals_a_fresh_build(make, path):
+    v = clustered(500, 8, 41)
+    v[450:460] = v[:10]  # equal to old rows
+    v[470:480] = v[460:470]  # equal among the new
+    base, queries, limits = make(v), make(v, "query_id"), Limits(path=path)
+    old, new = base.where("vec_id < 400"), base.where("vec_id >= 400")
+    truth = exact.knn(base, queries, 5, dims=8)
+    grown = graph.insert(graph.build(old, dims=8, degree=6, pool=60), new, limits=limits)
+    fresh = graph.build(base, dims=8, degree=6, pool=60)
+    recalls = [evaluate.mean_recall(graph.search(g, queries, 5, ef=40, limits=Limits(path="base")), truth).first().recall for g in (grown, fresh)]
+    assert recalls[0] >= recalls[1] - 0.01 and recalls[0] > 0.95
+    assert grown.nodes.count() == fresh.nodes.count() == len(np.unique(v, axis=0))
+    assert grown.nodes.selectExpr("max(size(neighbours))").first()[0] <= 12
+    assert ids_of(graph.search(grown, queries, 2, ef=40))[455] == [5, 455]
+    assert graph.insert(grown, new.limit(0)).nodes.count() == grown.nodes.count()
 
 
 def test_graph_by_inner_product(make, randoms):
