@@ -23,8 +23,9 @@ from nearspan.operators import (  # noqa: E402
     evaluate, exact, graph, hashing, ivf, maintain, pairwise, prep, quantize, reduce, retrieve,
 )
 from nearspan.session import scratch_path, spread  # noqa: E402
-from nearspan.sources import raw, tables  # noqa: E402
+from nearspan.sources import raw, store, tables  # noqa: E402
 from nearspan.sources import vectors as sources  # noqa: E402
+from nearspan.stored import StoredIndex  # noqa: E402
 from nearspan.streaming import ingest, match  # noqa: E402
 
 try:  # the text operators are a subpackage of their own, which may be absent
@@ -590,6 +591,41 @@ def check(spark, sf):
     return VectorIndex(IndexConfig(DIMS)).add(embeddings(spark, sf)).check()
 
 
+def _stored(spark, sf) -> StoredIndex:
+    """Even ids, then odd ids, then without the poor ones: three commits."""
+    e = embeddings(spark, sf)
+    config = IndexConfig(DIMS, "IVF_FLAT", nlist=LISTS, nprobe=LISTS, train_rounds=COARSE_ROUNDS)
+    first = VectorIndex(config).train(e).add(e.where("vec_id % 2 = 0"))
+    stored = StoredIndex.create(first, scratch_path(spark, "stored")).add(e.where("vec_id % 2 = 1"), token="odd")
+    return stored.remove(_poor(spark, sf), token="poor")
+
+
+def stored_changes(spark, sf):
+    """Rows of every version, and of the last one after a change was sent twice."""
+    last = _stored(spark, sf)
+    again = StoredIndex.open(spark, last.at.path).add(embeddings(spark, sf).where("vec_id % 2 = 1"), token="odd")
+    rows = store.rows(spark, again.at).select(F.lit(0).cast("long").alias("version"), "vec_id", total())
+    for v in (1, 2, 3):
+        rows = rows.union(store.rows(spark, store.open_version(spark, last.at.path, v)).select(F.lit(v).cast("long"), "vec_id", total()))
+    return rows
+
+
+def stored_history(spark, sf):
+    return store.history(spark, _stored(spark, sf).at.path)
+
+
+def stored_search(spark, sf):
+    return rounded(_stored(spark, sf).search(as_queries(embeddings(spark, sf)), K))
+
+
+def stored_merge(spark, sf):
+    """A stored table and another one behind it."""
+    e, path = embeddings(spark, sf), scratch_path(spark, "stored")
+    a = store.create(e, f"{path}/a")
+    b = store.remove(_poor(spark, sf), store.create(scaled(spark, sf).withColumn("embedding", F.col("embedding").cast(e.schema["embedding"].dataType)), f"{path}/b"))
+    return store.rows(spark, store.compact(spark, store.merge(spark, a, b))).select("vec_id", F.size("embedding").alias("dims"))
+
+
 # ---- retrieval
 
 def retrieve_documents(spark, sf):
@@ -666,6 +702,7 @@ def vector_queries() -> dict[str, Query]:
         "lookup": lookup, "remove": remove,
         "removed_count": lambda spark, sf: maintain.removed_count(embeddings(spark, sf), _poor(spark, sf)),
         "merge": merge, "reset": reset, "stats": stats, "inspect": inspect, "check": check,
+        "stored_changes": stored_changes, "stored_history": stored_history, "stored_search": stored_search, "stored_merge": stored_merge,
         "stats_codes": stats_codes, "check_codes": check_codes, "merge_codes": merge_codes,
         "retrieve_documents": retrieve_documents, "recommend": recommend, "media_similarity": media_similarity,
         "match_stream": match_stream,

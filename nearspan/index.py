@@ -253,6 +253,14 @@ class VectorIndex:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "VectorIndex":
+        index = cls.load_models(spark, path)
+        c = index.config
+        built = graph.load(spark, f"{path}/graph", c.work_metric, c.option("degree")) if c.kind.endswith("HNSW") else None
+        return replace(index, rows=tables.load_table(spark, path, dims=c.dims), graph=built)
+
+    @classmethod
+    def load_models(cls, spark: SparkSession, path: str) -> "VectorIndex":
+        """Settings and models of a saved index, without its rows."""
         meta = tables.load_metadata(spark, path)
         if meta is None:
             raise ConfigError(f"{path} has no description")
@@ -270,8 +278,7 @@ class VectorIndex:
         if "PQ" in config.kind:
             wanted.append("product")
         models = {n: tables.load_model(spark, classes[n][0], f"{path}/model_{n}", **classes[n][1]) for n in wanted}
-        built = graph.load(spark, f"{path}/graph", config.work_metric, config.option("degree")) if config.kind.endswith("HNSW") else None
-        return cls(config, tables.load_table(spark, path, dims=config.dims), models, built)
+        return cls(config, None, models)
 
 
 def same_models(a: dict, b: dict) -> bool:

@@ -26,8 +26,14 @@ def save_table(df: DataFrame, path: str, *, dims: int, kind: str, metric: str, e
     writer = df.write.mode(mode)
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{path}/data")
     n = df.sparkSession.read.parquet(f"{path}/data").count()
+    save_description(df.sparkSession, path, dims=dims, kind=kind, metric=metric, n=n, extra=extra, mode=mode)
+
+
+def save_description(spark: SparkSession, path: str, *, dims: int, kind: str, metric: str, n: int, extra: dict | None = None,
+                     mode: str = "errorifexists") -> None:
+    """The one-row description in ``path/meta``."""
     row = (FORMAT_VERSION, kind, metric, dims, n, json.dumps(extra or {}, sort_keys=True))
-    meta = df.sparkSession.createDataFrame(
+    meta = spark.createDataFrame(
         [row], "version int, kind string, metric string, dims int, ntotal long, extra string")
     meta.withColumn("saved_at", F.current_timestamp()).coalesce(1).write.mode(mode).json(f"{path}/meta")
 

@@ -328,6 +328,16 @@ def build() -> dict[str, str]:
     sql["removed_count"] = "SELECT count(*) AS removed FROM embeddings WHERE vec_id IN (SELECT doc_id FROM labels WHERE quality = 0)"
     sql["merge"] = b + """SELECT vec_id, round(list_sum(v), 6) AS total FROM (
         SELECT vec_id, v FROM e UNION ALL SELECT vec_id + (SELECT max(vec_id) + 1 FROM e), v FROM s)"""
+    good = "vec_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)"
+    sql["stored_changes"] = b + f"""SELECT CAST(version AS BIGINT) AS version, vec_id, round(list_sum(v), 6) AS total
+        FROM e, (VALUES (0), (1), (2), (3)) AS t(version)
+        WHERE (version = 1 AND vec_id % 2 = 0) OR version = 2 OR (version IN (0, 3) AND {good})"""
+    sql["stored_history"] = f"""SELECT CAST(version AS BIGINT) AS version, token, CAST(parts AS INTEGER) AS parts, CAST(deletes AS INTEGER) AS deletes,
+        count(*) FILTER (version > 1 OR vec_id % 2 = 0) - count(*) FILTER (version = 3 AND NOT {good}) AS ntotal
+        FROM embeddings, (VALUES (1, NULL, 1, 0), (2, 'odd', 2, 0), (3, 'poor', 2, 1)) AS t(version, token, parts, deletes) GROUP BY ALL"""
+    sql["stored_search"] = b + out(top(pairs(l2("q.v", "b.v"), "e", "e", f"WHERE b.{good}")))
+    sql["stored_merge"] = f"""SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dims FROM embeddings
+        UNION ALL SELECT vec_id + (SELECT max(vec_id) + 1 FROM embeddings), CAST(len(embedding) AS INTEGER) FROM embeddings WHERE {good}"""
     sql["reset"] = "SELECT 0::BIGINT AS ntotal, true AS is_trained, count(*) > 0 AS had_rows FROM embeddings"
     sql["stats"] = """SELECT count(*) AS ntotal, max(len(embedding))::INTEGER AS dims, true AS is_trained,
         'FLAT_L2' AS kind, 'l2' AS metric FROM embeddings"""
