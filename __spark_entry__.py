@@ -270,6 +270,12 @@ def ivf_recall(spark, sf):
     return evaluate.mean_recall(_ivf_hits(spark, sf, 3), truth).withColumn("recall", F.round("recall", 6))
 
 
+def recall_by_nprobe(spark, sf):
+    e = embeddings(spark, sf)
+    model, truth = _coarse(e), exact.knn(e, as_queries(e), K, dims=DIMS)
+    return evaluate.recall_by_nprobe(truth, ivf.assign(e, model), as_queries(e), model).withColumn("recall", F.round("recall", 6))
+
+
 # ---- scalar codes
 
 def _scalar_codes(sq_type: str) -> Query:
@@ -685,6 +691,7 @@ def vector_queries() -> dict[str, Query]:
         "ivf_train": ivf_train, "ivf_assign": ivf_assign, "auto_train": auto_train,
         "ivf_search": lambda spark, sf: rounded(_ivf_hits(spark, sf, 3)),
         "ivf_all_lists": lambda spark, sf: rounded(_ivf_hits(spark, sf, LISTS)), "ivf_recall": ivf_recall,
+        "recall_by_nprobe": recall_by_nprobe,
         "sq8_codes": _scalar_codes("SQ8"), "sq4_codes": _scalar_codes("SQ4"), "sq8_decode": sq8_decode,
         "fp16_codes": fp16_codes, "sq8_search": sq8_search, "ivf_sq_search": ivf_sq_search,
         "pq_train": pq_train, "pq_codes": pq_codes, "pq_decode": pq_decode, "pq_search": pq_search,

@@ -80,8 +80,8 @@ def assign(df: DataFrame, model: CoarseModel) -> DataFrame:
     return df.withColumn("list_id", list_of(F.col(model.column)))
 
 
-def probe(queries: DataFrame, model: CoarseModel, nprobe: int) -> DataFrame:
-    """One row per query and probed list."""
+def probe(queries: DataFrame, model: CoarseModel, nprobe: int, *, rank: str | None = None) -> DataFrame:
+    """One row per query and probed list; ``rank`` names a column for the list's place (0 is the nearest)."""
     attach(queries.sparkSession)
     count = min(nprobe, model.nlist)
     held = queries.sparkSession.sparkContext.broadcast(model)
@@ -92,7 +92,10 @@ def probe(queries: DataFrame, model: CoarseModel, nprobe: int) -> DataFrame:
         return list_column(nearest_lists(_loaded(m, matrix(v)), _loaded(m, m.centres), count, m.metric),
                            pa.int32())
 
-    return queries.withColumn("list_id", F.explode(lists_of(F.col(model.column))))
+    lists = lists_of(F.col(model.column))
+    if rank:
+        return queries.select("*", F.posexplode(lists).alias(rank, "list_id"))
+    return queries.withColumn("list_id", F.explode(lists))
 
 
 def search(assigned: DataFrame, queries: DataFrame, model: CoarseModel, k: int, *, nprobe: int = 10,

@@ -232,6 +232,14 @@ def build() -> dict[str, str]:
     sql["ivf_recall"] = cp + f""", ex AS ({top(pairs(l2('q.v', 'b.v'), 'e', 'e'))}), ap AS ({top(found)})
       SELECT count(DISTINCT query_id) AS queries, round(avg(CASE WHEN ap.d IS NULL THEN 0.0 ELSE 1.0 END), 6) AS recall
       FROM ex LEFT JOIN ap USING (query_id, vec_id)"""
+    every = "probes AS MATERIALIZED (SELECT q.vec_id, q.v, l.cid, row_number() OVER (PARTITION BY q.vec_id ORDER BY " + l2("q.v", "l.c") + """,
+        l.cid) AS r FROM e q, lists l)"""
+    sql["recall_by_nprobe"] = with_(BASE, *coarse(), every) + f""", ex AS ({top(pairs(l2('q.v', 'b.v'), 'e', 'e'))}),
+      cand AS (SELECT p.nprobe, q.vec_id AS query_id, b.vec_id, {l2('q.v', 'b.v')} AS d
+        FROM (SELECT unnest(range(1, {LISTS} + 1)) AS nprobe) p JOIN probes q ON q.r <= p.nprobe JOIN assigned b ON b.cid = q.cid),
+      ap AS (SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY nprobe, query_id ORDER BY d, vec_id) <= {K})
+      SELECT CAST(nprobe AS INTEGER) AS nprobe, round(count(*) / (SELECT count(*) FROM ex), 6) AS recall
+      FROM ap JOIN ex USING (query_id, vec_id) GROUP BY nprobe"""
     sql["ivf_all_lists"] = b + out(top(pairs(l2("q.v", "b.v"), "e", "e")))
 
     # scalar codes

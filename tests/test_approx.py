@@ -228,6 +228,15 @@ def test_graph_recall_and_copies(cloud):
     assert ids_of(hits)[3] == brute(v, v, 5)[3]  # a copy finds the smallest ids of its group
 
 
+def test_recall_by_nprobe_equals_single_runs(cloud, coarse):
+    truth, assigned = exact.knn(cloud[1], cloud[2], 5, dims=16), ivf.assign(cloud[1], coarse)
+    got = {r.nprobe: r.recall for r in evaluate.recall_by_nprobe(truth, assigned, cloud[2], coarse).collect()}
+    for p in (1, 3, coarse.nlist):
+        single = evaluate.mean_recall(ivf.search(assigned, cloud[2], coarse, 5, nprobe=p), truth).first().recall
+        assert got[p] == pytest.approx(single)
+    assert sorted(got) == list(range(1, coarse.nlist + 1)) and got[coarse.nlist] == 1
+
+
 def clustered(n, dims, seed):
     """Vectors in tight clusters of unequal size."""
     rng = np.random.default_rng(seed)
