@@ -148,7 +148,8 @@ def train(docs: DataFrame, s: Settings = Settings()) -> Model:
     attach(docs.sparkSession)
     known = docs.filter(~held_out(F.col("doc_id"))).filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
     weights = _weights(known, s)
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = cut_lineage(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-sizes")
+    sizes = F.broadcast(sizes) if sizes.count() <= s.sample else sizes
     wanted = F.least(F.lit(1.0), 4.0 * s.per_language / F.col("n"))  # so few rows of a language that one task ranks them
     pick = Window.partitionBy("lang").orderBy("h", "id")
     turn = (known.select("lang", F.xxhash64("doc_id").alias("h"), F.col("doc_id").cast("string").alias("id"))
