@@ -11,15 +11,21 @@ Candidates are verified: labels common to both are aligned in order inside a ban
 that would pass is cut. A class is a connected component of the links.
 
 Copies count once: everything runs on distinct texts. Texts that share a sketch are not compared all with all.
-First every text meets two hubs at each of its sketches: the text that most texts share sketches with (the middle of
-a group of near copies), and the smallest. Then, turn by turn, texts at one sketch that are still in different
-components meet: at a sketch of up to ``few`` texts all of them, at a crowded one those outside its main component
-meet a few drawn texts per turn, until a turn brings no new link. So the work of a turn is linear in the sketches.
-What is in different components at a crowded sketch after that is decided exactly: two texts of similarity
-``threshold`` have a label in common among the first of either, whatever the one order of all labels is. Labels are
-ordered by their count in the texts in question, rare ones first, so texts that share only a template do not meet.
-Every pair of different components that does is verified. No pair that passes is left then, except those without a
-common sketch.
+First every text meets the hub of each of its sketches: the text that most texts share sketches with (the middle of a
+group of near copies). Only sketches that hold two components after that are looked at again. At one of up to ``few``
+texts all of them meet. At a crowded one texts are compared by their differences to the hub H: D(A) holds the labels of
+either A or H, but not of both. |A| labels and |B| labels pass only if the texts differ in at most c (|A| + |B|) labels,
+c = (1 - threshold) / (1 + threshold), and they differ in |D(A)| + |D(B)| - 2 |D(A) & D(B)|. With w(A) = |D(A)| - c |A|
+a pair that passes has (w(A) + w(B)) / 2 labels or more in D(A) & D(B). No text has w below -c |H|, and a text that has
+too few labels in common with H has w above c |H|: so a pair with one such text has a common *difference*, and what all
+texts share with the hub, a template, never brings two of them together. Of the differences, rare ones first, a prefix
+is enough, and a place in it bounds what can follow. Every pair of different components that meets is verified.
+
+A text with enough labels in common with H, but in another order, is in another component too. Such texts, and those
+near H that they meet, are decided by a prefix join over all their labels: two texts of similarity ``threshold`` have a
+label in common among the first of either, rare ones first. So no pair that passes is left, except those without a
+common sketch. Work of the first two steps is linear in the sketches. That of the others is not bounded by it: texts that
+share the same edit meet, and so do reordered copies of one text.
 
 Defined cases: words are runs of anything but ASCII white space, compared as they are; a text of fewer than five
 words is one shingle; null texts and texts without words are alone in their class. The class id is the smallest
@@ -49,8 +55,8 @@ class Settings:
     picks: int = 3
     repeats: int = 16
     threshold: float = 0.8
-    few: int = 32
-    draws: int = 2
+    few: int = 4
+    hot: int = 1_000
     broadcast_rows: int = 100_000
     count_slots: int = 1 << 20
 
@@ -185,11 +191,26 @@ def _texts(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
                        .groupBy("digest").agg(F.first("packed").alias("packed")), "texts")
 
 
+def _met(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """The pairs (a, b, ...) with the packed texts pa and pb. An end of more than ``hot`` pairs is a hub: its pairs are
+    dealt over several keys, and its text is sent to each of them."""
+    given = pairs = cut_lineage(pairs, "pairs")
+    for end, packed in (("a", "pa"), ("b", "pb")):
+        hubs = _bounded(cut_lineage(given.groupBy(end).count().filter(F.col("count") > s.hot)
+                        .select(F.col(end).alias("hub"), F.ceil(F.col("count") / s.hot).cast("int").alias("parts")), "hubs"), s)
+        sent = texts.join(hubs, texts.digest == hubs.hub, "left").select(
+            F.col("digest").alias(end), F.col("packed").alias(packed),
+            F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
+        other = "b" if end == "a" else "a"
+        part = F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")).cast("int"), F.lit(0))
+        dealt = pairs.join(hubs, pairs[end] == hubs.hub, "left").withColumn("part", part).drop("hub", "parts")
+        pairs = dealt.join(sent, [end, "part"]).drop("part")
+    return pairs
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """(a, b, similarity) of the pairs that pass."""
-    left = texts.select(F.col("digest").alias("a"), F.col("packed").alias("pa"))
-    right = texts.select(F.col("digest").alias("b"), F.col("packed").alias("pb"))
-    met = pairs.join(left, "a").join(right, "b").select("a", "b", "pa", "pb")
+    met = _met(pairs, texts, s).select("a", "b", "pa", "pb")
 
     def run(batches):
         z, known, recent = zstandard.ZstdDecompressor(), {}, {}
@@ -226,11 +247,15 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _hubs(shared: DataFrame) -> DataFrame:
+    """(key, hub): the weightiest text of each sketch."""
+    return shared.groupBy("key").agg(F.max(F.struct("weight", "digest")).digest.alias("hub"))
+
+
 def _stars(shared: DataFrame) -> DataFrame:
-    """(a, b): every text with the weightiest and the smallest text of each of its sketches."""
-    ends = shared.groupBy("key").agg(F.max(F.struct("weight", "digest")).alias("top"), F.min("digest").alias("low"))
-    met = shared.select("key", F.col("digest").alias("x")).join(ends, "key")
-    return _ordered(met.select("x", F.explode(F.array("top.digest", "low")).alias("y")).filter("x <> y"))
+    """(a, b): every text with the hub of each of its sketches."""
+    return _ordered(shared.select("key", F.col("digest").alias("x")).join(_hubs(shared).withColumnRenamed("hub", "y"), "key")
+                    .filter("x <> y").select("x", "y"))
 
 
 def _bounded(df: DataFrame, s: Settings) -> DataFrame:
@@ -238,45 +263,121 @@ def _bounded(df: DataFrame, s: Settings) -> DataFrame:
     return F.broadcast(df) if df.count() <= s.broadcast_rows else df
 
 
-def _across(shared: DataFrame, roots: DataFrame, turn: int, s: Settings) -> DataFrame:
-    """(a, b): texts at one sketch that are in different components still.
-
-    At a sketch of few texts all of them meet, in turn 0. At a crowded one every text outside the main component meets
-    texts that are drawn anew each turn, two per draw, so a turn makes at most 2 * ``draws`` pairs of a row.
-    """
-    rows = shared.join(_bounded(roots, s), shared.digest == roots.node, "left").select(
-        "key", "digest", "n", "weight", F.coalesce("root", "digest").alias("root"))
-    draws = [F.struct(F.xxhash64("digest", F.lit(s.draws * turn + i)).alias("h"), "digest", "root", "n") for i in range(s.draws)]
-    hubs = [end(d) for d in draws for end in (F.min, F.max)]
-    ends = rows.groupBy("key").agg(
+def _mixed(shared: DataFrame, roots: DataFrame, s: Settings) -> DataFrame:
+    """(key, digest, n, root, hub, members) of the sketches that hold more than one component."""
+    rows = cut_lineage(shared.join(_bounded(roots, s), shared.digest == roots.node, "left").select(
+        "key", "digest", "n", "weight", F.coalesce("root", "digest").alias("root")), "rooted")
+    keys = rows.groupBy("key").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"),
-        F.max(F.struct("weight", "root")).root.alias("main"), F.array(*hubs).alias("hubs"))
-    mixed = cut_lineage(ends.filter("low <> high").filter((F.col("members") > s.few) | F.lit(turn == 0)).drop("low", "high"), "mixed")
-    rows = cut_lineage(rows.join(_bounded(mixed, s), "key"), "across")
-    close = (F.col("nx") >= s.threshold * F.col("ny")) & (F.col("ny") >= s.threshold * F.col("nx"))
-    apart = (F.col("rx") != F.col("ry")) & close
-    many = (rows.filter((F.col("members") > s.few) & (F.col("root") != F.col("main")))
-            .select(F.col("digest").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"),
-                    F.explode("hubs").alias("hub"))
-            .select("x", "nx", "rx", F.col("hub.digest").alias("y"), F.col("hub.n").alias("ny"), F.col("hub.root").alias("ry"))
-            .filter(apart).select("x", "y"))
-    if turn:
-        return _ordered(many)
-    few = rows.filter(F.col("members") <= s.few).select("key", "digest", "n", "root")
+        F.max(F.struct("weight", "digest")).digest.alias("hub")).filter("low <> high").drop("low", "high")
+    return cut_lineage(rows.drop("weight").join(_bounded(cut_lineage(keys, "mixed"), s), "key"), "mixed")
+
+
+def _few(mixed: DataFrame, s: Settings) -> DataFrame:
+    """(a, b): the texts of different components at a sketch of few texts, without those that met its hub."""
+    few = mixed.filter((F.col("members") <= s.few) & (F.col("digest") != F.col("hub"))).select("key", "digest", "n", "root")
     x = few.withColumnsRenamed({"digest": "x", "n": "nx", "root": "rx"})
     y = few.withColumnsRenamed({"digest": "y", "n": "ny", "root": "ry"})
-    met = x.join(y, "key").filter(F.col("x") < F.col("y")).filter(apart).select("x", "y")
-    return _ordered(met.union(many))
+    close = (F.col("nx") >= s.threshold * F.col("ny")) & (F.col("ny") >= s.threshold * F.col("nx"))
+    return _ordered(x.join(y, "key").filter((F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & close).select("x", "y"))
 
 
-def _undecided(shared: DataFrame, roots: DataFrame, s: Settings) -> DataFrame:
-    """(digest, root): the texts at crowded sketches that hold more than one component."""
-    rows = cut_lineage(shared.join(_bounded(roots, s), shared.digest == roots.node, "left").select(
-        "key", "digest", F.coalesce("root", "digest").alias("root")), "rooted")
-    mixed = (rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
-             .filter("low <> high").filter(F.col("members") > s.few).select("key"))
-    mixed = cut_lineage(mixed, "mixed")
-    return cut_lineage(rows.join(_bounded(mixed, s), "key").select("digest", "root").distinct(), "undecided")
+def _small(batches, rows: int = 500):
+    """The batches in slices, as many arrays of a text's labels are held at once."""
+    for b in batches:
+        for low in range(0, b.num_rows, rows):
+            yield b.slice(low, rows)
+
+
+def _differences(mixed: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """(hub, digest, root, w, near, diff): the texts of crowded sketches by their difference to the hub. ``near`` tells
+    that text and hub have enough labels in common, ``w`` is counted from c |H|."""
+    crowded = mixed.filter(F.col("members") > s.few)
+    pairs = crowded.select(F.col("digest").alias("a"), F.col("hub").alias("b"), "root").distinct()
+    c = (1 - s.threshold) / (1 + s.threshold)
+
+    def run(batches):
+        z, known, hubs = zstandard.ZstdDecompressor(), {}, {}
+        for batch in _small(batches):
+            w, limit, diffs = [], [], []
+            for a, hub, b in zip(batch.column("pa"), batch.column("b").to_pylist(), batch.column("pb"), strict=True):
+                if len(known) > 300_000:
+                    known.clear()
+                if hub not in hubs:
+                    if len(hubs) > 50:
+                        hubs.clear()
+                    hubs[hub] = labels_of(z.decompress(b.as_py()), s.width, known)
+                x, h = labels_of(z.decompress(a.as_py()), s.width, known), hubs[hub]
+                diff = np.setxor1d(x, h, assume_unique=True)
+                diffs.append(diff.view(np.int64))
+                w.append(len(diff) - c * len(x))
+                limit.append(c * len(h))
+            w, limit = np.array(w, np.float64), np.array(limit, np.float64)
+            yield pa.record_batch(
+                [batch.column("b"), batch.column("a"), batch.column("root"), pa.array(w), pa.array(limit), pa.array(w <= limit + 1e-6),
+                 pa.array(diffs, pa.list_(pa.int64()))], ["hub", "digest", "root", "w", "limit", "near", "diff"])
+
+    kind = "hub binary, digest binary, root binary, w double, limit double, near boolean, diff array<long>"
+    return cut_lineage(_met(pairs, texts, s).select("a", "b", "root", "pa", "pb").mapInArrow(run, kind), "differences")
+
+
+def first_differences(diff: np.ndarray, w: float, limit: float, counts: np.ndarray) -> tuple[np.ndarray, int, int]:
+    """The differences of a text to a hub, rare ones first, and how many of them do: as the text of smaller ``w``, and as
+    that of larger ``w`` (0 unless it is above ``limit``, that is, unless the text alone shows that a difference is shared)."""
+    n = len(diff)
+    ranked = diff[np.lexsort((diff, counts[diff % np.uint64(len(counts))]))]
+
+    def needs(other: float) -> int:
+        return max(1, int(np.ceil((w + other) / 2 - 1e-6)))
+
+    return ranked, max(0, n - needs(max(w, limit)) + 1), max(0, n - needs(-limit) + 1) if w > limit + 1e-6 else 0
+
+
+def _share_differences(rows: DataFrame, s: Settings) -> DataFrame:
+    """(a, b): every pair of the texts of one hub that are in different components, of which one is not near the hub, and
+    that share a difference where two texts of similarity ``threshold`` must."""
+    sent = rows.sparkSession.sparkContext.broadcast(_slots(rows.select("diff"), lambda diff, _: diff.values.to_numpy().view(np.uint64), s))
+
+    def run(batches):
+        counts = sent.value
+        for b in _small(batches):
+            hubs = np.array([xxhash.xxh64_intdigest(x) for x in b.column("hub").to_pylist()], np.uint64)
+            ws, limits = b.column("w").to_numpy(), b.column("limit").to_numpy()
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
+            for i, diff in enumerate(b.column("diff")):
+                ranked, short, long = first_differences(diff.values.to_numpy().view(np.uint64), ws[i], limits[i], counts)
+                most = max(short, long)
+                at = np.arange(most)
+                with np.errstate(over="ignore"):
+                    keys = _mix(ranked[:most] * FOLD + hubs[i])
+                for column, x in zip(out, (np.full(most, i), keys.view(np.int64), len(ranked) - at, at < short, at < long), strict=True):
+                    column.append(x)
+            row, key, left, small, large = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
+            for low in range(0, len(row), 50_000):
+                cut = slice(low, low + 50_000)
+                mine = pa.array(row[cut].astype(np.int64))
+                yield pa.record_batch(
+                    [pa.array(key[cut].astype(np.int64)), b.column("digest").take(mine), b.column("root").take(mine), b.column("w").take(mine),
+                     pa.array(left[cut].astype(np.int32)), pa.array(small[cut].astype(bool)), pa.array(large[cut].astype(bool))],
+                    ["key", "digest", "root", "w", "left", "small", "large"])
+
+    kind = "key long, digest binary, root binary, w double, left int, small boolean, large boolean"
+    keyed = cut_lineage(rows.mapInArrow(run, kind), "prefixes")
+    meet = keyed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.bool_or("small").alias("s"),
+                                    F.bool_or("large").alias("l")).filter("low <> high and s and l").select("key")
+    keyed = cut_lineage(keyed.join(_bounded(cut_lineage(meet, "meet"), s), "key"), "meeting")
+    x = keyed.filter("small").select("key", F.col("digest").alias("x"), F.col("root").alias("rx"), F.col("w").alias("wx"), F.col("left").alias("lx"))
+    y = keyed.filter("large").select("key", F.col("digest").alias("y"), F.col("root").alias("ry"), F.col("w").alias("wy"), F.col("left").alias("ly"))
+    met = x.join(y, "key").filter((F.col("rx") != F.col("ry")) & (F.col("wx") <= F.col("wy"))
+                                  & (F.least("lx", "ly") >= (F.col("wx") + F.col("wy")) / 2 - 1e-6))
+    return _ordered(met.select("x", "y"))
+
+
+def _reordered(rows: DataFrame) -> DataFrame:
+    """(digest, root): the texts near a hub that has texts of more than one component near it."""
+    near = rows.filter("near")
+    hubs = near.groupBy("hub").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("hub")
+    return cut_lineage(near.join(hubs, "hub").select("digest", "root").distinct(), "reordered")
 
 
 SIZE_STEP = 1.05
@@ -296,15 +397,14 @@ def prefix(labels: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np
     return ranked[:min(n, longest)], short
 
 
-def _label_counts(texts: DataFrame, s: Settings) -> np.ndarray:
-    """Counts of the labels of all texts, per slot of their hash. The counts only set the order of the labels, and any
+def _slots(rows: DataFrame, labels, s: Settings) -> np.ndarray:
+    """Counts of the ``labels`` of all rows, per slot of their hash. The counts only set the order of the labels, and any
     order is exact; so what is broadcast is bounded."""
     def count(batches):
-        z, known, total = zstandard.ZstdDecompressor(), {}, np.zeros(s.count_slots, np.int64)
+        known, total = {}, np.zeros(s.count_slots, np.int64)
         for b in batches:
-            for packed in b.column("packed"):
-                labels = labels_of(z.decompress(packed.as_py()), s.width, known)
-                total += np.bincount((labels % np.uint64(s.count_slots)).astype(np.int64), minlength=s.count_slots)
+            for value in b.column(0):
+                total += np.bincount((labels(value, known) % np.uint64(s.count_slots)).astype(np.int64), minlength=s.count_slots)
                 if len(known) > 300_000:
                     known.clear()
         at = np.flatnonzero(total)
@@ -313,7 +413,7 @@ def _label_counts(texts: DataFrame, s: Settings) -> np.ndarray:
             yield pa.record_batch([pa.array(some), pa.array(total[some])], ["slot", "n"])
 
     # few tasks: each returns up to one row a slot
-    parts = texts.select("packed").coalesce(texts.sparkSession.sparkContext.defaultParallelism)
+    parts = rows.coalesce(rows.sparkSession.sparkContext.defaultParallelism)
     got = parts.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(s.count_slots, np.int64)
     counts[got["slot"].to_numpy()] = got["n"].to_numpy()
@@ -328,7 +428,8 @@ def _exact(undecided: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     every class of sizes that the place of the label leaves possible. So keys are pairs of label and class.
     """
     some = texts.join(_bounded(undecided, s), "digest").select("digest", "root", "packed")
-    sent = texts.sparkSession.sparkContext.broadcast(_label_counts(some, s))
+    sent = texts.sparkSession.sparkContext.broadcast(_slots(
+        some.select("packed"), lambda packed, known: labels_of(zstandard.decompress(packed.as_py()), s.width, known), s))
     t = s.threshold
 
     def run(batches):
@@ -382,17 +483,16 @@ def links(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, DataFra
     shared = _shared(cut_lineage(_sketch_table(docs, s), "sketches"))
     texts = _texts(docs, shared.select("digest").distinct(), s)
     good = cut_lineage(_verify(_stars(shared), texts, s), "links")
-    roots, turn = components(good), 0
-    while True:
-        more = cut_lineage(_verify(_across(shared, roots, turn, s), texts, s), "links")
-        if more.isEmpty():
-            break
-        good, turn = good.union(more), turn + 1
-        roots = components(good)
-    undecided = _undecided(shared, roots, s)
-    if undecided.isEmpty():
+    roots = components(good)
+    mixed = _mixed(shared, roots, s)
+    if mixed.isEmpty():
         return good, roots
-    more = cut_lineage(_verify(cut_lineage(_exact(undecided, texts, s), "pairs"), texts, s), "links")
+    rows = _differences(mixed, texts, s)
+    pairs = _few(mixed, s).union(_share_differences(rows, s))
+    reordered = _reordered(rows)
+    if not reordered.isEmpty():
+        pairs = pairs.union(_exact(reordered, texts, s))
+    more = cut_lineage(_verify(pairs.distinct(), texts, s), "links")
     if more.isEmpty():
         return good, roots
     good = good.union(more)
