@@ -449,8 +449,14 @@ def _spans(blocks: DataFrame, s: Settings) -> DataFrame:
 
 def strip_repeats(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """All columns of documents with ``text`` stripped, and ``repeats``: a struct of n_bytes, n_removed, n_spans and
-    kept_sha256 (of the remaining bytes, before broken characters are dropped)."""
+    kept_sha256 (of the remaining bytes, before broken characters are dropped). A column of that name in the documents
+    stays, and the struct comes as ``repeats_`` then (with as many ``_`` as make it new)."""
     attach(docs.sparkSession)
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        raise TypeError(f"doc_id must be an integer column, not {docs.schema['doc_id'].dataType.simpleString()}")
+    name = "repeats"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
     blocks = _blocks(docs, s)
     spans = _spans(blocks, s).groupBy("block").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
     joined = blocks.join(spans.hint("shuffle_hash"), "block", "left")
@@ -496,4 +502,4 @@ def strip_repeats(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
                                ["rest", "text", "repeats"])
 
     done = joined.select("packed", "rest", "lows", "highs").mapInArrow(run, schema)
-    return done.select(*[F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in docs.columns], "repeats")
+    return done.select(*[F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in docs.columns], F.col("repeats").alias(name))

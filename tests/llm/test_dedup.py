@@ -147,6 +147,70 @@ def test_prefixes_of_similar_sets_meet():
             assert len(np.intersect1d(x[:short], y))
 
 
+def test_texts_that_pass_share_a_difference_to_a_hub():
+    """If one of two similar sets is not near the hub, they have a difference in common among the first of either."""
+    rng, c, seen = np.random.default_rng(8), 0.2 / 1.8, 0
+    counts = rng.integers(1, 50, 64)
+
+    def changed(x, most):
+        kept = rng.permutation(x)[int(rng.integers(0, most)):]
+        return np.concatenate([kept, rng.integers(10**6, 10**9, int(rng.integers(0, most)))]).astype(np.uint64)
+
+    for _ in range(3000):
+        n = int(rng.integers(20, 120))
+        hub = np.arange(n, dtype=np.uint64)
+        a = changed(hub, n // 3)
+        b = changed(a, n // 5)
+        common = len(np.intersect1d(a, b))
+        rows = []
+        for x in (a, b):
+            diff = np.setxor1d(x, hub)
+            w = len(diff) - c * len(x)
+            assert w >= -c * n - 1e-6
+            assert (w <= c * n + 1e-6) == (len(np.intersect1d(x, hub)) / len(np.union1d(x, hub)) >= 0.8 - 1e-9)
+            rows.append((w, len(diff), *order_minhash.first_differences(diff, w, c * n, counts)))
+        (wx, nx, x, short, _), (wy, ny, y, _, long) = sorted(rows, key=lambda r: r[0])
+        if common / (len(a) + len(b) - common) >= 0.8 and wy > c * n + 1e-6:
+            seen += 1
+            at = [(i, j) for i, v in enumerate(x[:short]) for j in np.flatnonzero(y[:long] == v)]
+            assert at and min(nx - at[0][0], ny - at[0][1]) >= (wx + wy) / 2 - 1e-6
+    assert seen > 300
+
+
+def test_pairs_at_a_template_stay_few(spark):
+    """Texts of one template with edits of their own and no link above the threshold: few of all pairs meet."""
+    r = random.Random(5)
+    common, rows = [f"t{i}" for i in range(300)], []
+    for i in range(300):
+        words = common.copy()
+        for at in r.sample(range(300), 5):
+            words[at] = f"e{r.randrange(10**9)}"
+        rows.append((i, " ".join(words)))
+    docs, s = spark.createDataFrame(rows, "doc_id long, text string"), order_minhash.Settings()
+    shared = order_minhash._shared(cut_lineage(order_minhash._sketch_table(docs, s)))
+    texts = order_minhash._texts(docs, shared.select("digest").distinct(), s)
+    good = cut_lineage(order_minhash._verify(order_minhash._stars(shared), texts, s))
+    differences = order_minhash._differences(order_minhash._mixed(shared, components(good), s), texts, s)
+    assert differences.count() >= 300
+    assert order_minhash._share_differences(differences, s).count() < 0.35 * 300 * 299 / 2
+
+
+def test_reordered_copies_near_a_hub_find_each_other(spark):
+    """Two orders of one text: near one hub by their labels, two classes by alignment; plus copies far from either hub."""
+    r = random.Random(21)
+    parts = [[f"p{k}_{i}" for i in range(60)] for k in range(4)]
+    rows = []
+    for order in ((0, 1, 2, 3), (2, 3, 0, 1)):
+        for _ in range(14):
+            words = [w for k in order for w in parts[k]]
+            for at in r.sample(range(240), r.choice((1, 2, 4))):
+                words[at] = f"e{r.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = order_minhash.classes(docs, order_minhash.Settings(few=1)).collect()
+    assert sorted((x.doc_id, x.class_id) for x in got) == brute_classes(rows)
+
+
 def test_one_of_each_class_stays(spark, near_rows):
     docs = spark.createDataFrame([(i, t, "x") for i, t in near_rows], "doc_id long, text string, digest string").repartition(3)
     kept = order_minhash.drop_near(docs)
@@ -223,6 +287,12 @@ def test_strip_equals_brute_force(spark, passages, settings):
 def test_strip_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert suffix_dedup.strip_repeats(docs).count() == 0
+    clash = spark.createDataFrame([(1, "x" * 300, "mine")], "doc_id int, text string, repeats string")
+    out = suffix_dedup.strip_repeats(clash)
+    assert out.columns == ["doc_id", "text", "repeats", "repeats_"]
+    assert [(r.repeats, r.repeats_.n_bytes) for r in out.collect()] == [("mine", 300)]
+    with pytest.raises(TypeError, match="integer"):
+        suffix_dedup.strip_repeats(clash.withColumn("doc_id", clash.doc_id.cast("string")))
     assert suffix_dedup.strip_repeats(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")).count() == 2
 
 
