@@ -24,7 +24,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    stripped = suffix_dedup.strip_repeats(docs).drop("repeats")
+    stripped = suffix_dedup.strip_repeats(docs).select(*docs.columns)
     return stripped.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
