@@ -2,22 +2,26 @@
 
 Every token is predicted from the ``reach`` tokens on either side of it, never from itself; a document's score is the
 sum of the log probabilities of all its tokens. The network is an embedding per side position, one hidden layer and a
-softmax, trained in numpy.
+softmax in two levels, trained in numpy: the classes lie in groups of ``group``, and the probability of a class is that
+of its group times that of the class among the classes of its group.
 
 Tokens are white-space words, lower-cased over A-Z. The most frequent words of the whole corpus are tokens of their
 own, all others share hashed tokens; the softmax has a class for each of the most frequent words and hashed classes
 for the rest. The probability of a word is that of its class times its share of the class: with n occurrences of the
 word and N of its class in the corpus, n / (N + 1); words the corpus does not hold share the one occurrence more, over
 their bytes (257 ** -(bytes + 1) each, which sums to 1 over all strings). Up to ``held`` of the words' counts are
-broadcast, those of rarer words are joined. Counts cover all documents. Training covers all documents too: each task takes every ``stride``-th
-window of each text it reads (the first seeded by the text, the next one in the next round), so ``stride`` rounds train
-on every window once; a task fits a copy of the current network and returns it; the copies are
-averaged by the number of their windows, per slot of the parameters and inside Spark, for a few rounds. So what is
-gathered grows with the corpus, while what the driver holds is one network.
+broadcast, those of rarer words are joined. Counts cover all documents. Training covers all documents too: texts are dealt
+by a hash of text and doc_id into shards of some ``shard`` words, each a group of Spark's in the order of a digest; a shard
+fits a copy of the current network on every ``stride``-th window of its texts (the first seeded by the text, the next one
+in the next round, so ``stride`` rounds train on every window once); the copies are averaged by the number of their
+windows, per slot of the parameters and inside Spark in two steps, for a few rounds. So what is gathered grows with the
+corpus, what the driver holds is one network, and neither shards nor their order depend on how the table is split. Words
+become tokens once: training and scoring read the written token table.
 
 Defined cases: null texts and texts without words have 0 tokens and score 0.0, mean null; tokens beyond the ends are
 a padding token; repeated rows get equal scores; a corpus without words gives the untrained network; only doc_id and
-text are used. Very long texts are scored in pieces of ``piece`` tokens that see their neighbours.
+text are used. Very long texts are taken in pieces of ``piece`` tokens that see their neighbours; a word of more than
+``LONG`` bytes stands for itself under a digest of 33 bytes.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -42,18 +46,39 @@ class Settings:
     hashed: int = 511
     classes: int = 256
     own_classes: int = 192
+    group: int = 16
     reach: int = 2
     hidden: int = 16
     stride: int = 2
     rounds: int = 2
-    batch: int = 256
-    rate: float = 0.08
+    batch: int = 2048
+    rate: float = 0.25
+    shard: int = 2_000_000
     piece: int = 20_000
     held: int = 100_000
     seed: int = 3
 
+    def __post_init__(self):
+        if self.classes % self.group:
+            raise ValueError("classes must be a multiple of group")
+
 
 LETTER_CASE = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+#: Words of more bytes are replaced by a digest, so that tables of words are bounded in bytes.
+LONG = 256
+
+
+class Found(dict):
+    """Values by word, worked out when first asked for."""
+
+    def __init__(self, of: Callable[[bytes], float]):
+        self.of = of
+
+    def __missing__(self, word: bytes) -> float:
+        if len(self) > 300_000:
+            self.clear()
+        x = self[word] = self.of(word)
+        return x
 
 
 @dataclass
@@ -68,15 +93,13 @@ class Vocabulary:
     rare: DataFrame | None
 
     def tokens(self, words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-        out = np.empty(len(words), np.int32)
-        first = 1 + self.s.words
-        for i, w in enumerate(words):
-            t = known.get(w)
-            if t is None:
-                at = self.own.get(w)
-                t = known[w] = 1 + at if at is not None else first + zlib.crc32(w) % self.s.hashed
-            out[i] = t
-        return out
+        """``known`` keeps tokens found before; a :class:`Found` of :meth:`token` is the fast kind."""
+        at = known if isinstance(known, Found) else Found(self.token)
+        return np.fromiter(map(at.__getitem__, words), np.int32, len(words))
+
+    def token(self, word: bytes) -> int:
+        at = self.own.get(word)
+        return 1 + at if at is not None else 1 + self.s.words + zlib.crc32(word) % self.s.hashed
 
     def class_table(self) -> np.ndarray:
         """Class of every token."""
@@ -94,17 +117,22 @@ class Vocabulary:
 
 
 class Network:
-    def __init__(self, s: Settings, bias: np.ndarray | None = None):
+    def __init__(self, s: Settings, shares: np.ndarray | None = None):
+        """``shares``: the log share of every class in the corpus, where an untrained network starts."""
         rng = np.random.default_rng(s.seed)
-        width = 1 + s.words + s.hashed
+        groups = s.classes // s.group
+        start = np.zeros((groups, s.group)) if shares is None else shares.reshape(groups, s.group)
         self.s = s
-        self.e = rng.normal(0, 0.3, (2 * s.reach, width, s.hidden)).astype(np.float32)
+        self.width = 1 + s.words + s.hashed
+        self.e = rng.normal(0, 0.3, (2 * s.reach, self.width, s.hidden)).astype(np.float32)
         self.c = np.zeros(s.hidden, np.float32)
-        self.u = rng.normal(0, 0.3, (s.hidden, s.classes)).astype(np.float32)
-        self.b = np.zeros(s.classes, np.float32) if bias is None else bias.astype(np.float32)
+        self.u = rng.normal(0, 0.3, (s.hidden, groups)).astype(np.float32)
+        self.b = np.log(np.exp(start).sum(axis=1)).astype(np.float32)
+        self.inner_u = rng.normal(0, 0.3, (groups, s.hidden, s.group)).astype(np.float32)
+        self.inner_b = start.astype(np.float32)
 
     def parameters(self) -> list[np.ndarray]:
-        return [self.e, self.c, self.u, self.b]
+        return [self.e, self.c, self.u, self.b, self.inner_u, self.inner_b]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parameters()])
@@ -120,38 +148,78 @@ class Network:
         """sides: (n, 2 * reach) tokens."""
         h = self.c + self.e[0][sides[:, 0]]
         for i in range(1, sides.shape[1]):
-            h = h + self.e[i][sides[:, i]]
-        return np.tanh(h)
+            h += self.e[i][sides[:, i]]
+        return np.tanh(h, out=h)
+
+    def _by_group(self, y: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+        """The order of rows by the group of their class, and where each group lies in it."""
+        g = (y // self.s.group).astype(np.uint16)
+        ends = np.cumsum(np.bincount(g, minlength=len(self.b))).tolist()
+        return np.argsort(g, kind="stable"), [(k, slice(a, b)) for k, (a, b) in enumerate(zip([0, *ends], ends)) if b > a]
+
+    def _logits(self, h: np.ndarray, spans: list[tuple[int, slice]]) -> list[np.ndarray]:
+        """Logits of groups and of the classes inside the own group, a column per row of h, the largest of a column 0."""
+        inner = np.empty((self.s.group, len(h)), np.float32)
+        for k, rows in spans:
+            inner[:, rows] = self.inner_u[k].T @ h[rows].T + self.inner_b[k][:, None]
+        both = [self.u.T @ h.T + self.b[:, None], inner]
+        for z in both:
+            z -= z.max(axis=0)
+        return both
 
     def log_probabilities(self, sides: np.ndarray, y: np.ndarray) -> np.ndarray:
-        z = self.hidden(sides) @ self.u + self.b
-        top = z.max(axis=1)
-        return z[np.arange(len(y)), y] - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
+        order, spans = self._by_group(y)
+        h, y = self.hidden(sides[order]), y[order]
+        at = np.arange(len(y))
+        got = np.zeros(len(y), np.float32)
+        for z, taken in zip(self._logits(h, spans), np.divmod(y, self.s.group), strict=True):
+            got += z[taken, at]
+            got -= np.log(np.exp(z, out=z).sum(axis=0))
+        out = np.empty_like(got)
+        out[order] = got
+        return out
 
     def step(self, sides: np.ndarray, y: np.ndarray, g: list[np.ndarray]) -> None:
         """One Adagrad step on a batch; g holds the sums of squares."""
-        h = self.hidden(sides)
-        z = h @ self.u + self.b
-        p = np.exp(z - z.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(y)), y] -= 1
-        p /= len(y)
-        du, db = h.T @ p, p.sum(axis=0)
-        dh = (p @ self.u.T) * (1 - h * h)
+        order, spans = self._by_group(y)
+        sides, y = sides[order], y[order]
+        h, at = self.hidden(sides), np.arange(len(y))
+        outer, inner = self._logits(h, spans)
+        for z, taken in zip((outer, inner), np.divmod(y, self.s.group), strict=True):
+            np.exp(z, out=z)
+            z /= z.sum(axis=0) * len(y)
+            z[taken, at] -= 1 / len(y)
+        inner_u, inner_b = np.zeros_like(self.inner_u), np.zeros_like(self.inner_b)
+        dh = (self.u @ outer).T.copy()
+        for k, rows in spans:
+            inner_u[k] = (inner[:, rows] @ h[rows]).T
+            inner_b[k] = inner[:, rows].sum(axis=1)
+            dh[rows] += (self.inner_u[k] @ inner[:, rows]).T
+        dh *= 1 - h * h
         rate = self.s.rate
-        for param, grad, sq in ((self.u, du, g[2]), (self.b, db, g[3]), (self.c, dh.sum(axis=0), g[1])):
+        grads = [dh.sum(axis=0), (outer @ h).T, outer.sum(axis=1), inner_u, inner_b]
+        for param, grad, sq in zip(self.parameters()[1:], grads, g[1:], strict=True):
             sq += grad * grad
             param -= rate * grad / np.sqrt(sq)
-        for i in range(sides.shape[1]):
-            used, inverse = np.unique(sides[:, i], return_inverse=True)
-            grad = np.zeros((len(used), self.s.hidden), np.float32)
-            np.add.at(grad, inverse, dh)
-            g[0][i][used] += grad * grad
-            self.e[i][used] -= rate * grad / np.sqrt(g[0][i][used])
+        # all sides at once: rows of the embedding that the batch uses, each with the sum of its gradients
+        rows = (sides + np.arange(sides.shape[1], dtype=sides.dtype) * self.width).T.ravel()
+        if len(self.e) * self.width <= 1 << 16:
+            rows = rows.astype(np.uint16)
+        by = np.argsort(rows, kind="stable")
+        rows = rows[by]
+        first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+        used, grad = rows[first], np.add.reduceat(dh[by % len(y)], first, axis=0)
+        e, sq = self.e.reshape(-1, self.s.hidden), g[0].reshape(-1, self.s.hidden)
+        new = sq[used] + grad * grad
+        sq[used] = new
+        e[used] -= rate * grad / np.sqrt(new)
 
 
 def words_of(raw: bytes) -> list[bytes]:
-    return raw.translate(LETTER_CASE).split()
+    words = raw.translate(LETTER_CASE).split()
+    if len(raw) > LONG and max(map(len, words), default=0) > LONG:
+        words = [w if len(w) <= LONG else b"\0" + hashlib.sha256(w).digest() for w in words]
+    return words
 
 
 def windows(tokens: np.ndarray, at: np.ndarray, s: Settings) -> np.ndarray:
@@ -163,18 +231,29 @@ def windows(tokens: np.ndarray, at: np.ndarray, s: Settings) -> np.ndarray:
 
 def places(raw: bytes, n: int, turn: int, s: Settings) -> np.ndarray:
     """The places of a text of n words that a round trains on; ``stride`` rounds have every place once."""
-    return np.arange((zlib.crc32(raw) + turn) % s.stride, n, s.stride)
+    return _places(zlib.crc32(raw), n, turn, s)
+
+
+def _places(seed: int, n: int, turn: int, s: Settings) -> np.ndarray:
+    return np.arange((seed + turn) % s.stride, n, s.stride)
 
 
 def vocabulary(docs: DataFrame, s: Settings = Settings()) -> tuple[Vocabulary, np.ndarray]:
     """The most frequent words of all documents, and the log share of every class."""
     def count(batches):
+        counts: Counter[bytes] = Counter()
+
+        def rows() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+
         for b in batches:
-            counts: Counter[bytes] = Counter()
             raws = b.column("text").cast(pa.large_binary())
             for i in range(len(raws)):
                 counts.update(words_of(raws[i].as_py() or b""))
-            yield pa.record_batch([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+                if len(counts) > 300_000:
+                    yield rows()
+                    counts.clear()
+        yield rows()
 
     counted = cut_lineage(docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word")
                           .agg(F.sum("n").alias("n")), "words")
@@ -200,18 +279,68 @@ def vocabulary(docs: DataFrame, s: Settings = Settings()) -> tuple[Vocabulary, n
 
 
 SLOT = 4096
+CODED = "row long, key long, seed long, tokens binary, inside double, rare array<struct<word: binary, times: bigint>>"
+
+
+def encode(docs: DataFrame, vocab: Vocabulary, s: Settings = Settings()) -> DataFrame:
+    """The token table, a row per document: doc_id, a number of the row, digest and seed of the text, its tokens (two bytes
+    each, four in a larger vocabulary), the sum of log P(word | class) over the words whose counts are broadcast, and the
+    other words with their occurrences."""
+    spark = docs.sparkSession
+    joined, kind = vocab.rare is not None, _token_type(s)
+    sent = spark.sparkContext.broadcast(replace(vocab, rare=None))
+
+    def run(batches):
+        vocab = sent.value
+        table, known = vocab.class_table(), Found(vocab.token)
+
+        def share_of(word: bytes) -> float:
+            n = vocab.counts.get(word, 0)
+            return vocab.share(word, n, int(table[known[word]])) if n or not joined else 1.0
+
+        shares = Found(share_of)
+
+        def inside(words: list[bytes], classes: np.ndarray) -> tuple[float, list[dict]]:
+            words = [words[i] for i in np.flatnonzero(classes >= s.own_classes).tolist()]
+            x = np.fromiter(map(shares.__getitem__, words), float, len(words))
+            rare = Counter(words[i] for i in np.flatnonzero(x > 0).tolist())
+            return float(x[x <= 0].sum()), [{"word": w, "times": k} for w, k in rare.items()]
+
+        for b in batches:
+            raws = b.column("text").cast(pa.large_binary())
+            out = []
+            for i in range(len(raws)):
+                raw = raws[i].as_py() or b""
+                words = words_of(raw)
+                tokens = vocab.tokens(words, known)
+                out.append((int.from_bytes(hashlib.md5(raw).digest()[:8], "big", signed=True), zlib.crc32(raw),
+                            tokens.astype(kind).tobytes(), *inside(words, table[tokens])))
+            keys, seeds, tokens, sums, rares = zip(*out, strict=True) if out else ((),) * 5
+            yield pa.record_batch([b.column("doc_id"), pa.array(keys, pa.int64()), pa.array(seeds, pa.int64()), pa.array(tokens, pa.binary()),
+                                   pa.array(sums, pa.float64()), pa.array(rares, pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])))],
+                                  ["doc_id", "key", "seed", "tokens", "inside", "rare"])
+
+    given = docs.select("doc_id", "text")
+    return given.mapInArrow(run, f"doc_id {dict(given.dtypes)['doc_id']}, {CODED.removeprefix('row long, ')}").withColumn(
+        "row", F.monotonically_increasing_id())
+
+
+def _token_type(s: Settings) -> type:
+    return np.uint16 if 1 + s.words + s.hashed <= 1 << 16 else np.int32
 
 
-def _round(docs: DataFrame, vocab: Vocabulary, flat: np.ndarray, turn: int, s: Settings) -> np.ndarray:
-    """One round of training: the average of the networks that the tasks fit on their own texts."""
-    spark, table = docs.sparkSession, vocab.class_table()
-    sent = spark.sparkContext.broadcast((replace(vocab, counts={}, rare=None), flat, table))
+def _tokens(column: pa.Array, i: int, s: Settings) -> np.ndarray:
+    return np.frombuffer(column[i].as_py(), _token_type(s)).astype(np.int32)
 
-    def fit(batches):
-        vocab, flat, table = sent.value
+
+def _round(coded: DataFrame, table: np.ndarray, flat: np.ndarray, turn: int, shards: int, s: Settings) -> np.ndarray:
+    """One round of training: the average of the networks that the shards fit on their own texts."""
+    sent = coded.sparkSession.sparkContext.broadcast((flat, table))
+
+    def fit(key: tuple[pa.Scalar, ...], rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat, table = sent.value
         net = Network(s).load(flat)
         g = [np.full_like(p, 1e-3) for p in net.parameters()]
-        known: dict[bytes, int] = {}
         held, seen, waiting = [], 0, 0
 
         def learn() -> None:
@@ -222,146 +351,127 @@ def _round(docs: DataFrame, vocab: Vocabulary, flat: np.ndarray, turn: int, s: S
                 net.step(sides[some], y[some], g)
             held.clear()
 
-        for b in batches:
-            raws = b.column("text").cast(pa.large_binary())
-            for i in range(len(raws)):
-                raw = raws[i].as_py() or b""
-                words = words_of(raw)
-                if not words:
-                    continue
-                every = places(raw, len(words), turn, s)
-                tokens = vocab.tokens(words, known)
+        for b in rows:
+            column, seeds = b.column("tokens"), b.column("seed").to_pylist()
+            for i, seed in enumerate(seeds):
+                tokens = _tokens(column, i, s)
+                every = _places(seed, len(tokens), turn, s)
                 for low in range(0, len(every), s.piece):
                     at = every[low:low + s.piece]
                     held.append((windows(tokens, at, s), table[tokens[at]]))
                     seen, waiting = seen + len(at), waiting + len(at)
-                    if len(held) >= 512 or waiting >= 5 * s.piece:
+                    if waiting >= 5 * s.piece:
                         learn()
                         waiting = 0
-                if len(known) > 300_000:
-                    known.clear()
         if held:
             learn()
-        if seen:
-            change = net.flat().astype(np.float64) * seen
-            slots = np.arange(0, len(change), SLOT)
-            yield pa.record_batch([pa.array(slots // SLOT), pa.array([change[a:a + SLOT].astype(np.float32).tobytes() for a in slots], pa.binary()),
-                                   pa.array(np.full(len(slots), seen))], ["slot", "part", "seen"])
+        change = net.flat() if seen else np.zeros(0, np.float32)
+        slots = np.arange(0, len(change), SLOT)
+        yield pa.record_batch([pa.array(np.full(len(slots), key[0].as_py())), pa.array(slots // SLOT),
+                               pa.array([change[a:a + SLOT].tobytes() for a in slots], pa.binary()),
+                               pa.array(np.full(len(slots), seen))], ["fold", "slot", "part", "seen"])
 
     def add(key: tuple[pa.Scalar, ...], rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = None, 0
         for b in rows:
             for part, n in zip(b.column("part"), b.column("seen").to_pylist(), strict=True):
-                x = np.frombuffer(part.as_py(), np.float32).astype(np.float64)
+                x = np.frombuffer(part.as_py(), np.float32).astype(np.float64) * n
                 total, seen = x if total is None else total + x, seen + n
-        yield pa.record_batch([pa.array([key[0].as_py()]), pa.array([(total / seen).astype(np.float32).tobytes()], pa.binary())], ["slot", "part"])
-
-    parts = docs.select("text").mapInArrow(fit, "slot long, part binary, seen long")
-    got = parts.groupBy("slot").applyInArrow(add, "slot long, part binary").collect()
+        yield pa.record_batch([pa.array([k.as_py() for k in key[:1]], pa.int64()), pa.array([key[-1].as_py()], pa.int64()),
+                               pa.array([(total / seen).astype(np.float32).tobytes()], pa.binary()), pa.array([seen], pa.int64())],
+                              ["fold", "slot", "part", "seen"])
+
+    kind = "fold long, slot long, part binary, seen long"
+    texts = coded.filter(F.length("tokens") > 0).select(
+        F.pmod(F.xxhash64("key", "doc_id"), F.lit(shards)).alias("shard"), "key", "seed", "tokens")
+    parts = texts.repartition("shard").sortWithinPartitions("shard", "key").groupBy("shard").applyInArrow(fit, kind)
+    some = parts.withColumn("fold", F.pmod("fold", F.lit(int(np.ceil(np.sqrt(shards)))))).groupBy("fold", "slot").applyInArrow(add, kind)
+    got = some.groupBy("slot").applyInArrow(add, kind).select("slot", "part").collect()
     if not got:
         return flat
     return np.concatenate([np.frombuffer(bytes(r.part), np.float32) for r in sorted(got, key=lambda r: r.slot)])
 
 
+def _train(coded: DataFrame, vocab: Vocabulary, shares: np.ndarray, s: Settings) -> Network:
+    flat, shards = Network(s, shares).flat(), max(1, -(-int(vocab.totals.sum()) // s.shard))
+    for turn in range(s.rounds):
+        flat = _round(coded, vocab.class_table(), flat, turn, shards, s)
+    return Network(s).load(flat)
+
+
 def train(docs: DataFrame, s: Settings = Settings()) -> tuple[Vocabulary, Network]:
     attach(docs.sparkSession)
     vocab, shares = vocabulary(docs, s)
-    flat = Network(s, shares).flat()
-    for turn in range(s.rounds):
-        flat = _round(docs, vocab, flat, turn, s)
-    return vocab, Network(s).load(flat)
+    return vocab, _train(cut_lineage(encode(docs, vocab, s), "tokens"), vocab, shares, s)
 
 
 def score(docs: DataFrame, vocab: Vocabulary, net: Network, s: Settings = Settings()) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_likelihood) for every row of documents."""
-    spark: SparkSession = docs.sparkSession
-    attach(spark)
-    joined = vocab.rare is not None
-    sent = spark.sparkContext.broadcast((replace(vocab, rare=None), net.flat(), vocab.class_table()))
-    given = docs.select("doc_id", "text")
+    attach(docs.sparkSession)
+    coded = encode(docs, vocab, s)
+    return _score(coded if vocab.rare is None else cut_lineage(coded, "tokens"), vocab, net, s)
+
+
+def train_and_score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """Scores of all documents by the network that they train, from one token table."""
+    attach(docs.sparkSession)
+    vocab, shares = vocabulary(docs, s)
+    coded = cut_lineage(encode(docs, vocab, s), "tokens")
+    return _score(coded, vocab, _train(coded, vocab, shares, s), s)
 
-    def run(batches):
-        vocab, flat, table = sent.value
-        net, known, shares = Network(s).load(flat), {}, {}
-
-        def share(words: list[bytes], tokens: np.ndarray) -> tuple[float, dict[bytes, int]]:
-            """The sum of log P(word | class), and the words whose counts are not here, with their occurrences."""
-            total, rare = 0.0, {}
-            for w, c in zip(words, table[tokens].tolist(), strict=True):
-                if c < s.own_classes:
-                    continue
-                x = shares.get(w)
-                if x is None:
-                    n = vocab.counts.get(w, 0)
-                    x = shares[w] = vocab.share(w, n, c) if n or not joined else 1.0
-                if x > 0:
-                    rare[w] = rare.get(w, 0) + 1
-                else:
-                    total += x
-            if len(shares) > 300_000:
-                shares.clear()
-            return total, rare
 
+def _score(coded: DataFrame, vocab: Vocabulary, net: Network, s: Settings) -> DataFrame:
+    sent = coded.sparkSession.sparkContext.broadcast((net.flat(), vocab.class_table()))
+
+    def run(batches):
+        flat, table = sent.value
+        net = Network(s).load(flat)
         for b in batches:
-            digests, rares = [], []
-            raws = b.column("text").cast(pa.large_binary())
-            sums, sizes, held, owners, waiting = np.zeros(b.num_rows), np.zeros(b.num_rows, np.int64), [], [], 0
+            column = b.column("tokens")
+            sums, sizes, held, waiting = np.zeros(b.num_rows), np.zeros(b.num_rows, np.int64), [], 0
 
             def flush() -> None:
-                tokens, sides = (np.concatenate(x) for x in zip(*held, strict=True))
-                for low in range(0, len(tokens), 4096):
-                    y = table[tokens[low:low + 4096]]
-                    scores = net.log_probabilities(sides[low:low + 4096], y)
-                    np.add.at(sums, np.concatenate(owners)[low:low + 4096], scores.astype(np.float64))
+                sides, y, owners = (np.concatenate(x) for x in zip(*held, strict=True))
+                for low in range(0, len(y), 4096):
+                    some = slice(low, low + 4096)
+                    sums[:] += np.bincount(owners[some], net.log_probabilities(sides[some], y[some]), len(sums))
                 held.clear()
-                owners.clear()
 
-            for i in range(len(raws)):
-                raw = raws[i].as_py() or b""
-                words = words_of(raw)
-                sizes[i] = len(words)
-                tokens = vocab.tokens(words, known)
-                part, rare = share(words, tokens)
-                sums[i] += part
-                digests.append(hashlib.md5(raw).digest())
-                rares.append([{"word": w, "times": k} for w, k in rare.items()])
-                for low in range(0, len(words), s.piece):
-                    at = np.arange(low, min(low + s.piece, len(words)))
-                    held.append((tokens[at], windows(tokens, at, s)))
-                    owners.append(np.full(len(at), i))
+            for i in range(b.num_rows):
+                tokens = _tokens(column, i, s)
+                sizes[i] = len(tokens)
+                for low in range(0, len(tokens), s.piece):
+                    at = np.arange(low, min(low + s.piece, len(tokens)))
+                    held.append((windows(tokens, at, s), table[tokens[at]], np.full(len(at), i)))
                     waiting += len(at)
                     if waiting >= s.piece:
                         flush()
                         waiting = 0
-                if len(known) > 300_000:
-                    known.clear()
             if held:
                 flush()
-            yield pa.record_batch([b.column("doc_id"), pa.array(sizes), pa.array(sums), pa.array(digests, pa.binary()),
-                                   pa.array(rares, pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])))],
-                                  ["doc_id", "n_tokens", "log_likelihood", "digest", "rare"])
-
-    rows = given.mapInArrow(run, f"doc_id {dict(given.dtypes)['doc_id']}, n_tokens long, log_likelihood double, digest binary, "
-                                 "rare array<struct<word: binary, times: bigint>>")
-    if joined:
-        rows = cut_lineage(rows, "scored")
-        rows = rows.drop("rare").join(_rare_shares(rows, vocab, sent), "digest", "left").withColumn(
+            yield pa.record_batch([b.column("doc_id"), b.column("row"), pa.array(sizes),
+                                   pa.array(sums + b.column("inside").to_numpy())], ["doc_id", "row", "n_tokens", "log_likelihood"])
+
+    rows = coded.select("doc_id", "row", "tokens", "inside").mapInArrow(
+        run, f"doc_id {dict(coded.dtypes)['doc_id']}, row long, n_tokens long, log_likelihood double")
+    if vocab.rare is not None:
+        rows = rows.join(_rare_shares(coded, vocab), "row", "left").withColumn(
             "log_likelihood", F.col("log_likelihood") + F.coalesce("more", F.lit(0.0)))
     return rows.select("doc_id", "n_tokens", "log_likelihood", F.when(
         F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_likelihood"))
 
 
-def _rare_shares(rows: DataFrame, vocab: Vocabulary, sent) -> DataFrame:
-    """(digest, more): the sum of log P(word | class) over the words of a text whose counts were not broadcast."""
-    texts = rows.filter(F.size("rare") > 0).groupBy("digest").agg(F.first("rare").alias("rare"))
-    used = texts.select("digest", F.inline("rare"))
+def _rare_shares(coded: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """(row, more): the sum of log P(word | class) over the words of a text whose counts were not broadcast."""
+    sent = coded.sparkSession.sparkContext.broadcast(replace(vocab, counts={}, rare=None))
+    used = coded.select("row", F.inline("rare"))
 
     def share(words: pa.Array, counts: pa.Array) -> pa.Array:
-        vocab, _, table = sent.value
+        vocab = sent.value
         words = words.to_pylist()
-        classes = table[vocab.tokens(words, {})].tolist()
+        classes = vocab.class_table()[vocab.tokens(words, {})].tolist()
         return pa.array([vocab.share(*x) for x in zip(words, counts.to_pylist(), classes, strict=True)], pa.float64())
 
     each = used.select("word").distinct().join(vocab.rare, "word", "left").select(
         "word", F.arrow_udf(share, "double")("word", F.coalesce("n", F.lit(0))).alias("share"))
-    return used.join(each, "word").groupBy("digest").agg(F.sum(F.col("times") * F.col("share")).alias("more"))
+    return used.join(each, "word").groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("more"))

@@ -47,7 +47,7 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 def op7_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
-    return masked_lm.score(docs, *masked_lm.train(docs))
+    return masked_lm.train_and_score(docs)
 
 
 def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:

@@ -185,8 +185,9 @@ def test_language_model(spark):
     for i in range(len(tokens)):
         sides = [tokens[j] if 0 <= j < len(tokens) else 0 for j in (i - 2, i - 1, i + 1, i + 2)]
         h = np.tanh(net.c + sum(net.e[k][t] for k, t in enumerate(sides)))
-        z = h @ net.u + net.b
-        total += float(z[vocab.class_table()[tokens[i]]] - np.log(np.exp(z.astype(float)).sum()))
+        group, member = divmod(int(vocab.class_table()[tokens[i]]), s.group)
+        for z, taken in ((h @ net.u + net.b, group), (h @ net.inner_u[group] + net.inner_b[group], member)):
+            total += float(z[taken] - np.log(np.exp(z.astype(float)).sum()))
     assert by[0].log_likelihood == pytest.approx(total, rel=1e-4)
     empty = masked_lm.train(docs.limit(0), s)
     assert masked_lm.score(docs, *empty, s).count() == len(got)
@@ -251,3 +252,49 @@ def test_registered_training_takes_every_window(spark):
     a, b = ({r.doc_id: r.log_likelihood for r in masked_lm.score(spark.createDataFrame(x, "doc_id long, text string"), vocab, net).collect()}
             for x in (rows, mixed))
     assert np.mean([a[i] > b[i] for i in a]) > 0.97
+
+
+def test_class_probabilities_sum_to_one():
+    s = masked_lm.Settings()
+    rng = np.random.default_rng(2)
+    net = masked_lm.Network(s, np.log(rng.dirichlet(np.ones(s.classes))))
+    sides = np.repeat(rng.integers(net.width, size=(7, 2 * s.reach)), s.classes, axis=0)
+    got = net.log_probabilities(sides, np.tile(np.arange(s.classes), 7)).reshape(7, s.classes)
+    assert np.exp(got.astype(float)).sum(axis=1) == pytest.approx(np.ones(7), rel=1e-4)
+    with pytest.raises(ValueError):
+        masked_lm.Settings(classes=250)
+
+
+def test_training_step_follows_the_gradient():
+    """The change of every parameter has the sign of the numeric gradient of the mean log-likelihood."""
+    s = masked_lm.Settings(words=20, hashed=5, classes=32, own_classes=16, hidden=4, rate=1e-3)
+    rng = np.random.default_rng(3)
+    sides, y = rng.integers(1, 26, size=(300, 4)), rng.integers(32, size=300)
+    net = masked_lm.Network(s)
+    before, sums = net.flat().astype(float), [np.full_like(p, 1e-12) for p in net.parameters()]
+    numeric = np.zeros(len(before))
+    for i in range(len(before)):
+        for sign in (1, -1):
+            moved = before.copy()
+            moved[i] += sign * 1e-2
+            numeric[i] += sign * masked_lm.Network(s).load(moved.astype(np.float32)).log_probabilities(sides, y).mean(dtype=float) / 2e-2
+    net.step(sides, y, sums)
+    change = net.flat() - before
+    clear = np.abs(numeric) > 1e-4
+    assert clear.sum() > len(before) / 2 and (np.sign(change[clear]) == np.sign(numeric[clear])).all()
+    # an unused row of the embedding stays
+    assert (change.reshape(-1)[:s.hidden] == 0).all()
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"w{k}" for k in np.minimum(rng.zipf(1.4, 80), 500))) for i in range(200)]
+    long = "x" * 4000
+    rows += [(None, rows[0][1])] * 30 + [(500, f"{long} w1 {long}"), (501, None), (502, "")]
+    s = masked_lm.Settings(shard=3000, held=100)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one, many = (sorted(((r.doc_id is None, r.doc_id), r.n_tokens, r.log_likelihood) for r in masked_lm.train_and_score(d, s).collect())
+                 for d in (docs.coalesce(1), docs.repartition(7)))
+    assert [x[:2] for x in one] == [x[:2] for x in many]
+    assert [x[2] for x in one] == pytest.approx([x[2] for x in many], rel=1e-5)
+    assert len({round(x[2], 6) for x in one if x[0][0] or x[0][1] == 0}) == 1
