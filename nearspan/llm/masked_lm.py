@@ -29,8 +29,10 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import repeat
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -68,19 +70,6 @@ LETTER_CASE = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 LONG = 256
 
 
-class Found(dict):
-    """Values by word, worked out when first asked for."""
-
-    def __init__(self, of: Callable[[bytes], float]):
-        self.of = of
-
-    def __missing__(self, word: bytes) -> float:
-        if len(self) > 300_000:
-            self.clear()
-        x = self[word] = self.of(word)
-        return x
-
-
 @dataclass
 class Vocabulary:
     """Token and class numbers of words; token 0 is the padding."""
@@ -92,14 +81,12 @@ class Vocabulary:
     totals: np.ndarray
     rare: DataFrame | None
 
-    def tokens(self, words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-        """``known`` keeps tokens found before; a :class:`Found` of :meth:`token` is the fast kind."""
-        at = known if isinstance(known, Found) else Found(self.token)
-        return np.fromiter(map(at.__getitem__, words), np.int32, len(words))
-
-    def token(self, word: bytes) -> int:
-        at = self.own.get(word)
-        return 1 + at if at is not None else 1 + self.s.words + zlib.crc32(word) % self.s.hashed
+    def tokens(self, words: list[bytes]) -> np.ndarray:
+        out = np.fromiter(map(self.own.get, words, repeat(-1)), np.int32, len(words)) + np.int32(1)
+        rest = np.flatnonzero(out == 0)
+        hashes = np.fromiter((zlib.crc32(words[i]) for i in rest.tolist()), np.int64, len(rest))
+        out[rest] = 1 + self.s.words + hashes % self.s.hashed
+        return out
 
     def class_table(self) -> np.ndarray:
         """Class of every token."""
@@ -112,8 +99,8 @@ class Vocabulary:
         """log P(word | class c) of a word that occurs ``count`` times; a class of its own holds no other word."""
         if c < self.s.own_classes:
             return 0.0
-        rest = -np.log(self.totals[c] + 1)
-        return float(rest + np.log(count) if count else rest - (len(word) + 1) * np.log(257))
+        rest = -log(self.totals[c] + 1)
+        return rest + log(count) if count else rest - (len(word) + 1) * log(257)
 
 
 class Network:
@@ -146,9 +133,9 @@ class Network:
 
     def hidden(self, sides: np.ndarray) -> np.ndarray:
         """sides: (n, 2 * reach) tokens."""
-        h = self.c + self.e[0][sides[:, 0]]
+        h = self.c + self.e[0].take(sides[:, 0], axis=0)
         for i in range(1, sides.shape[1]):
-            h += self.e[i][sides[:, i]]
+            h += self.e[i].take(sides[:, i], axis=0)
         return np.tanh(h, out=h)
 
     def _by_group(self, y: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
@@ -169,7 +156,7 @@ class Network:
 
     def log_probabilities(self, sides: np.ndarray, y: np.ndarray) -> np.ndarray:
         order, spans = self._by_group(y)
-        h, y = self.hidden(sides[order]), y[order]
+        h, y = self.hidden(sides.take(order, axis=0)), y[order]
         at = np.arange(len(y))
         got = np.zeros(len(y), np.float32)
         for z, taken in zip(self._logits(h, spans), np.divmod(y, self.s.group), strict=True):
@@ -182,7 +169,7 @@ class Network:
     def step(self, sides: np.ndarray, y: np.ndarray, g: list[np.ndarray]) -> None:
         """One Adagrad step on a batch; g holds the sums of squares."""
         order, spans = self._by_group(y)
-        sides, y = sides[order], y[order]
+        sides, y = sides.take(order, axis=0), y[order]
         h, at = self.hidden(sides), np.arange(len(y))
         outer, inner = self._logits(h, spans)
         for z, taken in zip((outer, inner), np.divmod(y, self.s.group), strict=True):
@@ -208,11 +195,16 @@ class Network:
         by = np.argsort(rows, kind="stable")
         rows = rows[by]
         first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        used, grad = rows[first], np.add.reduceat(dh[by % len(y)], first, axis=0)
+        used = rows[first].astype(np.intp)
+        grad = np.add.reduceat(dh.take(by % len(y), axis=0), first, axis=0)
         e, sq = self.e.reshape(-1, self.s.hidden), g[0].reshape(-1, self.s.hidden)
-        new = sq[used] + grad * grad
+        new = sq.take(used, axis=0)
+        new += grad * grad
         sq[used] = new
-        e[used] -= rate * grad / np.sqrt(new)
+        grad /= np.sqrt(new, out=new)
+        grad *= -rate
+        grad += e.take(used, axis=0)
+        e[used] = grad
 
 
 def words_of(raw: bytes) -> list[bytes]:
@@ -226,7 +218,7 @@ def windows(tokens: np.ndarray, at: np.ndarray, s: Settings) -> np.ndarray:
     """Tokens on both sides of the places ``at``; padding beyond the ends."""
     padded = np.concatenate([np.zeros(s.reach, np.int32), tokens, np.zeros(s.reach, np.int32)])
     offsets = [o for o in range(2 * s.reach + 1) if o != s.reach]
-    return padded[at[:, None] + np.array(offsets)]
+    return padded.take(at[:, None] + np.array(offsets))
 
 
 def places(raw: bytes, n: int, turn: int, s: Settings) -> np.ndarray:
@@ -268,7 +260,7 @@ def vocabulary(docs: DataFrame, s: Settings = Settings()) -> tuple[Vocabulary, n
     table = vocab.class_table()
 
     def class_of(words: pa.Array) -> pa.Array:
-        return pa.array(table[vocab.tokens(words.to_pylist(), {})])
+        return pa.array(table[vocab.tokens(words.to_pylist())])
 
     hashed = F.arrow_udf(class_of, "int")
     shares = np.ones(s.classes)
@@ -292,19 +284,17 @@ def encode(docs: DataFrame, vocab: Vocabulary, s: Settings = Settings()) -> Data
 
     def run(batches):
         vocab = sent.value
-        table, known = vocab.class_table(), Found(vocab.token)
-
-        def share_of(word: bytes) -> float:
-            n = vocab.counts.get(word, 0)
-            return vocab.share(word, n, int(table[known[word]])) if n or not joined else 1.0
-
-        shares = Found(share_of)
-
-        def inside(words: list[bytes], classes: np.ndarray) -> tuple[float, list[dict]]:
-            words = [words[i] for i in np.flatnonzero(classes >= s.own_classes).tolist()]
-            x = np.fromiter(map(shares.__getitem__, words), float, len(words))
-            rare = Counter(words[i] for i in np.flatnonzero(x > 0).tolist())
-            return float(x[x <= 0].sum()), [{"word": w, "times": k} for w, k in rare.items()]
+        table, held = vocab.class_table(), list(vocab.counts)
+        shares = {w: vocab.share(w, vocab.counts[w], c) for w, c in zip(held, table[vocab.tokens(held)].tolist(), strict=True)}
+
+        def inside(words: list[bytes], classes: np.ndarray) -> tuple[float, Counter[bytes]]:
+            at = np.flatnonzero(classes >= s.own_classes).tolist()
+            words = [words[i] for i in at]
+            found = list(map(shares.get, words))
+            total, rest = sum(x for x in found if x is not None), [i for i, x in enumerate(found) if x is None]
+            if joined:
+                return total, Counter(words[i] for i in rest)
+            return total + sum(vocab.share(words[i], 0, int(classes[at[i]])) for i in rest), Counter()
 
         for b in batches:
             raws = b.column("text").cast(pa.large_binary())
@@ -312,12 +302,15 @@ def encode(docs: DataFrame, vocab: Vocabulary, s: Settings = Settings()) -> Data
             for i in range(len(raws)):
                 raw = raws[i].as_py() or b""
                 words = words_of(raw)
-                tokens = vocab.tokens(words, known)
+                tokens = vocab.tokens(words)
                 out.append((int.from_bytes(hashlib.md5(raw).digest()[:8], "big", signed=True), zlib.crc32(raw),
                             tokens.astype(kind).tobytes(), *inside(words, table[tokens])))
             keys, seeds, tokens, sums, rares = zip(*out, strict=True) if out else ((),) * 5
+            each = pa.StructArray.from_arrays([pa.array([w for r in rares for w in r], pa.binary()),
+                                               pa.array([k for r in rares for k in r.values()], pa.int64())], ["word", "times"])
+            ends = np.cumsum([0, *map(len, rares)]).astype(np.int32)
             yield pa.record_batch([b.column("doc_id"), pa.array(keys, pa.int64()), pa.array(seeds, pa.int64()), pa.array(tokens, pa.binary()),
-                                   pa.array(sums, pa.float64()), pa.array(rares, pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])))],
+                                   pa.array(sums, pa.float64()), pa.ListArray.from_arrays(pa.array(ends), each)],
                                   ["doc_id", "key", "seed", "tokens", "inside", "rare"])
 
     given = docs.select("doc_id", "text")
@@ -348,7 +341,7 @@ def _round(coded: DataFrame, table: np.ndarray, flat: np.ndarray, turn: int, sha
             order = np.random.default_rng(s.seed + turn + seen).permutation(len(y))
             for low in range(0, len(y), s.batch):
                 some = order[low:low + s.batch]
-                net.step(sides[some], y[some], g)
+                net.step(sides.take(some, axis=0), y[some], g)
             held.clear()
 
         for b in rows:
@@ -469,7 +462,7 @@ def _rare_shares(coded: DataFrame, vocab: Vocabulary) -> DataFrame:
     def share(words: pa.Array, counts: pa.Array) -> pa.Array:
         vocab = sent.value
         words = words.to_pylist()
-        classes = vocab.class_table()[vocab.tokens(words, {})].tolist()
+        classes = vocab.class_table()[vocab.tokens(words)].tolist()
         return pa.array([vocab.share(*x) for x in zip(words, counts.to_pylist(), classes, strict=True)], pa.float64())
 
     each = used.select("word").distinct().join(vocab.rare, "word", "left").select(

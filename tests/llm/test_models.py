@@ -181,7 +181,7 @@ def test_language_model(spark):
     assert np.mean([by[i - 1000].mean_log_likelihood > m for i, m in other.items()]) > 0.97
     # the definition, token by token
     words = [w.lower().encode() for w in rows[0][1].split()]
-    tokens, total = vocab.tokens(words, {}), 0.0
+    tokens, total = vocab.tokens(words), 0.0
     for i in range(len(tokens)):
         sides = [tokens[j] if 0 <= j < len(tokens) else 0 for j in (i - 2, i - 1, i + 1, i + 2)]
         h = np.tanh(net.c + sum(net.e[k][t] for k, t in enumerate(sides)))
@@ -210,12 +210,12 @@ def test_words_count_inside_their_class(spark):
         totals = np.zeros(s.classes)
         table = vocab.class_table()
         for w, n in counts.items():
-            totals[table[vocab.tokens([w], {})[0]]] += n
+            totals[table[vocab.tokens([w])[0]]] += n
         assert (totals == vocab.totals).all()
 
         def definition(text):
             words = [w.encode() for w in text.split()]
-            tokens = vocab.tokens(words, {})
+            tokens = vocab.tokens(words)
             total = float(net.log_probabilities(masked_lm.windows(tokens, np.arange(len(tokens)), s), table[tokens]).sum(dtype=float))
             for w, c in zip(words, table[tokens]):
                 if c >= s.own_classes:
@@ -228,10 +228,10 @@ def test_words_count_inside_their_class(spark):
         # every rare word by an unseen one of the same input token
         swapped, unseen = [], {}
         for k in range(4000):
-            unseen.setdefault(int(vocab.tokens([b"q%d" % k], {})[0]), f"q{k}")
+            unseen.setdefault(int(vocab.tokens([b"q%d" % k])[0]), f"q{k}")
         for i, text in rows[:20]:
             words = text.split()
-            tokens = vocab.tokens([w.encode() for w in words], {})
+            tokens = vocab.tokens([w.encode() for w in words])
             swapped.append((i, " ".join(unseen[int(t)] if t > s.words else w for w, t in zip(words, tokens, strict=True))))
         other = masked_lm.score(spark.createDataFrame(swapped, "doc_id long, text string"), vocab, net, s).collect()
         assert all(r.log_likelihood < by[r.doc_id] for r in other)
