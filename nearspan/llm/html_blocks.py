@@ -1,9 +1,14 @@
-"""A page as a sequence of leaf blocks: text, tag path and a few measures of each."""
+"""A page as a sequence of leaf blocks: text, tag path and a few measures of each.
+
+An end tag closes its element however many others are open above it. The tag path that the labeller reads holds the marks
+of the first 4 and last 12 open elements, and of a name attribute its first 12 parts.
+"""
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -45,6 +50,9 @@ class _Reader:
     pieces: list[str] = field(default_factory=list)
     in_link: int = 0
     linked: int = 0
+    #: Open elements by name: of the page, and of each stretch of the stack above a fence.
+    opened: Counter[str] = field(default_factory=Counter)
+    scopes: list[Counter[str]] = field(default_factory=lambda: [Counter()])
 
     def text(self, raw: str) -> None:
         if raw:
@@ -62,13 +70,27 @@ class _Reader:
                 self.blocks.append(Block(clean, path, self.linked / len(joined)))
             self.pieces, self.linked = [], 0
 
-    def close(self, names: tuple[str, ...], fences: frozenset[str]) -> None:
-        for i in range(len(self.stack) - 1, max(-1, len(self.stack) - 64), -1):
-            if self.stack[i].name in names:
-                del self.stack[i:]
-                return
-            if self.stack[i].name in fences:
-                return
+    def open(self, name: str, marks: tuple[str, ...]) -> None:
+        self.stack.append(_Open(name, marks))
+        self.opened[name] += 1
+        if name in FENCES:
+            self.scopes.append(Counter())
+        else:
+            self.scopes[-1][name] += 1
+
+    def close(self, names: tuple[str, ...], fenced: bool) -> None:
+        """Close the innermost open element of these names and all inside it; ``fenced``: only above the last fence."""
+        counts = self.scopes[-1] if fenced else self.opened
+        if not any(counts[n] for n in names):
+            return
+        last = None
+        while last not in names:
+            last = self.stack.pop().name
+            self.opened[last] -= 1
+            if last in FENCES:
+                self.scopes.pop()
+            else:
+                self.scopes[-1][last] -= 1
 
 
 def marks_of(name: str, attributes: str) -> tuple[str, ...]:
@@ -116,7 +138,7 @@ def blocks_of(page: str | None) -> list[Block]:
                 r.end_block()
             elif name == "a":
                 r.in_link = max(0, r.in_link - 1)
-            r.close((name,), frozenset())
+            r.close((name,), fenced=False)
             continue
         if name in SKIPPED:
             if name not in ("canvas", "math"):
@@ -129,12 +151,12 @@ def blocks_of(page: str | None) -> list[Block]:
         elif name not in INLINE:
             r.end_block()
             if name in ENDS_P:
-                r.close(("p",), FENCES)
+                r.close(("p",), fenced=True)
             if name in CLOSES:
-                r.close(CLOSES[name], FENCES)
+                r.close(CLOSES[name], fenced=True)
         if name == "a":
             r.in_link = 1
         if name not in VOID and not attributes.endswith("/") and (name not in INLINE or "=" in attributes):
-            r.stack.append(_Open(name, marks_of(name, attributes) if name not in INLINE else ()))
+            r.open(name, marks_of(name, attributes) if name not in INLINE else ())
     r.end_block()
     return r.blocks

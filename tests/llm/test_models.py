@@ -27,6 +27,17 @@ def test_blocks_of_a_page():
     assert [b.text for b in blocks_of(deep)] == ["end"]
 
 
+def test_an_end_tag_closes_its_element_below_many_open_ones():
+    for inside in ("<span class='q'>" * 200, "<div class='q'>" * 200, "<h2>" * 200):
+        first, after = blocks_of(f"<nav class='menu'>{inside}x</nav><article>y</article>")
+        assert (first.text, after.text) == ("x", "y") and "t:nav" in first.path
+        assert after.path == ("t:article",)
+    # a start tag closes nothing beyond a fence
+    a, b = blocks_of("<ul><li>a<table><tr><td>b<li>c</table></ul>")[:2]
+    assert "t:li" in b.path and "t:table" in b.path
+    assert blocks_of("<p>a</section></p>b")[1].path == ()
+
+
 @pytest.fixture(scope="module")
 def labeller():
     return html_lstm.train()
