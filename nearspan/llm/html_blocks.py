@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import defaultdict
 from dataclasses import dataclass, field
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -51,8 +51,8 @@ class _Reader:
     in_link: int = 0
     linked: int = 0
     #: Open elements by name: of the page, and of each stretch of the stack above a fence.
-    opened: Counter[str] = field(default_factory=Counter)
-    scopes: list[Counter[str]] = field(default_factory=lambda: [Counter()])
+    opened: defaultdict[str, int] = field(default_factory=lambda: defaultdict(int))
+    scopes: list[defaultdict[str, int]] = field(default_factory=lambda: [defaultdict(int)])
 
     def text(self, raw: str) -> None:
         if raw:
@@ -74,14 +74,17 @@ class _Reader:
         self.stack.append(_Open(name, marks))
         self.opened[name] += 1
         if name in FENCES:
-            self.scopes.append(Counter())
+            self.scopes.append(defaultdict(int))
         else:
             self.scopes[-1][name] += 1
 
     def close(self, names: tuple[str, ...], fenced: bool) -> None:
         """Close the innermost open element of these names and all inside it; ``fenced``: only above the last fence."""
         counts = self.scopes[-1] if fenced else self.opened
-        if not any(counts[n] for n in names):
+        for n in names:
+            if counts[n]:
+                break
+        else:
             return
         last = None
         while last not in names:
