@@ -528,14 +528,13 @@ def append(spark, sf):
 
 
 def _ingested(spark, sf) -> str:
-    """The table arrives in four files, by id modulo 4, one per batch."""
+    """The table arrives in four parts, by id modulo 4; each part is many files, and what is new is one batch."""
     target = scratch_path(spark, "ingest")
     e = spark.read.parquet(f"{sf}/embeddings.parquet")
     for i in range(4):
-        e.where(F.pmod("vec_id", F.lit(4)) == i).coalesce(1).write.mode("append").parquet(f"{target}/arriving")
-    stream = (spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1)
-              .parquet(f"{target}/arriving").withColumnRenamed("vec_id", "source_id"))
-    ingest.ingest(stream, f"{target}/table", f"{target}/log", order=["label", "source_id"]).awaitTermination()
+        e.where(F.pmod("vec_id", F.lit(4)) == i).write.mode("append").parquet(f"{target}/arriving")
+        stream = spark.readStream.schema(e.schema).parquet(f"{target}/arriving").withColumnRenamed("vec_id", "source_id")
+        ingest.ingest(stream, f"{target}/table", f"{target}/log", order=["label", "source_id"]).awaitTermination()
     return f"{target}/table"
 
 
