@@ -354,3 +354,30 @@ def test_scalar_training_refuses_spoiled_tables(spark, make):
         with pytest.raises(Exception) as e:
             train_scalar(make(rows))
         assert isinstance(e.value, NearspanError) or "vectors" in str(e.value)
+
+
+def test_full_beams_open_no_node_twice(monkeypatch, randoms):
+    """Beams as wide as the block are what their starts reach: scored in blocks, not node by node in beams of thousands."""
+    n = 3000
+    v, ids = randoms(n, 8, seed=51), np.arange(n)
+    ends = np.stack([(ids + 1) % 2000, (ids + 7) % 2000], axis=1)  # the last 1,000 are reached from nowhere
+    block = walk.Block.of("l2", ids, v, np.full(n, 2), ends.ravel(), np.zeros(2 * n, int), None)
+    monkeypatch.setattr(block, "_walk", None)
+    starts = np.r_[np.zeros(50, int), 5, 2500]
+    found = [np.concatenate(p) for p in zip(*block.walk(v[:51], np.r_[np.arange(51), 50], starts, n, 4))]
+    want = brute(v[:50], v[:2000], 4)
+    assert {s: found[1][found[0] == s].tolist() for s in range(50)} == want
+    own = np.r_[np.arange(2000), 2500]
+    assert found[1][found[0] == 50].tolist() == own[np.lexsort((own, ((v[own] - v[50]) ** 2).sum(axis=1)))[:4]].tolist()
+    assert (found[2] == ((v[found[0]] - v[found[1]]) ** 2).sum(axis=1)).all()
+
+
+@pytest.mark.parametrize("metric", ["l2", "hamming"])
+def test_full_beams_are_exact_place_by_place(make, make_codes, randoms, metric):
+    v = randoms(400, 64, seed=52)
+    texts = [np.packbits(x > 0).tobytes().hex() for x in v]
+    base, queries = (make(v), make(v, "query_id")) if metric == "l2" else (make_codes(texts), make_codes(texts, "query_id"))
+    knn = exact.knn if metric == "l2" else exact.hamming_knn
+    g = graph.build(base, dims=64, metric=metric, degree=8, pool=40)
+    hits = graph.search(g, queries, 7, ef=400, limits=Limits(path="cells", place_bytes=60_000))
+    assert sorted(hits.collect()) == sorted(knn(base, queries, 7, dims=64).select(*hits.columns).collect())
