@@ -381,3 +381,24 @@ def test_full_beams_are_exact_place_by_place(make, make_codes, randoms, metric):
     g = graph.build(base, dims=64, metric=metric, degree=8, pool=40)
     hits = graph.search(g, queries, 7, ef=400, limits=Limits(path="cells", place_bytes=60_000))
     assert sorted(hits.collect()) == sorted(knn(base, queries, 7, dims=64).select(*hits.columns).collect())
+
+
+@pytest.mark.parametrize("metric", ["l2", "ip"])
+def test_codes_are_preselected_by_product_and_scored_by_tables(randoms, metric):
+    """The block of keys of codes is one matrix product; only few pairs are looked up, and their keys are the table sums."""
+    from nearspan.plans import kernels
+    books, q = randoms(4 * 8, 3, seed=71).reshape(4, 8, 3), randoms(40, 12, seed=72)
+    codes = np.random.default_rng(73).integers(0, 8, (3000, 4)).astype(float)
+    scorer = quantize.ProductModel(books).scorer(metric)
+    looked, exact_keys = [], kernels.Scorer.exact
+    def counted(self, *a):
+        looked.append(len(a[2]))
+        return exact_keys(self, *a)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(kernels.Scorer, "exact", counted)
+        slot, at, key = kernels.closest(scorer, q, codes, 5)
+    tables = scorer._tables(q)
+    want = sum((tables[s][:, codes[:, s].astype(int)] for s in range(4)), np.zeros((40, 3000)))
+    order = np.argsort(want, axis=1, kind="stable")[:, :5]
+    assert at.reshape(40, 5).tolist() == order.tolist() and (key.reshape(40, 5) == np.take_along_axis(want, order, 1)).all()
+    assert sum(looked) < 40 * 3000 / 50
