@@ -143,3 +143,18 @@ def test_null_vectors_fail_loudly(spark, make):
     base = spark.createDataFrame([(0, [0.0, 1.0, 2.0, 3.0]), (1, None)], "vec_id long, embedding array<double>")
     with pytest.raises(Exception, match="vectors"):
         exact.knn(base.coalesce(1), make([[0.0, 1.0]], "query_id"), 1, dims=2).collect()
+
+
+@pytest.mark.parametrize("limits", [Limits(path="base"), Limits(path="cells", cell_bytes=8_000)])
+def test_counts_score_only_what_rounding_could_move(spark, make, randoms, monkeypatch, limits):
+    """Hits well inside the radius are counted from the block; only pairs near it are scored from their components."""
+    from nearspan.plans import kernels
+    v = np.r_[randoms(300, 8, seed=61), np.zeros((1, 8)), np.eye(8)[:1] * 5.0]  # the last two lie at the radius exactly
+    got = {r.query_id: r.n for r in exact.radius_counts(make(v), make(v, "query_id"), 25.0, dims=8, limits=limits).collect()}
+    assert got == {i: int((((v - q) ** 2).sum(axis=1) < 25.0).sum()) for i, q in enumerate(v)}
+    scored, rescore = [], kernels.Scorer.rescore
+    monkeypatch.setattr(kernels.Scorer, "rescore", lambda self, q, x, qi, xi, keys: scored.append(len(qi)) or rescore(self, q, x, qi, xi, keys))
+    sink, side = kernels.Within(len(v), 25.0, counting=True), kernels.Side.of(np.arange(len(v)), v)
+    for _ in kernels.match(kernels.Scorer("l2"), side, side, sink):
+        pass
+    assert sink.counts.tolist() == list(got[i] for i in range(len(v))) and sum(scored) < sum(got.values()) / 100
