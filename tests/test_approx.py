@@ -402,3 +402,21 @@ def test_codes_are_preselected_by_product_and_scored_by_tables(randoms, metric):
     order = np.argsort(want, axis=1, kind="stable")[:, :5]
     assert at.reshape(40, 5).tolist() == order.tolist() and (key.reshape(40, 5) == np.take_along_axis(want, order, 1)).all()
     assert sum(looked) < 40 * 3000 / 50
+
+
+def test_product_search_treats_repeated_rows_as_before(randoms):
+    """Rows that come twice take two of the k places of their block, as in every other search of one block."""
+    from nearspan.plans import kernels
+    books, q = randoms(2 * 4, 2, seed=81).reshape(2, 4, 2), randoms(6, 4, seed=82)
+    codes = np.random.default_rng(83).integers(0, 4, (60, 2)).astype(float)
+    ids = np.repeat(np.arange(30), 2)
+    codes = codes[ids]
+    scorer, sink = quantize.ProductModel(books).scorer("ip"), kernels.TopK(6, 4)
+    for _ in kernels.offer_pairs(scorer, q, np.arange(6), codes, ids, sink):
+        pass
+    tables = scorer._tables(q)
+    keys = sum((tables[s][:, codes[:, s].astype(int)] for s in range(2)), np.zeros((6, 60)))
+    inside = keys <= np.sort(keys, axis=1)[:, 3:4]
+    want = [sorted({(keys[i, j], ids[j]) for j in np.flatnonzero(inside[i])})[:4] for i in range(6)]
+    slot, at, key = sink.rows()
+    assert [[(k, a) for s, a, k in zip(slot, at, key) if s == i] for i in range(6)] == want
