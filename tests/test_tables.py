@@ -168,3 +168,25 @@ def test_text_embedding(spark):
     assert rows[0] == rows[1] and rows[0] != rows[3]
     assert rows[2] == [0.0] * 64
     assert np.isclose(np.linalg.norm(rows[0]), 1)
+
+
+def test_text_embedding_shuffles_no_words(spark):
+    """Words become slots where they are read; rows that share an id are one document, and signs are summed."""
+    import contextlib
+    import hashlib
+    import io
+    docs = spark.createDataFrame([(1, "b A a  b c"), (2, None), (1, "C"), (3, " "), (4, "x " * 500)], "doc_id long, text string")
+    made = vectors.embed_text(docs, dims=8)
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        made.explain("simple")
+    keys = [line for line in plan.getvalue().splitlines() if "Exchange hashpartitioning" in line]
+    assert keys and not any("word" in line for line in keys)
+    want = np.zeros((5, 8))
+    for row, text in ((1, "b a a b c c"), (4, "x " * 500)):
+        for w in text.split():
+            h = hashlib.md5(w.encode()).hexdigest()
+            want[row, int(h[:8], 16) % 8] += 1 if int(h[8], 16) < 8 else -1
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-300)
+    rows = made.collect()
+    assert sorted(r.vec_id for r in rows) == [1, 1, 2, 3, 4]
+    assert all(np.allclose(r.embedding, want[r.vec_id], atol=1e-12) for r in rows)
