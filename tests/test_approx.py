@@ -420,3 +420,24 @@ def test_product_search_treats_repeated_rows_as_before(randoms):
     want = [sorted({(keys[i, j], ids[j]) for j in np.flatnonzero(inside[i])})[:4] for i in range(6)]
     slot, at, key = sink.rows()
     assert [[(k, a) for s, a, k in zip(slot, at, key) if s == i] for i in range(6)] == want
+
+
+def test_lists_side_by_side_are_one_place(make, randoms, monkeypatch):
+    """A walk meets bounded blocks of many lists, and what leaves them is one row per query and new place."""
+    v = randoms(400, 8, seed=91)
+    base, queries = make(v), make(v, "query_id")
+    g = graph.build(base, dims=8, degree=6, pool=10)
+    most = 150
+    places = graph._places(g, most)
+    sizes = np.bincount(places, weights=[r.n for r in ivf.list_sizes(g.nodes).orderBy("list_id").collect()])
+    assert 3 <= len(sizes) < g.coarse.nlist / 3 and sizes.max() <= most and sizes.sum() == 400
+    rounds, one = [], graph._round
+    monkeypatch.setattr(graph, "_round", lambda *a: rounds.append(one(*a)) or rounds[-1])
+    limits = Limits(path="cells", place_bytes=most * graph._node_bytes(g))
+    hits = graph.search(g, queries, 5, ef=30, limits=limits)
+    assert evaluate.mean_recall(hits, exact.knn(base, queries, 5, dims=8)).first().recall > 0.97
+    first = rounds[0].collect()
+    onward = [(r.query_id, r.place) for r in first if r.distance is None]
+    assert len(onward) == len(set(onward)) or len(onward) <= 400 * len(sizes) * 2
+    assert all(r.starts for r in first if r.distance is None)
+    assert max(np.unique([r.query_id for r in first if r.distance is not None], return_counts=True)[1]) <= 5 * len(sizes)
