@@ -441,3 +441,43 @@ def test_lists_side_by_side_are_one_place(make, randoms, monkeypatch):
     assert onward and len(onward) <= graph.ENTRY_LISTS * len(set(onward))  # at most one row from each place a query goes to
     assert all(r.starts for r in first if r.distance is None)
     assert max(np.unique([r.query_id for r in first if r.distance is not None], return_counts=True)[1]) <= 5 * len(sizes)
+
+
+@pytest.mark.parametrize("metric", ["l2", "hamming"])
+def test_walks_from_the_same_starts_score_them_in_blocks(monkeypatch, randoms, metric):
+    """Queries that begin at the same nodes walk as from pairs, and no start is gathered once per query."""
+    n, rng = 600, np.random.default_rng(5)
+    v = randoms(n, 8) if metric == "l2" else rng.integers(0, 256, (n, 2)).astype(np.uint8)
+    ends = rng.integers(0, n, (n, 6))
+    block = walk.Block.of(metric, np.arange(n) * 3, v, np.full(n, 6), ends.ravel() * 3, None, None)
+    starts, pairs, whole = np.arange(0, n, 2), [], walk.chosen_keys
+    given = [np.concatenate(p) for p in zip(*block.walk(v[:40], np.repeat(np.arange(40), len(starts)), np.tile(starts, 40), 20, 5))]
+    monkeypatch.setattr(walk, "chosen_keys", lambda *a: pairs.append(len(a[3])) or whole(*a))
+    shared = [np.concatenate(p) for p in zip(*block.walk(v[:40], None, starts, 20, 5))]
+    assert all((a == b).all() for a, b in zip(given, shared))
+    assert sum(pairs) <= 40 * (n - len(starts))
+    key = ((v[:40, None].astype(float) - v[None]) ** 2).sum(axis=2) if metric == "l2" else np.bitwise_count(v[:40, None] ^ v[None]).sum(axis=2)
+    best = [np.lexsort((starts, key[i, starts]))[:1] for i in range(40)]
+    assert all(shared[2][shared[0] == i].min() <= key[i, starts[b]].min() + 1e-9 for i, b in enumerate(best))
+
+
+def test_links_shuffle_ids_where_vectors_fit(make, make_codes, randoms):
+    """Vectors below the broadcast limit are not shuffled once per candidate; both ways choose the same neighbours."""
+    for metric, points in (("l2", make(randoms(60, 8))), ("hamming", make_codes([f"{i * 7919 % 65536:04x}" for i in range(60)]))):
+        column = "code" if metric == "hamming" else "embedding"
+        nodes = points.withColumn("list_id", (F.col("vec_id") % 5).cast("int"))
+        pairs = points.select(F.col("vec_id").alias("src")).crossJoin(points.select(F.col("vec_id").alias("dst"))).where("src <> dst and dst % 3 <> 0")
+        linked = [graph._link(nodes, pairs, nodes, metric, 6, True, 64, limits) for limits in (Limits(), Limits(broadcast_bytes=0))]
+        rows = [{(r.vec_id, bytes(r[column]) if metric == "hamming" else tuple(r[column]), *e) for r in d.collect()
+                 for e in zip(r.neighbours, r.places)} for d in linked]
+        assert rows[0] == rows[1] and len(rows[0]) == 360
+        shuffled = [d._jdf.queryExecution().optimizedPlan().toString().split("collect_list(")[1] for d in linked]
+        assert not shuffled[0].startswith("end") and shuffled[1].startswith("end")
+
+
+def test_self_join_of_a_small_file_runs_in_many_tasks(spark, make, randoms, monkeypatch):
+    asked, whole = [], descent.match_tables
+    monkeypatch.setattr(descent, "match_tables", lambda base, queries, *a, **k: asked.append(queries) or whole(base, queries, *a, **k))
+    edges = descent.neighbour_edges(make(randoms(50, 8)).coalesce(1), "embedding", "l2", 4, 64)
+    assert edges.count() == 200
+    assert asked[0].rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
