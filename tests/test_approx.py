@@ -481,3 +481,19 @@ def test_self_join_of_a_small_file_runs_in_many_tasks(spark, make, randoms, monk
     edges = descent.neighbour_edges(make(randoms(50, 8)).coalesce(1), "embedding", "l2", 4, 64)
     assert edges.count() == 200
     assert asked[0].rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_true_neighbours_are_worked_out_once(spark):
+    import __spark_entry__ as registered
+
+    made = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    truth = spark.createDataFrame([(q, 1, v, 0.0) for q in range(4) for v in range(3)], "query_id long, rank int, vec_id long, distance double")
+    found = registered._recall_by_width(spark, lambda ef: truth.where("vec_id < 2"), truth.mapInArrow(rows, truth.schema))
+    assert [(r.ef, r.queries, r.recall) for r in found.orderBy("ef").collect()] == [(ef, 4, 0.666667) for ef in (10, 20, 50)]
+    assert made.value == 12
