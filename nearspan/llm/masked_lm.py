@@ -285,26 +285,33 @@ def encode(docs: DataFrame, vocab: Vocabulary, s: Settings = Settings()) -> Data
     def run(batches):
         vocab = sent.value
         table, held = vocab.class_table(), list(vocab.counts)
-        shares = {w: vocab.share(w, vocab.counts[w], c) for w, c in zip(held, table[vocab.tokens(held)].tolist(), strict=True)}
-
-        def inside(words: list[bytes], classes: np.ndarray) -> tuple[float, Counter[bytes]]:
-            at = np.flatnonzero(classes >= s.own_classes).tolist()
-            words = [words[i] for i in at]
-            found = list(map(shares.get, words))
-            total, rest = sum(x for x in found if x is not None), [i for i, x in enumerate(found) if x is None]
+        place = {w: i for i, w in enumerate(held)}
+        # of the held words, then of one that is not held
+        token_of = np.append(vocab.tokens(held), np.int32(0))
+        share_of = np.array([vocab.share(w, vocab.counts[w], c) for w, c in zip(held, table[token_of[:-1]].tolist(), strict=True)] + [0.0])
+
+        def coded(words: list[bytes]) -> tuple[np.ndarray, float, Counter[bytes]]:
+            at = np.fromiter(map(place.get, words, repeat(-1)), np.int32, len(words))
+            tokens, shares = token_of.take(at, mode="wrap"), share_of.take(at, mode="wrap")
+            total, lost = sum(shares[shares != 0].tolist()), np.flatnonzero(at < 0)
+            if not len(lost):
+                return tokens, total, Counter()
+            others = [words[i] for i in lost.tolist()]
+            tokens[lost] = found = vocab.tokens(others)
+            classes = table[found]
+            rest = np.flatnonzero(classes >= s.own_classes).tolist()
             if joined:
-                return total, Counter(words[i] for i in rest)
-            return total + sum(vocab.share(words[i], 0, int(classes[at[i]])) for i in rest), Counter()
+                return tokens, total, Counter(others[i] for i in rest)
+            return tokens, total + sum(vocab.share(others[i], 0, int(classes[i])) for i in rest), Counter()
 
         for b in batches:
             raws = b.column("text").cast(pa.large_binary())
             out = []
             for i in range(len(raws)):
                 raw = raws[i].as_py() or b""
-                words = words_of(raw)
-                tokens = vocab.tokens(words)
+                tokens, inside, others = coded(words_of(raw))
                 out.append((int.from_bytes(hashlib.md5(raw).digest()[:8], "big", signed=True), zlib.crc32(raw),
-                            tokens.astype(kind).tobytes(), *inside(words, table[tokens])))
+                            tokens.astype(kind).tobytes(), inside, others))
             keys, seeds, tokens, sums, rares = zip(*out, strict=True) if out else ((),) * 5
             each = pa.StructArray.from_arrays([pa.array([w for r in rares for w in r], pa.binary()),
                                                pa.array([k for r in rares for k in r.values()], pa.int64())], ["word", "times"])

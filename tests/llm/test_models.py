@@ -309,3 +309,27 @@ def test_scores_do_not_depend_on_partitions(spark):
     assert [x[:2] for x in one] == [x[:2] for x in many]
     assert [x[2] for x in one] == pytest.approx([x[2] for x in many], rel=1e-5)
     assert len({round(x[2], 6) for x in one if x[0][0] or x[0][1] == 0}) == 1
+
+
+def test_held_words_become_tokens_by_one_lookup(spark, monkeypatch):
+    """Words whose counts are broadcast have their tokens worked out once a task, not once an occurrence."""
+    s = masked_lm.Settings(words=3, hashed=31, classes=16, own_classes=2, group=4, held=6)
+    texts = ["a b c d e f " * 20 + f"rare{i} x" for i in range(10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    vocab, _ = masked_lm.vocabulary(docs, s)
+    assert len(vocab.counts) == 6 and vocab.rare is not None
+    batch, asked, runs, whole = docs.toArrow().combine_chunks().to_batches()[0], [], [], masked_lm.Vocabulary.tokens
+    monkeypatch.setattr(masked_lm.Vocabulary, "tokens", lambda self, words: asked.append(len(words)) or whole(self, words))
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: runs.append(run) or self)
+    masked_lm.encode(docs, vocab, s)
+    got = [r for b in runs[0]([batch]) for r in b.to_pylist()]
+    assert len(got) == 10 and sum(asked) <= 6 + 10 * 2
+    table = vocab.class_table()
+    for r, text in zip(got, texts, strict=True):
+        words = masked_lm.words_of(text.encode())
+        want = whole(vocab, words)
+        classes = table[want].tolist()
+        assert (np.frombuffer(r["tokens"], np.uint16) == want).all()
+        assert r["inside"] == sum(vocab.share(w, vocab.counts[w], c) for w, c in zip(words, classes) if w in vocab.counts)
+        others = [w for w, c in zip(words, classes) if w not in vocab.counts and c >= s.own_classes]
+        assert [(x["word"], x["times"]) for x in r["rare"]] == [(w, 1) for w in others]
