@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearspan.llm.components import components
-from nearspan.session import attach, cut_lineage
+from nearspan.session import attach, bound_batches, cut_lineage
 
 
 @dataclass(frozen=True)
@@ -480,6 +480,7 @@ def _exact(undecided: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
 def links(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b, similarity) between digests of distinct texts, and the components (node, root)."""
     attach(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     shared = _shared(cut_lineage(_sketch_table(docs, s), "sketches"))
     texts = _texts(docs, shared.select("digest").distinct(), s)
     good = cut_lineage(_verify(_stars(shared), texts, s), "links")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearspan.session import attach, cut_lineage
+from nearspan.session import attach, bound_batches, cut_lineage
 
 FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks",
           "n_wide", "digest")
@@ -209,6 +209,7 @@ def rejected(f: Column, cutoffs: dict[tuple[int, str], float]) -> Column:
 def judge(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, f, base_failed, kept) for every row of documents (doc_id, text)."""
     attach(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     measured = cut_lineage(docs.select("doc_id", figures(F.col("text")).alias("f")), "figures")
     f, cutoffs = F.col("f"), calibrate(measured, labels, settings)
     return measured.select("doc_id", "f", base_failed(f).alias("base_failed"),
@@ -221,6 +222,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(
     Only figures are joined with labels; texts are read once more and filtered where they lie.
     """
     attach(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     # written first: else the filters of the calibration find the figures once more
     measured = cut_lineage(docs.select("doc_id", figures(F.col("text")).alias("f")), "figures")
     cutoffs, f = calibrate(measured, labels, settings), F.col(_PRIVATE)

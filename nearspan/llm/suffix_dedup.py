@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nearspan.session import attach, cut_bucketed, cut_lineage
+from nearspan.session import attach, bound_batches, cut_bucketed, cut_lineage
 
 
 @dataclass(frozen=True)
@@ -452,6 +452,7 @@ def strip_repeats(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     kept_sha256 (of the remaining bytes, before broken characters are dropped). A column of that name in the documents
     stays, and the struct comes as ``repeats_`` then (with as many ``_`` as make it new)."""
     attach(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
         raise TypeError(f"doc_id must be an integer column, not {docs.schema['doc_id'].dataType.simpleString()}")
     name = "repeats"

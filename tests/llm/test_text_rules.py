@@ -6,10 +6,13 @@ from collections import Counter
 from math import comb
 
 import duckdb
+import pyarrow as pa
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
-from nearspan.llm import decontaminate, known_licenses, licenses, mixing, queries, quality_rules
+from nearspan.llm import decontaminate, known_licenses, licenses, mixing, order_minhash, queries, quality_rules, suffix_dedup
+from nearspan.session import BATCH_BYTES, BATCH_LIMIT, bound_batches
 from tools_check import comparable
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -76,6 +79,37 @@ def test_rules_reject_what_labels_mark(spark):
     assert base.filter("base_failed").count() == 0 and base.filter("kept").count() == 3000
 
 
+def test_figures_read_texts_in_batches_of_bounded_bytes(spark, monkeypatch):
+    plain = quality_rules._figures
+
+    def checked(texts: pa.Array) -> pa.Array:
+        if texts.nbytes > BATCH_BYTES + 200_000:
+            raise ValueError(f"{texts.nbytes} bytes in a batch")
+        return plain(texts)
+
+    monkeypatch.setattr(quality_rules, "_figures", checked)
+    long = F.repeat(F.concat(F.lit("word"), F.col("id").cast("string"), F.lit(" ")), 10_000)
+    docs = spark.range(0, 120, 1, 1).select(F.col("id").alias("doc_id"), long.alias("text"))
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for step in (quality_rules.judge, quality_rules.keep_good):
+        spark.conf.unset(BATCH_LIMIT)
+        assert step(docs, labels).count() == (120 if step is quality_rules.judge else 0)
+
+
+def test_batches_are_bounded_but_never_widened(spark):
+    for given, narrowed in (("1g", True), ("4097k", True), ("4m", False), ("65536", False)):
+        spark.conf.set(BATCH_LIMIT, given)
+        before = spark.conf.get(BATCH_LIMIT)
+        bound_batches(spark)
+        assert spark.conf.get(BATCH_LIMIT) == (f"{BATCH_BYTES}b" if narrowed else before)
+    docs = docs_of(spark, ODD)
+    for step in (order_minhash.drop_near, suffix_dedup.strip_repeats):
+        spark.conf.unset(BATCH_LIMIT)
+        step(docs)
+        assert spark.conf.get(BATCH_LIMIT) == f"{BATCH_BYTES}b"
+    spark.conf.unset(BATCH_LIMIT)
+
+
 # ---- decontamination
 
 BENCH = [(7, "Alpha beta GAMMA delta"), (70, "alpha Beta gamma delta."), (8, None), (9, "..."), (None, "é É x9 y"),
