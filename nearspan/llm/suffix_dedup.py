@@ -53,6 +53,8 @@ class Settings:
 
 
 LAST = (1 << 63) - 1
+#: Bytes and rows that are worked on at once: each has some ten numbers of 64 bits a byte meanwhile.
+PIECE, ROWS = 1 << 17, 2_000
 C1, C2, C3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -61,7 +63,6 @@ C1, C2, C3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x1
 def anchors(buf: np.ndarray, ends: np.ndarray, s: Settings = Settings()) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the anchors of texts that lie one after the other, and the digests of their 24 bytes."""
     n, none = len(buf), (np.zeros(0, np.int64), np.zeros(0, np.uint64))
-    width = s.length - s.gram + 1
     if n < s.length:
         return none
     starts = np.concatenate([[0], ends[:-1]])
@@ -69,27 +70,38 @@ def anchors(buf: np.ndarray, ends: np.ndarray, s: Settings = Settings()) -> tupl
     whole = ends - starts >= s.length
     np.add.at(change, starts[whole], 1)
     np.add.at(change, ends[whole] - s.length + 1, -1)
-    valid = np.cumsum(change[:-1]) > 0
-    if not valid.any():
-        return none
+    valid = np.cumsum(change[:-1], dtype=np.int32) > 0
+    low = np.uint64((1 << max(24, n.bit_length())) - 1)
+    found = [none]
+    for start in range(0, len(valid), PIECE):
+        use = valid[start:start + PIECE]
+        if use.any():
+            found.append(_minima(buf[start:start + len(use) + s.length - 1], start, use, low, s))
+    at, h = (np.concatenate(x) for x in zip(*found, strict=True))
+    at, first = np.unique(at, return_index=True)
+    return at, h[first]
+
+
+def _minima(buf: np.ndarray, start: int, use: np.ndarray, low: np.uint64, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors of the used windows of a piece that begins at ``start``."""
+    width = s.length - s.gram + 1
     with np.errstate(over="ignore"):
         x = buf.astype(np.uint64)
         for step in (1, 2, 4):
             x = x[:-step] | (x[step:] << np.uint64(8 * step))
-        m = n - s.gram + 1
+        m = len(buf) - s.gram + 1
         h = x[:m] * C1 + x[8:8 + m] * C2 + x[16:16 + m] * C3
         h = (h ^ (h >> np.uint64(32))) * C2
         h ^= h >> np.uint64(29)
-    low = np.uint64((1 << max(24, n.bit_length())) - 1)
-    v = (h & ~low) | np.arange(m, dtype=np.uint64)
+    v = (h & ~low) | np.arange(start, start + m, dtype=np.uint64)
     span = 1
     while 2 * span <= width:
         v = np.minimum(v[:-span], v[span:])
         span *= 2
     if span < width:
         v = np.minimum(v[:span - width], v[width - span:])
-    at = np.unique(v[valid] & low).astype(np.int64)
-    return at, h[at]
+    at = np.unique(v[use] & low).astype(np.int64)
+    return at, h[at - start]
 
 
 def contexts(buf: np.ndarray, ends: np.ndarray, at: np.ndarray, s: Settings = Settings()):
@@ -101,9 +113,12 @@ def contexts(buf: np.ndarray, ends: np.ndarray, at: np.ndarray, s: Settings = Se
     left = np.minimum(at - starts[text], before)
     right = np.minimum(ends[text] - at, s.length)
     offset = np.arange(-before, s.length)
-    inside = (offset >= -left[:, None]) & (offset < right[:, None])
-    around = buf[np.clip(at[:, None] + offset, 0, len(buf) - 1)]
-    return text, left, right, np.where(inside, around, 0).astype(np.uint8)
+    around = np.zeros((len(at), len(offset)), np.uint8)
+    for low in range(0, len(at), ROWS):
+        some = slice(low, low + ROWS)
+        inside = (offset >= -left[some, None]) & (offset < right[some, None])
+        around[some] = np.where(inside, buf[np.clip(at[some, None] + offset, 0, len(buf) - 1)], 0)
+    return text, left, right, around
 
 
 @dataclass

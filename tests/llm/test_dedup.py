@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -296,6 +297,32 @@ def test_strip_of_nothing(spark):
     assert suffix_dedup.strip_repeats(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")).count() == 2
 
 
+def test_anchors_and_contexts_in_pieces(monkeypatch):
+    rng = np.random.default_rng(4)
+    for n, texts in ((0, 1), (99, 1), (100, 1), (5_000, 40), (20_000, 3)):
+        buf = rng.integers(97, 99, n).astype(np.uint8)
+        ends = np.sort(np.append(rng.integers(0, n + 1, texts - 1), n))
+        got = []
+        for piece in (1 << 30, 1_000, 77):
+            monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+            monkeypatch.setattr(suffix_dedup, "ROWS", piece)
+            at, h = suffix_dedup.anchors(buf, ends)
+            got.append([at, h, *(suffix_dedup.contexts(buf, ends, at) if n else ())])
+        for other in got[1:]:
+            assert all(np.array_equal(x, y) for x, y in zip(got[0], other, strict=True))
+
+
+def test_a_block_takes_little_memory():
+    buf = np.random.default_rng(3).integers(97, 123, 2 << 20).astype(np.uint8)
+    ends = np.array([1 << 20, 2 << 20])
+    tracemalloc.start()
+    at, _ = suffix_dedup.anchors(buf, ends)
+    suffix_dedup.contexts(buf, ends, at[:20_000])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
+
+
 def test_multikey_sort():
     rng = np.random.default_rng(2)
     rows = rng.integers(0, 3, (500, 24)).astype(np.uint8)
