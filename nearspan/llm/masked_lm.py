@@ -28,17 +28,18 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 from itertools import repeat
 from math import log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearspan.llm.words import blocks, split
 from nearspan.session import attach, cut_lineage
 
 
@@ -66,8 +67,12 @@ class Settings:
 
 
 LETTER_CASE = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+#: Letter case, and white space as blanks.
+SPACED = LETTER_CASE.translate(bytes.maketrans(b"\t\n\v\f\r", b" " * 5))
 #: Words of more bytes are replaced by a digest, so that tables of words are bounded in bytes.
 LONG = 256
+#: Bytes of text whose words are taken at once, and of words that a task collects before it counts them.
+BLOCK, HELD = 4 << 20, 48 << 20
 
 
 @dataclass
@@ -214,6 +219,14 @@ def words_of(raw: bytes) -> list[bytes]:
     return words
 
 
+def words_of_all(raws: Sequence[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after the other, as ``words_of`` has them, and their number in each text."""
+    words, sizes = split(raws, SPACED)
+    if len(words) and pc.max(pc.binary_length(words)).as_py() > LONG:
+        words = pa.array([w for raw in raws for w in words_of(raw)], pa.binary())
+    return words, sizes
+
+
 def windows(tokens: np.ndarray, at: np.ndarray, s: Settings) -> np.ndarray:
     """Tokens on both sides of the places ``at``; padding beyond the ends."""
     padded = np.concatenate([np.zeros(s.reach, np.int32), tokens, np.zeros(s.reach, np.int32)])
@@ -233,19 +246,24 @@ def _places(seed: int, n: int, turn: int, s: Settings) -> np.ndarray:
 def vocabulary(docs: DataFrame, s: Settings = Settings()) -> tuple[Vocabulary, np.ndarray]:
     """The most frequent words of all documents, and the log share of every class."""
     def count(batches):
-        counts: Counter[bytes] = Counter()
+        held, n = [], 0
 
         def rows() -> pa.RecordBatch:
-            return pa.record_batch([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+            found = pa.chunked_array(held, pa.binary()).value_counts()
+            held.clear()
+            return pa.RecordBatch.from_arrays(found.flatten(), ["word", "n"])
 
         for b in batches:
             raws = b.column("text").cast(pa.large_binary())
-            for i in range(len(raws)):
-                counts.update(words_of(raws[i].as_py() or b""))
-                if len(counts) > 300_000:
+            for some in blocks((x.as_py() or b"" for x in raws), BLOCK):
+                words, _ = words_of_all(some)
+                held.append(words)
+                n += words.nbytes
+                if n > HELD:
                     yield rows()
-                    counts.clear()
-        yield rows()
+                    n = 0
+        if held:
+            yield rows()
 
     counted = cut_lineage(docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word")
                           .agg(F.sum("n").alias("n")), "words")
@@ -284,41 +302,48 @@ def encode(docs: DataFrame, vocab: Vocabulary, s: Settings = Settings()) -> Data
 
     def run(batches):
         vocab = sent.value
-        table, held = vocab.class_table(), list(vocab.counts)
-        place = {w: i for i, w in enumerate(held)}
+        table, held = vocab.class_table(), pa.array(list(vocab.counts), pa.binary())
         # of the held words, then of one that is not held
-        token_of = np.append(vocab.tokens(held), np.int32(0))
-        share_of = np.array([vocab.share(w, vocab.counts[w], c) for w, c in zip(held, table[token_of[:-1]].tolist(), strict=True)] + [0.0])
+        token_of = np.append(vocab.tokens(list(vocab.counts)), np.int32(0))
+        share_of = np.array([vocab.share(w, n, c) for (w, n), c in zip(vocab.counts.items(), table[token_of[:-1]].tolist(), strict=True)] + [0.0])
 
-        def coded(words: list[bytes]) -> tuple[np.ndarray, float, Counter[bytes]]:
-            at = np.fromiter(map(place.get, words, repeat(-1)), np.int32, len(words))
+        def coded(raws: list[bytes]) -> tuple[list[bytes], list[float], pa.Array]:
+            words, sizes = words_of_all(raws)
+            at = pc.index_in(words, value_set=held).fill_null(-1).to_numpy()
             tokens, shares = token_of.take(at, mode="wrap"), share_of.take(at, mode="wrap")
-            total, lost = sum(shares[shares != 0].tolist()), np.flatnonzero(at < 0)
-            if not len(lost):
-                return tokens, total, Counter()
-            others = [words[i] for i in lost.tolist()]
-            tokens[lost] = found = vocab.tokens(others)
-            classes = table[found]
-            rest = np.flatnonzero(classes >= s.own_classes).tolist()
-            if joined:
-                return tokens, total, Counter(others[i] for i in rest)
-            return tokens, total + sum(vocab.share(others[i], 0, int(classes[i])) for i in rest), Counter()
+            # the words that are not held: each is worked out once
+            lost = np.flatnonzero(at < 0)
+            found = words.take(pa.array(lost)).dictionary_encode()
+            others, codes = found.dictionary.to_pylist(), found.indices.to_numpy()
+            token = vocab.tokens(others)
+            tokens[lost] = token.take(codes)
+            classes = table[token]
+            if not joined:
+                shares[lost] = np.array([vocab.share(w, 0, c) for w, c in zip(others, classes.tolist(), strict=True)], float).take(codes)
+            ends = np.cumsum(sizes).tolist()
+            spans = [slice(a, b) for a, b in zip([0, *ends], ends)]
+            sums = [sum(x[x != 0].tolist()) for x in (shares[span] for span in spans)]
+            # those whose counts are joined, once a text in the order of first occurrence
+            where = np.flatnonzero((classes >= s.own_classes).take(codes) if joined else np.zeros(len(codes), bool))
+            codes, texts = codes.take(where), np.repeat(np.arange(len(raws)), sizes).take(lost.take(where))
+            _, first, times = np.unique(texts * len(others) + codes, return_index=True, return_counts=True)
+            order = np.argsort(first)
+            first = first[order]
+            each = pa.StructArray.from_arrays([found.dictionary.take(pa.array(codes.take(first))), pa.array(times[order])], ["word", "times"])
+            rare_ends = np.searchsorted(texts.take(first), np.arange(len(raws) + 1)).astype(np.int32)
+            tokens = tokens.astype(kind)
+            return [tokens[span].tobytes() for span in spans], sums, pa.ListArray.from_arrays(pa.array(rare_ends), each)
 
         for b in batches:
-            raws = b.column("text").cast(pa.large_binary())
-            out = []
-            for i in range(len(raws)):
-                raw = raws[i].as_py() or b""
-                tokens, inside, others = coded(words_of(raw))
-                out.append((int.from_bytes(hashlib.md5(raw).digest()[:8], "big", signed=True), zlib.crc32(raw),
-                            tokens.astype(kind).tobytes(), inside, others))
-            keys, seeds, tokens, sums, rares = zip(*out, strict=True) if out else ((),) * 5
-            each = pa.StructArray.from_arrays([pa.array([w for r in rares for w in r], pa.binary()),
-                                               pa.array([k for r in rares for k in r.values()], pa.int64())], ["word", "times"])
-            ends = np.cumsum([0, *map(len, rares)]).astype(np.int32)
-            yield pa.record_batch([b.column("doc_id"), pa.array(keys, pa.int64()), pa.array(seeds, pa.int64()), pa.array(tokens, pa.binary()),
-                                   pa.array(sums, pa.float64()), pa.ListArray.from_arrays(pa.array(ends), each)],
-                                  ["doc_id", "key", "seed", "tokens", "inside", "rare"])
+            at = 0
+            for raws in blocks((x.as_py() or b"" for x in b.column("text").cast(pa.large_binary())), BLOCK):
+                tokens, sums, rares = coded(raws)
+                yield pa.record_batch([
+                    b.column("doc_id").slice(at, len(raws)),
+                    pa.array([int.from_bytes(hashlib.md5(raw).digest()[:8], "big", signed=True) for raw in raws], pa.int64()),
+                    pa.array([zlib.crc32(raw) for raw in raws], pa.int64()), pa.array(tokens, pa.binary()), pa.array(sums, pa.float64()),
+                    rares], ["doc_id", "key", "seed", "tokens", "inside", "rare"])
+                at += len(raws)
 
     given = docs.select("doc_id", "text")
     return given.mapInArrow(run, f"doc_id {dict(given.dtypes)['doc_id']}, {CODED.removeprefix('row long, ')}").withColumn(

@@ -333,3 +333,31 @@ def test_held_words_become_tokens_by_one_lookup(spark, monkeypatch):
         assert r["inside"] == sum(vocab.share(w, vocab.counts[w], c) for w, c in zip(words, classes) if w in vocab.counts)
         others = [w for w, c in zip(words, classes) if w not in vocab.counts and c >= s.own_classes]
         assert [(x["word"], x["times"]) for x in r["rare"]] == [(w, 1) for w in others]
+
+
+def test_words_of_many_texts_are_taken_at_once(spark, monkeypatch):
+    """Neither counting nor encoding makes an object of every word; blocks with a word of more than LONG bytes do, for its digest."""
+    texts = ["", "A b\x00c\td\n", None, " x\x0b\x0cé  É\x1f\u00a0 ", "b " * 50, "\r", "w" * masked_lm.LONG + " a", "Zz"]
+    raws = [(t or "").encode() for t in texts]
+    long = [*raws, b"q " + b"L" * (masked_lm.LONG + 1), b"r"]
+    for some in (raws, long, [], [b""]):
+        words, sizes = masked_lm.words_of_all(some)
+        want = [masked_lm.words_of(r) for r in some]
+        assert words.to_pylist() == [w for x in want for w in x] and sizes.tolist() == [len(x) for x in want]
+    s = masked_lm.Settings(words=3, hashed=31, classes=16, own_classes=2, group=4, held=4)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    vocab, _ = masked_lm.vocabulary(docs, s)
+    batch, runs, plain = docs.toArrow().combine_chunks().to_batches()[0], [], masked_lm.words_of
+    for name in ("words_of", "BLOCK"):
+        monkeypatch.setattr(masked_lm, name, {"words_of": lambda raw: pytest.fail("a text word by word"), "BLOCK": 60}[name])
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: runs.append(run) or self)
+    masked_lm.encode(docs, vocab, s)
+    got = [r for b in runs[0]([batch]) for r in b.to_pylist()]
+    assert [r["doc_id"] for r in got] == list(range(len(texts)))
+    for r, raw in zip(got, raws, strict=True):
+        words = plain(raw)
+        classes = vocab.class_table()[vocab.tokens(words)].tolist()
+        assert np.frombuffer(r["tokens"], np.uint16).tolist() == vocab.tokens(words).tolist()
+        assert r["inside"] == sum(vocab.share(w, vocab.counts[w], c) for w, c in zip(words, classes) if w in vocab.counts)
+        rare = [w for w, c in zip(words, classes) if w not in vocab.counts and c >= s.own_classes]
+        assert [(x["word"], x["times"]) for x in r["rare"]] == [(w, rare.count(w)) for w in dict.fromkeys(rare)]
