@@ -14,27 +14,31 @@ counted by their two counts before any value is computed. Sums fit 64 bits for u
 
 Defined cases: null text, language and source are ''. Every occurring (language, source) is a group, also without any
 term. Repeated rows are documents of their own. A language without kept terms has pairs of value 0 and no terms. Ties
-rank by the UTF-8 order of the item. Long texts are counted whole, a task's table of counts is handed on whenever it
-holds ``Settings.entries`` terms. Extra columns are ignored. The ``pair`` part has as many rows as there are ordered
+rank by the UTF-8 order of the item. Long texts are counted whole. A task counts the terms
+of many texts at once, taken in blocks of four bytes an entry of ``Settings.entries`` until they are more than two occurrences an
+entry or 32 MB, and hands on what it counted. Extra columns are ignored. The ``pair`` part has as many rows as there are ordered
 pairs of sources of one language, and a term shared by m sources makes m * m rows before they are counted.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter, defaultdict
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nearspan.llm.words import blocks, split
 from nearspan.session import attach, cut_lineage
 
-TERM = re.compile(rb"[a-z\x80-\xff]+")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
+#: A-Z in lower case, and all bytes that are in no term as blanks.
+TERMS = bytes(b if chr(b) in LOWER or b >= 0x80 else 0x20 for b in bytes.maketrans(UPPER.encode(), LOWER.encode()))
+#: Bytes of terms that a task collects before it counts them, and rows that it hands on at once.
+HELD, ROWS = 32 << 20, 100_000
 SCALE = 1_000_000_000
 COUNTS = "lang string, source string, digest long, term string, n long, df long"
 
@@ -53,6 +57,13 @@ def _digest(term: bytes, bits: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in their order, and how often each occurs; sorts in place."""
+    keys.sort()
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.diff(first, append=len(keys))
+
+
 class _Table:
     """Occurrences of the terms of each (language, source), and the documents of each language that hold a term."""
 
@@ -61,29 +72,56 @@ class _Table:
         self.clear()
 
     def clear(self) -> None:
-        self.n, self.df, self.entries = defaultdict(Counter), defaultdict(Counter), 0
+        self.groups, self.of, self.sizes, self.terms, self.held, self.bytes = {}, [], [], [], 0, 0
+
+    @property
+    def full(self) -> bool:
+        return self.held > 2 * self.settings.entries or self.bytes > HELD
 
-    def add(self, lang: str, source: str, raw: bytes) -> None:
-        found = TERM.findall(raw.translate(LOWERED))
-        n = self.n[lang, source]
-        before = len(n)
-        n.update(found)
-        self.df[lang].update(set(found))
-        self.entries += len(n) - before
+    def add(self, groups: Sequence[tuple[str, str]], raws: Sequence[bytes]) -> None:
+        """The texts of some documents, and the (language, source) of each."""
+        terms, sizes = split(raws, TERMS)
+        self.of += [self.groups.setdefault(g, len(self.groups)) for g in groups]
+        self.sizes.append(sizes)
+        self.terms.append(terms)
+        self.held, self.bytes = self.held + len(terms), self.bytes + terms.nbytes
 
     def batches(self):
         """Count rows of all groups; the first row of a term of a language also has its string and its documents."""
-        bits = self.settings.digest_bits
-        digests = {lang: {t: _digest(t, bits) for t in df} for lang, df in self.df.items()}
-        for (lang, source), n in self.n.items():
-            at, df = digests[lang], self.df[lang]
-            documents = [df.pop(t, None) for t in n]
-            strings = list(n) if self.strings else [t if d else None for t, d in zip(n, documents)]
-            yield pa.record_batch([pa.repeat(pa.scalar(lang), len(n)), pa.repeat(pa.scalar(source), len(n)),
-                                   pa.array([at[t] for t in n], pa.int64()), pa.array(strings, pa.binary()).cast(pa.string()),
-                                   pa.array(n.values(), pa.int64()), pa.array(documents, pa.int64())],
-                                  ["lang", "source", "digest", "term", "n", "df"])
+        if not self.held:
+            return self.clear()
+        texts = np.repeat(np.arange(len(self.of), dtype=np.int32), np.concatenate(self.sizes))
+        found = pa.concat_arrays(self.terms).dictionary_encode()
+        names, of = list(self.groups), np.array(self.of)
         self.clear()
+        strings, codes = found.dictionary.cast(pa.string()), found.indices.to_numpy()
+        digests = np.array([_digest(t, self.settings.digest_bits) for t in found.dictionary.to_pylist()], np.int64)
+        # a pair of numbers is one number: the first times the number of terms, plus that of the term
+        every = len(digests)
+        langs = {}
+        lang_of = np.array([langs.setdefault(lang, len(langs)) for lang, _ in names])
+
+        def pairs(numbers: np.ndarray) -> np.ndarray:
+            numbers *= every
+            numbers += codes
+            return numbers
+
+        keys, n = _runs(pairs(of[texts]))
+        group, term = np.divmod(keys, every)
+        held, _ = _runs(pairs(texts.astype(np.int64)))
+        _, df = _runs(lang_of[of[held // every]] * every + held % every)
+        _, first = np.unique(lang_of[group] * every + term, return_index=True)
+        documents = np.zeros(len(keys), np.int64)
+        documents[first] = df
+        lang_names, source_names = (pa.array(x, pa.string()) for x in zip(*names, strict=True))
+        for low in range(0, len(keys), ROWS):
+            some = slice(low, low + ROWS)
+            others = documents[some] == 0
+            yield pa.record_batch([lang_names.take(pa.array(group[some])), source_names.take(pa.array(group[some])),
+                                   pa.array(digests[term[some]]),
+                                   strings.take(pa.array(term[some], mask=None if self.strings else others)),
+                                   pa.array(n[some]), pa.array(documents[some], mask=others)],
+                                  ["lang", "source", "digest", "term", "n", "df"])
 
 
 def counted(docs: DataFrame, s: Settings, strings: bool = False) -> DataFrame:
@@ -93,13 +131,14 @@ def counted(docs: DataFrame, s: Settings, strings: bool = False) -> DataFrame:
     def run(batches):
         table = _Table(s, strings)
         for b in batches:
-            raws = b.column("text").cast(pa.large_binary())
-            for lang, source, raw in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), raws):
-                table.add(lang, source, raw.as_py())
-                if table.entries > s.entries:
+            groups = list(zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), strict=True))
+            at = 0
+            for raws in blocks((x.as_py() for x in b.column("text").cast(pa.large_binary())), 4 * s.entries):
+                table.add(groups[at:at + len(raws)], raws)
+                at += len(raws)
+                if table.full:
                     yield from table.batches()
-        if table.entries:
-            yield from table.batches()
+        yield from table.batches()
 
     return docs.mapInArrow(run, COUNTS)
 

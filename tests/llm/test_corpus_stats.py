@@ -86,6 +86,29 @@ def test_shares_are_exact(spark):
     assert all(r.p == 1 + 10**9 * (r.n + 1) // (r.size + r.k) for r in df.collect())
 
 
+def test_terms_of_many_texts_are_counted_at_once():
+    """Tables take texts in blocks; their count rows hold every term of a group once, and its documents once a language."""
+    rng = random.Random(8)
+    parts = ["Ab", "ab", "é", "É", "x\x01y", "no1", "日本", "-", "", " ", "@[`{z"]
+    rows = [(rng.choice(["a", "b"]), rng.choice(["s", "t", ""]), " ".join(rng.choices(parts, k=rng.choice([0, 1, 9])))) for _ in range(200)]
+    for strings in (False, True):
+        table = source_divergence._Table(source_divergence.Settings(), strings)
+        for low in (0, 70, 140):
+            some = rows[low:low + 70]
+            table.add([r[:2] for r in some], [r[2].encode() for r in some])
+        got = [r for b in table.batches() for r in b.to_pylist()]
+        n, df, digest = Counter(), Counter(), lambda t: source_divergence._digest(t.encode(), 64)
+        for lang, source, text in rows:
+            found = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", text)]
+            n.update((lang, source, digest(w)) for w in found)
+            df.update((lang, w) for w in set(found))
+        assert len(got) == len(n) and {(r["lang"], r["source"], r["digest"]): r["n"] for r in got} == n
+        first = [r for r in got if r["df"] is not None]
+        assert len(first) == len(df) and {(r["lang"], r["term"]): r["df"] for r in first} == df
+        assert all((r["term"] is not None) == (strings or r["df"] is not None) for r in got)
+        assert list(table.batches()) == [] and not table.full
+
+
 def test_divergence_of_nothing(spark, odd_rows):
     assert source_divergence.audit(spark.createDataFrame(odd_rows[:1], ODD).limit(0)).count() == 0
 
