@@ -22,14 +22,39 @@ COPYRIGHT = r"(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©)[ \t]+(?:\(c\)|©|[0-9]{4}|
 PUNCTUATION = "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "“”‘’–—•© "
 
 
-def canonical(text: Column) -> Column:
-    plain = F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT, ""), f"[{PUNCTUATION}]+", " ")
+#: The empty lines between paragraphs, and the mark that stands for one (punctuation, so in no canonical text).
+EMPTY_LINE, MARK = r"\n[ \t\r]*\n", "\v"
+#: PUNCTUATION but for line feeds and marks: what a class of single bytes holds, which is quick, and the rest.
+INSIDE_LINES = "".join(f"\\x{c:02X}" for c in range(256) if c not in b"\n\v" and (c < 128 and not chr(c).isalnum() or chr(c) in "©\u00a0"))
+WIDE = "“”‘’–—•"
+
+
+def _spelled(plain: Column) -> Column:
+    """Equivalent spellings made one, in words that are separated by one space each."""
     plain = F.concat(F.lit(" "), plain, F.lit(" "))
     for old, new in EQUAL_WORDS:
         plain = F.replace(plain, F.lit(f" {old} "), F.lit(f" {new} "))
     return F.trim(plain)
 
 
+def canonical(text: Column) -> Column:
+    return _spelled(F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT, ""), f"[{PUNCTUATION}]+", " "))
+
+
+def plain_lines(text: Column) -> Column:
+    """The text with every run of white space and punctuation inside a line one space, copyright lines too, and a line of
+    MARK where an empty line separates paragraphs; it has as many lines as the text."""
+    low = F.lower(text)
+    for c in (MARK, *WIDE):
+        low = F.replace(low, F.lit(c), F.lit("."))
+    marked = F.regexp_replace(F.regexp_replace(low, COPYRIGHT, "."), EMPTY_LINE, f"\n{MARK}\n")
+    return F.regexp_replace(marked, f"[{INSIDE_LINES}]+", " ")
+
+
+def _one_line(lines: Column) -> Column:
+    return F.trim(F.regexp_replace(lines, f" ?[\n{MARK}][ \n{MARK}]*", " "))
+
+
 def known(spark: SparkSession) -> DataFrame:
     """(digest, license) of the fixed list."""
     rows = spark.createDataFrame(list(TEXTS), "license string, text string")
@@ -37,12 +62,26 @@ def known(spark: SparkSession) -> DataFrame:
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """(doc_id, own, unit, license): entire texts that are a known licence; unit is the text as it stands."""
-    units = F.array_distinct(F.flatten(F.array(F.array("text"), F.split("text", r"\n[ \t\r]*\n"), F.split("text", "\n"))))
-    # outer: else the planner adds a filter on the number of units, and splits the texts twice
-    found = docs.select("doc_id", F.md5("text").alias("own"), F.explode_outer(units).alias("unit"))
-    return (found.withColumn("digest", F.md5(canonical(F.col("unit"))))
-            .join(F.broadcast(known(docs.sparkSession)), "digest").select("doc_id", "own", "unit", "license"))
+    """(doc_id, own, unit, license): entire texts that are a known licence; unit is the text as it stands.
+
+    A text is normalised once, and its paragraphs and lines are cut from that; the result is ``canonical`` of each unit.
+    """
+    def unit(text: Column, form: Column) -> Column:
+        return F.struct(text.alias("unit"), F.md5(F.when(F.col("other"), _spelled(form)).otherwise(form)).alias("digest"))
+
+    # no unit has another spelling if the whole text has none
+    others = f" (?:{'|'.join(old for old, _ in EQUAL_WORDS)}) "
+    texts = docs.select("doc_id", "text", F.md5("text").alias("own"), plain_lines(F.col("text")).alias("plain"))
+    texts = texts.withColumn("whole", _one_line(F.col("plain")))
+    texts = texts.withColumn("other", F.concat(F.lit(" "), "whole", F.lit(" ")).rlike(others))
+    units = F.flatten(F.array(
+        F.array(unit(F.col("text"), F.col("whole"))),
+        F.zip_with(F.split("text", EMPTY_LINE), F.transform(F.split("plain", f"\n{MARK}\n"), _one_line), unit),
+        F.zip_with(F.split("text", "\n"), F.transform(F.split("plain", "\n"), _one_line), unit)))
+    # outer: else the planner adds a filter on the number of units, and splits the texts twice; digests are made before
+    # rows, as the join's filter on them would make them once more
+    found = texts.select("doc_id", "own", F.explode_outer(units).alias("x")).select("doc_id", "own", "x.*")
+    return found.join(F.broadcast(known(docs.sparkSession)), "digest").select("doc_id", "own", "unit", "license").distinct()
 
 
 def scan(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Quality rules, decontamination, mixing and license scans on small fixtures."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 from math import comb
@@ -233,6 +234,24 @@ def test_scan_finds_whole_texts(spark):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_units_of_a_text_normalised_once_equal_their_own_canonical_forms(spark, monkeypatch):
+    """The digest of every paragraph and line that is cut from the normalised text is that of the unit by itself, without normalising it again."""
+    parts = ["\n", "\n\n", "\r\n", "\n \t\r\n", "\x0b", "\n\x0b\n", " ", "-", "\r", "\u0085", "\n\n\n", "\x0c", "“", "•", "\xa0", "(c) 2020 x", "copyright\x0b2020",
+             "Copyright 2021 Y", "\n© <year> z\r\n", "licence licence", "sub\nlicense", "sub licence", "v2.0", "v3 v3", "ΑΣ", "İ", "\n---\n", "\n.\n", "a", "MIT", "Released under the"]
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(parts, k=rng.choice([1, 4, 12]))) for _ in range(400)] + [None, "", "\n\n", "“”‘’–—•©\xa0 x"]
+    docs = docs_of(spark, [(i, t, "en", "a", 0) for i, t in enumerate(texts)])
+    units = sorted({u for t in texts if t is not None for u in [t, *re.split(r"\n[ \t\r]*\n", t), *t.split("\n")]})
+    forms = docs_of(spark, [(0, u, "", "", 0) for u in units]).select("text", licenses.canonical(F.col("text")).alias("form"))
+    digests = forms.select(F.md5("form").alias("digest"), F.col("form").alias("license")).distinct().localCheckpoint()
+    want = {r.text: r.form for r in forms.collect()}
+    monkeypatch.setattr(licenses, "known", lambda spark: digests)
+    monkeypatch.setattr(licenses, "canonical", lambda text: pytest.fail("a unit is normalised by itself"))
+    got = {(r.doc_id, r.unit, r.license) for r in licenses.matches(docs).collect()}
+    assert got == {(i, u, want[u]) for i, t in enumerate(texts) if t is not None
+                   for u in [t, *re.split(r"\n[ \t\r]*\n", t), *t.split("\n")]}
+
+
 # ---- SQL
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
