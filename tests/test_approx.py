@@ -497,3 +497,34 @@ def test_true_neighbours_are_worked_out_once(spark):
     found = registered._recall_by_width(spark, lambda ef: truth.where("vec_id < 2"), truth.mapInArrow(rows, truth.schema))
     assert [(r.ef, r.queries, r.recall) for r in found.orderBy("ef").collect()] == [(ef, 4, 0.666667) for ef in (10, 20, 50)]
     assert made.value == 12
+
+
+def test_full_beams_from_shared_starts_repeat_no_start(randoms):
+    """Queries that begin at the same nodes hold these once, not once per query, and no copy of all vectors."""
+    import tracemalloc
+
+    n = 40_000
+    v, ids = randoms(n, 8, seed=61), np.arange(n)
+    block = walk.Block.of("l2", ids, v, np.full(n, 1), (ids + 1) % n, None, None)
+    starts = np.arange(0, n, 8)
+    tracemalloc.start()
+    shared = [np.concatenate(p) for p in zip(*block.walk(v[:400], None, starts, n, 3))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 * len(starts) * 8 * 2
+    assert {s: shared[1][shared[0] == s].tolist() for s in range(20)} == brute(v[:20], v, 3)
+    given = [np.concatenate(p) for p in zip(*block.walk(v[:20], np.repeat(np.arange(20), len(starts)), np.tile(starts, 20), n, 3))]
+    assert all((a[shared[0] < 20] == b).all() for a, b in zip(shared, given))
+
+
+def test_the_whole_graph_is_gathered_without_lists_of_ids(cloud, monkeypatch):
+    """The driver gets positions made in tasks and fills one block; it is the one that lists of ids would give."""
+    g = graph.build(cloud[1], dims=16, degree=8, pool=60)
+    table = g.nodes.select("vec_id", "embedding", "neighbours").toArrow()
+    want = graph._block("l2", table, "embedding", None)
+    monkeypatch.setattr(graph, "_block", None)
+    got = graph._whole(g)
+    width = want.inner.shape[1]
+    assert (got.ids == want.ids).all() and (got.data == want.data).all() and (got.inner[:, :width] == want.inner).all()
+    assert (got.inner[:, width:] == -1).all() and got.inner.dtype == np.int32
+    assert ids_of(graph.search(g, cloud[2], 5, ef=500)) == ids_of(exact.knn(cloud[1], cloud[2], 5, dims=16))
