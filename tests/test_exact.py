@@ -158,3 +158,35 @@ def test_counts_score_only_what_rounding_could_move(spark, make, randoms, monkey
     for _ in kernels.match(kernels.Scorer("l2"), side, side, sink):
         pass
     assert sink.counts.tolist() == list(got[i] for i in range(len(v))) and sum(scored) < sum(got.values()) / 100
+
+
+@pytest.mark.parametrize("width", [2, 8, 31, 32, 40])
+def test_keys_of_codes_are_counted_in_small_numbers(width):
+    """Counts of bits fill one byte (two for wide codes), and limits with a fraction or beyond that range cut them rightly."""
+    from nearspan.plans import kernels
+    rng = np.random.default_rng(width)
+    q, x = (rng.integers(0, 256, (n, width)).astype(np.uint8) for n in (70, 300))
+    x[:70] = ~q
+    want = np.unpackbits(q[:, None] ^ x[None], axis=2).sum(axis=2)
+    scorer, a, b = kernels.Scorer("hamming"), kernels.packed(q), kernels.packed(x)
+    keys, shift, slack = scorer.block(kernels.Rows(a), kernels.Rows(b))
+    assert (keys == want).all() and (shift, slack) == (0, 0) and keys.dtype == (np.uint8 if width <= 24 else np.uint16)
+    for radius in (-1.0, 0.0, 2.5, 4.0 * width, 8.0 * width, 8.0 * width + 0.5, 1e9):
+        for counting in (False, True):
+            sink = kernels.Within(70, radius, counting)
+            for _ in kernels.offer_pairs(scorer, a, np.arange(70), b, np.arange(300), sink):
+                pass
+            got = sink.counts if counting else np.bincount(sink.rows()[0].astype(int), minlength=70)
+            assert (got == (want < radius).sum(axis=1)).all()
+    slot, at, key = kernels.closest(scorer, a, b, 9)
+    order = np.argsort(want, axis=1, kind="stable")[:, :9]
+    assert (at.reshape(70, 9) == order).all() and (key.reshape(70, 9) == np.take_along_axis(want, order, 1)).all()
+
+
+@pytest.mark.parametrize("shape", [(1, 1), (3, 8), (5, 7), (64, 33)])
+def test_true_cells_are_found_in_order(shape):
+    from nearspan.plans import kernels
+    for share in (0.0, 0.02, 0.7):
+        near = np.random.default_rng(7).random(shape) < share
+        assert kernels._true(near).tolist() == np.flatnonzero(near).tolist()
+        assert kernels._true(near[:, ::2]).tolist() == np.flatnonzero(near[:, ::2]).tolist()
