@@ -528,3 +528,15 @@ def test_the_whole_graph_is_gathered_without_lists_of_ids(cloud, monkeypatch):
     assert (got.ids == want.ids).all() and (got.data == want.data).all() and (got.inner[:, :width] == want.inner).all()
     assert (got.inner[:, width:] == -1).all() and got.inner.dtype == np.int32
     assert ids_of(graph.search(g, cloud[2], 5, ef=500)) == ids_of(exact.knn(cloud[1], cloud[2], 5, dims=16))
+
+
+def test_edges_beyond_the_broadcast_limit_are_exact_while_that_is_cheaper(make, randoms, monkeypatch):
+    """The exact join also runs in cells; NN-descent begins where the square of the rows costs more than its rounds."""
+    points, limits = make(randoms(300, 8, seed=23)), Limits(broadcast_bytes=1000, cell_bytes=20_000)
+    want = sorted(descent.neighbour_edges(points, "embedding", "l2", 6, 64).collect())
+    with monkeypatch.context() as m:
+        m.setattr(descent, "descend", None)
+        assert sorted(descent.neighbour_edges(points, "embedding", "l2", 6, 64, limits).collect()) == want
+    monkeypatch.setattr(descent, "EXACT_ROWS", 299)
+    monkeypatch.setattr(descent, "descend", lambda *a: a)
+    assert descent.neighbour_edges(points, "embedding", "l2", 6, 64, limits)[1:] == ("embedding", "l2", 6)
